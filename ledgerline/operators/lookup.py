@@ -45,7 +45,7 @@ def fits_broadcast(df: DataFrame) -> bool:
     """Whether Spark's size estimate of `df` is within the session's broadcast limit."""
     size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
     limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    return int(size.toString()) <= limit
+    return int(str(size)) <= limit
 
 
 def skew_safe_lookup(

@@ -16,7 +16,8 @@ from pyspark.sql.window import Window
 
 from ..operators.lookup import skew_safe_lookup
 
-_rows = F.count(F.lit(1))
+def _rows() -> Column:
+    return F.count(F.lit(1))
 
 
 def _share(part: Column, whole: Column, digits: int = 2) -> Column:
@@ -33,7 +34,7 @@ def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
     """Rows per table."""
     return _stack(
         [
-            df.agg(_rows.alias("record_count")).select(
+            df.agg(_rows().alias("record_count")).select(
                 F.lit(name).alias("table_name"), "record_count"
             )
             for name, df in tables.items()
@@ -45,7 +46,7 @@ def ingestion_recency(tables: dict[str, DataFrame]) -> DataFrame:
     """Last ingestion and rows per table; each table is aggregated before the union."""
     return _stack(
         [
-            df.agg(F.max("ingested_at").alias("last_ingested"), _rows.alias("total_records"))
+            df.agg(F.max("ingested_at").alias("last_ingested"), _rows().alias("total_records"))
             .select(F.lit(name).alias("table_name"), "last_ingested", "total_records")
             for name, df in tables.items()
         ]
@@ -57,7 +58,7 @@ def users_by_country(events: DataFrame, top: int = 10) -> DataFrame:
     return (
         events.where(F.col("country").isNotNull())
         .groupBy("country")
-        .agg(F.count_distinct("user_id").alias("active_users"), _rows.alias("total_events"))
+        .agg(F.count_distinct("user_id").alias("active_users"), _rows().alias("total_events"))
         .orderBy(F.desc("active_users"), "country")
         .limit(top)
     )
@@ -65,7 +66,7 @@ def users_by_country(events: DataFrame, top: int = 10) -> DataFrame:
 
 def signup_source_share(profiles: DataFrame) -> DataFrame:
     """Users per signup source and their percentage of all users."""
-    per_source = profiles.groupBy("signup_source").agg(_rows.alias("user_count"))
+    per_source = profiles.groupBy("signup_source").agg(_rows().alias("user_count"))
     total = F.sum("user_count").over(Window.partitionBy())
     return per_source.select(
         "signup_source", "user_count", _share(F.col("user_count"), total).alias("percentage")
@@ -75,7 +76,7 @@ def signup_source_share(profiles: DataFrame) -> DataFrame:
 def events_by_type(events: DataFrame) -> DataFrame:
     return (
         events.groupBy("event_type")
-        .agg(_rows.alias("event_count"), F.count_distinct("user_id").alias("unique_users"))
+        .agg(_rows().alias("event_count"), F.count_distinct("user_id").alias("unique_users"))
         .orderBy(F.desc("event_count"), "event_type")
     )
 
@@ -84,7 +85,7 @@ def event_counts_by_type(events: DataFrame) -> DataFrame:
     """Dashboard form: counts only."""
     return (
         events.groupBy("event_type")
-        .agg(_rows.alias("event_count"))
+        .agg(_rows().alias("event_count"))
         .orderBy(F.desc("event_count"), "event_type")
     )
 
@@ -92,7 +93,7 @@ def event_counts_by_type(events: DataFrame) -> DataFrame:
 def subscription_status(subscriptions: DataFrame) -> DataFrame:
     return (
         subscriptions.groupBy("status")
-        .agg(_rows.alias("subscription_count"), F.sum("monthly_revenue").alias("total_mrr"))
+        .agg(_rows().alias("subscription_count"), F.sum("monthly_revenue").alias("total_mrr"))
         .orderBy(F.desc("subscription_count"), "status")
     )
 
@@ -103,7 +104,7 @@ def revenue_by_plan(subscriptions: DataFrame) -> DataFrame:
         subscriptions.where(F.col("status") == "active")
         .groupBy("plan_name")
         .agg(
-            _rows.alias("subscription_count"),
+            _rows().alias("subscription_count"),
             F.sum("monthly_revenue").alias("total_mrr"),
             F.avg("monthly_revenue").alias("avg_mrr"),
         )
@@ -131,7 +132,7 @@ def subscription_lifecycle(subscriptions: DataFrame, now: datetime) -> DataFrame
     )
     return (
         subscriptions.groupBy(stage.alias("lifecycle_status"))
-        .agg(_rows.alias("count"), F.sum("monthly_revenue").alias("total_revenue"))
+        .agg(_rows().alias("count"), F.sum("monthly_revenue").alias("total_revenue"))
         .orderBy("lifecycle_status")
     )
 
@@ -140,7 +141,7 @@ def transactions_by_status(transactions: DataFrame) -> DataFrame:
     return (
         transactions.groupBy("status")
         .agg(
-            _rows.alias("transaction_count"),
+            _rows().alias("transaction_count"),
             F.sum("amount").alias("total_amount"),
             F.avg("amount").alias("avg_amount"),
         )
@@ -154,7 +155,7 @@ def revenue_by_type(transactions: DataFrame) -> DataFrame:
         transactions.where(F.col("status") == "completed")
         .groupBy("transaction_type")
         .agg(
-            _rows.alias("count"),
+            _rows().alias("count"),
             F.sum("amount").alias("total_revenue"),
             F.avg("amount").alias("avg_amount"),
         )
@@ -167,7 +168,7 @@ def monthly_revenue(transactions: DataFrame, months: int = 12) -> DataFrame:
     return (
         transactions.where(F.col("status") == "completed")
         .groupBy(F.trunc("transaction_date", "month").alias("month"))
-        .agg(_rows.alias("transaction_count"), F.sum("amount").alias("monthly_revenue"))
+        .agg(_rows().alias("transaction_count"), F.sum("amount").alias("monthly_revenue"))
         .orderBy(F.desc_nulls_first("month"))
         .limit(months)
     )
@@ -187,7 +188,7 @@ def event_demographics(events: DataFrame, top: int = 20) -> DataFrame:
     return (
         events.where(F.col("country").isNotNull())
         .groupBy(*keys)
-        .agg(_rows.alias("event_count"), F.count_distinct("user_id").alias("unique_users"))
+        .agg(_rows().alias("event_count"), F.count_distinct("user_id").alias("unique_users"))
         .orderBy(F.desc("event_count"), *keys)
         .limit(top)
     )
@@ -199,7 +200,7 @@ def feature_usage_by_size(events: DataFrame) -> DataFrame:
         events.where((F.col("event_type") == "feature_used") & F.col("company_size").isNotNull())
         .groupBy("company_size")
         .agg(
-            _rows.alias("feature_usage_events"),
+            _rows().alias("feature_usage_events"),
             F.count_distinct("user_id").alias("unique_users"),
         )
         .orderBy(F.desc("feature_usage_events"), "company_size")
@@ -210,7 +211,7 @@ def mrr_total(subscriptions: DataFrame) -> DataFrame:
     """Active revenue and subscriptions; no revenue counts as 0."""
     return subscriptions.where(F.col("status") == "active").agg(
         F.coalesce(F.sum("monthly_revenue"), F.lit(0).cast("decimal(20,2)")).alias("total_mrr"),
-        _rows.alias("active_subscriptions"),
+        _rows().alias("active_subscriptions"),
     )
 
 
@@ -254,10 +255,10 @@ def acquisition_by_source(profiles: DataFrame, subscriptions: DataFrame) -> Data
 def user_engagement(events: DataFrame) -> DataFrame:
     """Users, events and events per user."""
     users = F.count_distinct("user_id")
-    per_user = _rows.cast("decimal(18,0)") / F.nullif(users, F.lit(0)).cast("decimal(18,0)")
+    per_user = _rows().cast("decimal(18,0)") / F.nullif(users, F.lit(0)).cast("decimal(18,0)")
     return events.agg(
         users.alias("total_users"),
-        _rows.alias("total_events"),
+        _rows().alias("total_events"),
         F.round(per_user, 2).alias("avg_events_per_user"),
     )
 
@@ -271,7 +272,7 @@ def mrr_list_price(subscriptions: DataFrame, plans: DataFrame) -> DataFrame:
     return (
         subscriptions.where(F.col("status") == "active")
         .groupBy(F.lower("plan_name").alias("plan_id"))
-        .agg(_rows.alias("n"))
+        .agg(_rows().alias("n"))
         .join(plans.select("plan_id", "monthly_price"), "plan_id")
         .agg(F.sum(F.col("monthly_price") * F.col("n").cast("decimal(18,0)")).alias("mrr"))
     )
@@ -281,5 +282,5 @@ def churn_rate(accounts: DataFrame, as_of: date) -> DataFrame:
     """Share of churned accounts among those that signed up before the month of `as_of`."""
     churned = F.count_if(F.col("status") == "churned")
     return accounts.where(F.col("signup_date") < F.lit(as_of.replace(day=1))).agg(
-        (churned / F.nullif(_rows, F.lit(0))).alias("churn_rate")
+        (churned / F.nullif(_rows(), F.lit(0))).alias("churn_rate")
     )

@@ -73,13 +73,22 @@ def dim_date(
 
 
 def dim_plan(spark: SparkSession, run_ts: datetime | None = None) -> DataFrame:
-    """The seeded plan tiers."""
-    rows = [
-        (key, ident, name, tier, Decimal(monthly), annual and Decimal(annual), users, storage,
-         api, priority, True, run_ts, run_ts)
-        for key, ident, name, tier, monthly, annual, users, storage, api, priority in PLAN_TIERS
+    """The seeded plan tiers, as literals: Spark then knows the table is tiny and broadcasts it."""
+    seeded = [c for c in DIM_PLAN.names if c not in ("is_active", "created_at", "updated_at")]
+    tiers = [
+        F.struct(
+            *[
+                F.lit(value).cast(DIM_PLAN[name].dataType).alias(name)
+                for name, value in zip(seeded, tier, strict=True)
+            ]
+        )
+        for tier in PLAN_TIERS
     ]
-    return spark.createDataFrame(rows, DIM_PLAN)
+    now = F.lit(run_ts).cast("timestamp_ntz")
+    plans = spark.range(1).select(F.inline(F.array(*tiers)))
+    return conform(
+        plans.withColumns({"is_active": F.lit(True), "created_at": now, "updated_at": now}), DIM_PLAN
+    )
 
 
 def dim_account(
