@@ -47,7 +47,7 @@ def _result(
         text(expected).alias("expected"),
         text(actual).alias("actual"),
         text(message).alias("message"),
-        text(severity or check.severity).alias("severity"),
+        text(check.severity if severity is None else severity).alias("severity"),
     )
 
 
