@@ -321,7 +321,6 @@ def etl_load(t: Tables) -> DataFrame:
     """
     folder = _raw_folder(t)
     warehouse = Warehouse(t.spark, shared_folder(t.spark, "warehouse"))
-    warehouse.create_tables()
     for _ in range(2):
         run_etl(t.spark, folder, warehouse, b.RUN_TS)
         build_star(t.spark, warehouse, b.AS_OF, b.RUN_TS)
