@@ -1,0 +1,110 @@
+from __future__ import annotations
+
+import json
+from datetime import datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from ledgerline.operators import clean_user_events
+from ledgerline.sources import SOURCES, check_sources, read_file, read_source, resolve_source
+from ledgerline.sources.files import ROW_ORDER
+from plans import plan_of
+
+EVENT = {"event_id": "e1", "user_id": "u1", "event_type": "Click", "timestamp": "2024-01-01T10:00:00"}
+
+
+def put(folder, name, text):
+    path = folder / name
+    path.write_text(text)
+    return str(path)
+
+
+def test_json_list_and_single_object(spark, tmp_path):
+    schema = SOURCES["user_events"].raw_schema
+    many = put(tmp_path, "many.json", json.dumps([EVENT, {**EVENT, "event_id": "e2"}]))
+    one = put(tmp_path, "one.json", json.dumps(EVENT))
+    none = put(tmp_path, "none.json", "[]")
+    assert read_file(spark, many, schema).count() == 2
+    assert read_file(spark, one, schema).first()["event_id"] == "e1"
+    assert read_file(spark, none, schema).count() == 0
+
+
+def test_malformed_json_fails(spark, tmp_path):
+    path = put(tmp_path, "bad.json", '[{"event_id": ')
+    with pytest.raises(Exception, match="MALFORMED_RECORD|FAILED_READ_FILE"):
+        read_file(spark, path, SOURCES["user_events"].raw_schema).collect()
+
+
+def test_json_properties_keep_their_kind(spark, tmp_path):
+    values = [{"a": 1, "b": None}, '{"a": 2}', "plain", 5, None, [1]]
+    put(
+        tmp_path,
+        "user_events.json",
+        json.dumps([{**EVENT, "event_id": str(i), "properties": v} for i, v in enumerate(values)]),
+    )
+    rows = clean_user_events(read_source(spark, str(tmp_path), "user_events"), ROW_ORDER).collect()
+    got = {r["event_id"]: r["properties"] for r in rows}
+    assert got == {"0": '{"a":1,"b":null}', "1": '{"a": 2}', "2": "{}", "3": "{}", "4": "{}", "5": "{}"}
+
+
+def test_csv_by_header_with_missing_values(spark, tmp_path):
+    path = put(tmp_path, "x.csv", 'b,a\nNA,1\n"x, ""y""",2\n,3\n')
+    rows = read_file(spark, path).orderBy("a").collect()
+    assert [(r["a"], r["b"]) for r in rows] == [("1", None), ("2", 'x, "y"'), ("3", None)]
+
+
+def test_unknown_format_and_missing_path(spark, tmp_path):
+    with pytest.raises(ValueError, match="Unsupported file format: .xml"):
+        read_file(spark, put(tmp_path, "x.xml", "<a/>"))
+    empty = read_file(spark, str(tmp_path / "none.json"), SOURCES["subscriptions"].raw_schema)
+    assert empty.count() == 0 and "start_date" in empty.columns
+    assert read_source(spark, str(tmp_path), "user_events").count() == 0
+
+
+def test_parquet_is_preferred(spark, tmp_path):
+    assert resolve_source(spark, str(tmp_path), "user_events").endswith("user_events.json")
+    put(tmp_path, "user_events.json", json.dumps([EVENT]))
+    assert resolve_source(spark, str(tmp_path), "user_events").endswith(".json")
+    spark.range(1).write.parquet(str(tmp_path / "user_events.parquet"))
+    assert resolve_source(spark, str(tmp_path), "user_events").endswith(".parquet")
+
+
+def test_sources_must_be_there(spark, tmp_path):
+    for name in ("user_profiles", "subscriptions", "user_events"):
+        put(tmp_path, f"{name}.json", "[]")
+    with pytest.raises(FileNotFoundError, match="transactions.json"):
+        check_sources(spark, str(tmp_path))
+    put(tmp_path, "transactions.json", "[]")
+    assert len(check_sources(spark, str(tmp_path))) == 4
+
+
+def test_since_is_strict_and_pushed_down(spark, tmp_path):
+    times = [datetime(2024, 1, d) for d in (1, 2, 3)]
+    df = spark.createDataFrame([(str(t.day), t) for t in times], "event_id string, timestamp timestamp_ntz")
+    df.write.parquet(str(tmp_path / "user_events.parquet"))
+    later = read_source(spark, str(tmp_path), "user_events", since=times[1])
+    assert [r["event_id"] for r in later.collect()] == ["3"]
+    assert "PushedFilters: [IsNotNull(timestamp), GreaterThan(timestamp" in plan_of(later)
+
+
+def test_since_uses_the_time_column_of_each_source(spark, tmp_path):
+    rows = [{"transaction_id": i, "transaction_date": f"2024-01-0{i}"} for i in (1, 2, 3)]
+    put(tmp_path, "transactions.json", json.dumps(rows))
+    later = read_source(spark, str(tmp_path), "transactions", since=datetime(2024, 1, 2))
+    assert [r["transaction_id"] for r in later.collect()] == ["3"]
+
+
+def test_row_order_is_file_order(spark, tmp_path):
+    copies = [{**EVENT, "event_type": f"copy{i}"} for i in range(50)]
+    put(tmp_path, "user_events.json", json.dumps(copies))
+    first = clean_user_events(read_source(spark, str(tmp_path), "user_events"), ROW_ORDER).first()
+    assert first["event_type"] == "copy0"
+    spark.createDataFrame(copies[::-1]).coalesce(1).write.parquet(str(tmp_path / "user_events.parquet"))
+    first = clean_user_events(read_source(spark, str(tmp_path), "user_events"), ROW_ORDER).first()
+    assert first["event_type"] == "copy49"
+
+
+def test_only_needed_columns_are_read(spark, sf):
+    plan = plan_of(read_file(spark, f"{sf}/orders.parquet").groupBy("o_orderstatus").agg(F.count("*")))
+    assert "ReadSchema: struct<o_orderstatus:string>" in plan
