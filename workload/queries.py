@@ -302,7 +302,7 @@ def etl_row_counts(t: Tables) -> DataFrame:
     return metrics.table_counts({n: t(n) for n in t.cleaned})
 
 
-def _raw_folder(t: Tables) -> str:
+def raw_folder(t: Tables) -> str:
     """The four raw sources as Parquet files, in source order and under their raw names."""
     folder = shared_folder(t.spark, "raw")
     for name, spec in SOURCES.items():
@@ -319,7 +319,7 @@ def etl_load(t: Tables) -> DataFrame:
 
     The second run must change nothing. Rows per table as stored afterwards.
     """
-    folder = _raw_folder(t)
+    folder = raw_folder(t)
     warehouse = Warehouse(t.spark, shared_folder(t.spark, "warehouse"))
     for _ in range(2):
         run_etl(t.spark, folder, warehouse, b.RUN_TS)
