@@ -9,15 +9,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from .lookup import fits_broadcast
+
 
 def conform(df: DataFrame, schema: StructType) -> DataFrame:
     """`df` in the declared columns, order and types; columns it lacks are null."""
-    return df.select(
-        *[
-            (F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
-            for f in schema.fields
-        ]
-    )
+    present = set(df.columns)
+
+    def column(name: str, kind: str) -> str:
+        return f"CAST({f'`{name}`' if name in present else 'NULL'} AS {kind}) AS `{name}`"
+
+    return df.selectExpr(*[column(f.name, f.dataType.simpleString()) for f in schema.fields])
 
 
 def _same(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
@@ -38,33 +40,72 @@ def rows_not_in(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> Dat
 
 
 def upserted(
-    target: DataFrame, batch: DataFrame, keys: Sequence[str], update_columns: Sequence[str]
+    target: DataFrame,
+    batch: DataFrame,
+    keys: Sequence[str],
+    update_columns: Sequence[str],
+    target_is_unique: bool = False,
 ) -> DataFrame:
     """`target` after inserting the batch, or updating `update_columns` where the key exists.
 
     Both sides share one schema and the batch holds a key once. All other columns of a row that
-    exists keep their value. The target is joined twice to the batch rather than once by a full
-    outer join, because those two joins let Spark broadcast a small batch.
+    exists keep their value. A key the target holds twice, as after a load that was cut off, ends
+    up once if the batch has it; `target_is_unique` says that cannot happen.
+
+    If the keys of the batch are small enough to broadcast, the target is filtered by them in
+    place. Otherwise one full outer join moves either side once.
     """
+    kept = [c for c in target.columns if c not in keys and c not in update_columns]
+    if fits_broadcast(batch.select(*keys)):
+        return _upserted_in_place(target, batch, keys, kept)
+    return _upserted_by_shuffle(target, batch, keys, kept, target_is_unique)
+
+
+def _upserted_in_place(
+    target: DataFrame, batch: DataFrame, keys: Sequence[str], kept: Sequence[str]
+) -> DataFrame:
     asked = batch.select(*keys)
     untouched = target.join(asked, list(keys), "left_anti")
-    kept = [c for c in target.columns if c not in keys and c not in update_columns]
     before = (
         target.select(*keys, *kept)
         .join(asked, list(keys), "left_semi")
         .dropDuplicates(list(keys))
         .select(
             *keys,
-            F.lit(True).alias("_exists"),
-            *[F.col(c).alias(f"_before_{c}") for c in kept],
+            F.lit(True).alias("_held"),
+            *[F.col(c).alias(f"_held_{c}") for c in kept],
         )
     )
     merged = batch.join(before, list(keys), "left").select(
         *[
-            F.when(F.col("_exists"), F.col(f"_before_{c}")).otherwise(F.col(c)).alias(c)
+            F.when(F.col("_held"), F.col(f"_held_{c}")).otherwise(F.col(c)).alias(c)
             if c in kept
             else F.col(c)
             for c in target.columns
         ]
     )
     return untouched.unionByName(merged)
+
+
+def _upserted_by_shuffle(
+    target: DataFrame,
+    batch: DataFrame,
+    keys: Sequence[str],
+    kept: Sequence[str],
+    target_is_unique: bool,
+) -> DataFrame:
+    def marked(df: DataFrame, mark: str) -> DataFrame:
+        others = [F.col(c).alias(f"{mark}_{c}") for c in df.columns if c not in keys]
+        return df.select(*keys, *others, F.lit(True).alias(mark))
+
+    held = target if target_is_unique else target.dropDuplicates(list(keys))
+    both = marked(held, "_held").join(marked(batch, "_new"), list(keys), "full_outer")
+
+    def value(column: str):
+        if column in keys:
+            return F.col(column)
+        first, second = ("_held", "_new") if column in kept else ("_new", "_held")
+        chosen = F.when(F.col(first), F.col(f"{first}_{column}"))
+        return chosen.otherwise(F.col(f"{second}_{column}")).alias(column)
+
+    return both.select(*[value(c) for c in target.columns])

@@ -36,22 +36,6 @@ SUBSCRIPTION_UPDATES = [
 SNAPSHOT_UPDATES = ["subscription_status", "mrr", "is_churned"]
 
 
-def cleaned_tables(
-    raw: dict[str, DataFrame], order_by: dict[str, Sequence[str]], run_ts: datetime
-) -> dict[str, DataFrame]:
-    """The four warehouse tables from the four raw ones, without loading anything."""
-    profiles = clean_user_profiles(raw["user_profiles"], order_by["user_profiles"])
-    events = clean_user_events(raw["user_events"], order_by["user_events"])
-    return {
-        "user_profiles": profiles,
-        "subscriptions": clean_subscriptions(
-            raw["subscriptions"], order_by["subscriptions"], run_ts
-        ),
-        "transactions": clean_transactions(raw["transactions"], order_by["transactions"]),
-        "user_events": enrich_user_events(events, profiles, hot_from=raw["user_events"]),
-    }
-
-
 def load_user_events(
     warehouse: Warehouse, raw: DataFrame, profiles: DataFrame | None, run_ts: datetime,
     order_by: Sequence[str] = ROW_ORDER,

@@ -74,18 +74,14 @@ def dim_date(
 
 def dim_plan(spark: SparkSession, run_ts: datetime | None = None) -> DataFrame:
     """The seeded plan tiers, as literals: Spark then knows the table is tiny and broadcasts it."""
+
+    def literal(value: object) -> str:
+        return "NULL" if value is None else f"'{value}'"
+
+    rows = ", ".join(f"({', '.join(map(literal, tier))})" for tier in PLAN_TIERS)
     seeded = [c for c in DIM_PLAN.names if c not in ("is_active", "created_at", "updated_at")]
-    tiers = [
-        F.struct(
-            *[
-                F.lit(value).cast(DIM_PLAN[name].dataType).alias(name)
-                for name, value in zip(seeded, tier, strict=True)
-            ]
-        )
-        for tier in PLAN_TIERS
-    ]
+    plans = spark.sql(f"SELECT * FROM VALUES {rows} AS plans({', '.join(seeded)})")
     now = F.lit(run_ts).cast("timestamp_ntz")
-    plans = spark.range(1).select(F.inline(F.array(*tiers)))
     return conform(
         plans.withColumns({"is_active": F.lit(True), "created_at": now, "updated_at": now}), DIM_PLAN
     )
@@ -169,16 +165,18 @@ def fact_subscription_daily(
     list price of its plan whatever its status; unknown plans count as the first plan at no
     price. A cancelled or expired subscription is marked churned on each of its days.
 
-    Subscriptions are cut to the days in question first. Among subscriptions of one user that
-    cover the same days only the one started last can ever represent the account, so the others
-    are dropped before days are spelled out. That leaves at most a few hundred rows per user
-    (one per distinct stretch of days) however many subscriptions the user has, and only then
-    do rows meet by user. Days are spelled out after that shuffle, not before it.
+    The days are those of `dates` in the period. Subscriptions are cut to the period first. Among
+    subscriptions of one user that cover the same days only the one started last can ever
+    represent the account, so the others are dropped before days are spelled out. That leaves at
+    most a few hundred rows per user (one per distinct stretch of days) however many
+    subscriptions the user has, and only then do rows meet by user. Days are spelled out after
+    that shuffle, not before it.
     """
-    high = F.lit(as_of)
-    low = F.lit(as_of - timedelta(days=days_back))
-    first = F.greatest(F.col("start_date").cast("date"), low)
-    last = F.least(F.coalesce(F.col("end_date").cast("date"), high), high)
+    low, high = as_of - timedelta(days=days_back), as_of
+    calendar = dates.where(F.col("full_date").between(F.lit(low), F.lit(high)))
+    days = [row["full_date"] for row in calendar.select("full_date").collect()]  # one per day
+    first = F.greatest(F.col("start_date").cast("date"), F.lit(low))
+    last = F.least(F.coalesce(F.col("end_date").cast("date"), F.lit(high)), F.lit(high))
     spans = (
         subscriptions.where(F.col("user_id").isNotNull() & F.col("start_date").isNotNull())
         .select(
@@ -197,18 +195,19 @@ def fact_subscription_daily(
     held = per_stretch.join(
         accounts.select(F.col("account_id").alias("user_id"), "account_key"), "user_id"
     )
-    daily = held.withColumn("full_date", F.explode(F.sequence("first_day", "last_day")))
+    covered = F.filter(
+        F.array(*[F.lit(day) for day in days]).cast("array<date>"),
+        lambda day: day.between(F.col("first_day"), F.col("last_day")),
+    )
+    daily = held.withColumn("full_date", F.explode(covered))
     current = keep_last(daily, ["user_id", "full_date"], newest)
     priced = current.join(
         plans.select("plan_id", "plan_key", "monthly_price"), "plan_id", "left"
-    ).join(
-        dates.where(F.col("full_date").between(low, high)).select("full_date", "date_key"),
-        "full_date",
     )
     price = F.coalesce("monthly_price", F.lit(Decimal("0.00")))
     return conform(
         priced.select(
-            "date_key",
+            date_key(F.col("full_date")).alias("date_key"),
             "account_key",
             F.coalesce("plan_key", F.lit(DEFAULT_PLAN_KEY)).alias("plan_key"),
             F.col("status").alias("subscription_status"),

@@ -209,7 +209,8 @@ class Warehouse:
             leaving = self._partitions(moved_from, column) - coming
         touched = target.where(F.col(column).isin(*coming, *leaving))
         updates = [*update_columns, *([] if column in keys else [column])]
-        merged = upserted(touched, batch, keys, updates)
+        # With the partition column in the key, a key cannot sit in two partitions.
+        merged = upserted(touched, batch, keys, updates, target_is_unique=column in keys)
         vacated = leaving - self._partitions(merged, column) if leaving else set()
         self.write(table, merged, "replace", only_touched=True)
         # A partition all of whose rows moved elsewhere gets no new files, hence no overwrite.

@@ -136,3 +136,18 @@ def test_upsert_heals_a_key_held_twice(spark):
     target = spark.createDataFrame([("a", 1, "old"), ("a", 2, "old")], columns)
     batch = spark.createDataFrame([("a", 3, "new")], columns)
     assert [tuple(r) for r in upserted(target, batch, ["k"], ["v"]).collect()] == [("a", 3, "old")]
+
+
+def test_upsert_gives_the_same_rows_on_either_path(spark, no_broadcast):
+    columns = "k string, v int, kept string"
+    target = spark.createDataFrame(
+        [("a", 1, "old"), ("b", 2, "old"), ("c", None, None), ("twice", 1, "old"), ("twice", 1, "old")], columns
+    )
+    batch = spark.createDataFrame(
+        [("b", None, "new"), ("c", 7, "new"), ("d", 9, "new"), ("twice", 3, "new")], columns
+    )
+    got = sorted(tuple(r) for r in upserted(target, batch, ["k"], ["v"]).collect())
+    assert got == [
+        ("a", 1, "old"), ("b", None, "old"), ("c", 7, None), ("d", 9, "new"), ("twice", 3, "old"),
+    ]
+    assert plan_of(upserted(target, batch, ["k"], ["v"])).count("SortMergeJoin") == 1

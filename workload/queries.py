@@ -9,23 +9,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, DecimalType
 
+from ledgerline import operators as ops
 from ledgerline.functions import normalised_properties, parse_moment, parse_money
-from ledgerline.operators import (
-    clean_user_events,
-    conform,
-
-    keep_first,
-    keep_last,
-    rows_not_in,
-    upserted,
-)
+from ledgerline.operators import conform, keep_first, keep_last, rows_not_in, upserted
 from ledgerline.operators import quality as checks
 from ledgerline.plans import metrics, star
 from ledgerline.plans.pipeline import (
     EVENT_UPDATES,
     SNAPSHOT_UPDATES,
     build_star,
-    cleaned_tables,
     run_etl,
 )
 from ledgerline.plans.quality_suite import QualitySuite, warehouse_suite
@@ -60,27 +52,38 @@ def portable(df: DataFrame) -> DataFrame:
     )
 
 
+WAREHOUSE_TABLES = ["user_profiles", "subscriptions", "transactions", "user_events"]
+
+
 class Tables:
     """The raw sources, the warehouse tables and the star schema over one folder, all lazy."""
 
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
         self.spark, self.sf_dir = spark, sf_dir
+        self._built: dict[str, DataFrame] = {}
 
     def raw(self, name: str) -> DataFrame:
         return b.raw(self.spark, self.sf_dir, name)
 
-    @cached_property
-    def cleaned(self) -> dict[str, DataFrame]:
-        names = ("user_profiles", "subscriptions", "transactions", "user_events")
-        raw = {n: self.raw(n) for n in names}
-        stamp = F.lit(b.RUN_TS).cast("timestamp_ntz")
-        return {
-            n: df.withColumn("ingested_at", stamp)
-            for n, df in cleaned_tables(raw, b.ORDER_BY, b.RUN_TS).items()
-        }
+    def _build(self, name: str) -> DataFrame:
+        raw, order = self.raw(name), b.ORDER_BY[name]
+        if name == "user_profiles":
+            return ops.clean_user_profiles(raw, order)
+        if name == "subscriptions":
+            return ops.clean_subscriptions(raw, order, b.RUN_TS)
+        if name == "transactions":
+            return ops.clean_transactions(raw, order)
+        events = ops.clean_user_events(raw, order)
+        return ops.enrich_user_events(events, self.profiles, hot_from=raw)
 
     def __call__(self, name: str) -> DataFrame:
-        return self.cleaned[name]
+        """A warehouse table as it stands after a load of the raw sources."""
+        if name not in WAREHOUSE_TABLES:
+            raise KeyError(name)
+        if name not in self._built:
+            stamp = F.lit(b.RUN_TS).cast("timestamp_ntz")
+            self._built[name] = self._build(name).withColumn("ingested_at", stamp)
+        return self._built[name]
 
     @property
     def events(self) -> DataFrame:
@@ -116,9 +119,14 @@ class Tables:
             self.events, self.profiles, self.dates, hot_from=self.raw("user_events")
         )
 
-    def snapshots(self, as_of=b.AS_OF, days_back: int = 30) -> DataFrame:
+    def snapshots(self, days_back: int = 30, dates: DataFrame | None = None) -> DataFrame:
         return star.fact_subscription_daily(
-            self.subscriptions, self.dim_account, self.plans, self.dates, as_of, days_back
+            self.subscriptions,
+            self.dim_account,
+            self.plans,
+            self.dates if dates is None else dates,
+            b.AS_OF,
+            days_back,
         )
 
 
@@ -177,7 +185,7 @@ def scan_csv(t: Tables) -> DataFrame:
 
 @query
 def clean_user_events_(t: Tables) -> DataFrame:
-    return clean_user_events(t.raw("dirty_events"), b.ORDER_BY["dirty_events"]).drop("arrival")
+    return ops.clean_user_events(t.raw("dirty_events"), b.ORDER_BY["dirty_events"]).drop("arrival")
 
 
 @query
@@ -299,7 +307,7 @@ def evolve_schema(t: Tables) -> DataFrame:
 
 @query
 def etl_row_counts(t: Tables) -> DataFrame:
-    return metrics.table_counts({n: t(n) for n in t.cleaned})
+    return metrics.table_counts({n: t(n) for n in WAREHOUSE_TABLES})
 
 
 def raw_folder(t: Tables) -> str:
@@ -406,7 +414,9 @@ def star_row_counts(t: Tables) -> DataFrame:
 
 @query
 def mrr_by_month(t: Tables) -> DataFrame:
-    return star.mrr_by_month(t.snapshots(days_back=1000), t.dates)
+    """Only month ends of the last 1,000 days are snapshot at all."""
+    month_ends = t.dates.where("is_month_end")
+    return star.mrr_by_month(t.snapshots(days_back=1000, dates=month_ends), month_ends)
 
 
 @query
@@ -543,7 +553,7 @@ def invalid_date_ranges(t: Tables) -> DataFrame:
 
 # Analytics
 
-metric("table_counts", lambda t: metrics.table_counts({n: t(n) for n in t.cleaned}))
+metric("table_counts", lambda t: metrics.table_counts({n: t(n) for n in WAREHOUSE_TABLES}))
 metric(
     "ingestion_recency",
     lambda t: metrics.ingestion_recency(
