@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date, datetime
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -46,6 +48,14 @@ def load_user_events(
     return warehouse.upsert("user_events", enriched, ["event_id"], EVENT_UPDATES, run_ts)
 
 
+def _together(*loads: Callable[[], Any]) -> list[Any]:
+    """Runs loads that do not depend on each other at the same time, so that the last tasks of
+    one do not leave the cluster idle. All finish before an error of one is raised."""
+    with ThreadPoolExecutor(max_workers=len(loads)) as pool:
+        running = [pool.submit(load) for load in loads]
+    return [load.result() for load in running]
+
+
 def run_etl(
     spark: SparkSession,
     raw_dir: str,
@@ -66,25 +76,36 @@ def run_etl(
     def source(name: str) -> DataFrame:
         return read_source(spark, raw_dir, name, since)
 
-    loaded = {}
-    profiles = clean_user_profiles(source("user_profiles"), ROW_ORDER)
-    loaded["user_profiles"] = warehouse.replace("user_profiles", profiles, run_ts)
-    subscriptions = clean_subscriptions(source("subscriptions"), ROW_ORDER, run_ts)
-    if upsert_subscriptions:
-        loaded["subscriptions"] = warehouse.upsert(
-            "subscriptions", subscriptions, ["subscription_id"], SUBSCRIPTION_UPDATES, run_ts
-        )
-    else:
-        loaded["subscriptions"] = warehouse.insert_new(
-            "subscriptions", subscriptions, ["subscription_id"], run_ts
-        )
-    transactions = clean_transactions(source("transactions"), ROW_ORDER)
-    loaded["transactions"] = warehouse.insert_new(
-        "transactions", transactions, ["transaction_id"], run_ts
+    def profiles() -> int:
+        cleaned = clean_user_profiles(source("user_profiles"), ROW_ORDER)
+        return warehouse.replace("user_profiles", cleaned, run_ts)
+
+    def subscriptions() -> int:
+        cleaned = clean_subscriptions(source("subscriptions"), ROW_ORDER, run_ts)
+        key = ["subscription_id"]
+        if upsert_subscriptions:
+            return warehouse.upsert("subscriptions", cleaned, key, SUBSCRIPTION_UPDATES, run_ts)
+        return warehouse.insert_new("subscriptions", cleaned, key, run_ts)
+
+    def transactions() -> int:
+        cleaned = clean_transactions(source("transactions"), ROW_ORDER)
+        return warehouse.insert_new("transactions", cleaned, ["transaction_id"], run_ts)
+
+    def profiles_then_events() -> tuple[int, int]:
+        people = profiles()
+        # The profiles just written: clean, one per user, of a size Spark knows from the files.
+        known = warehouse.read("user_profiles") if people else None
+        return people, load_user_events(warehouse, source("user_events"), known, run_ts)
+
+    (people, events), subscribed, paid = _together(
+        profiles_then_events, subscriptions, transactions
     )
-    # The profiles just written: clean, one per user, and of a size Spark knows from the files.
-    known = warehouse.read("user_profiles") if loaded["user_profiles"] else None
-    loaded["user_events"] = load_user_events(warehouse, source("user_events"), known, run_ts)
+    loaded = {
+        "user_profiles": people,
+        "subscriptions": subscribed,
+        "transactions": paid,
+        "user_events": events,
+    }
     for table, rows in loaded.items():
         log.info("Loaded %s rows to %s", f"{rows:,}", table)
     return loaded
@@ -95,26 +116,36 @@ def build_star(
 ) -> dict[str, int]:
     """Builds or extends dimensions, then facts; returns rows held per star table."""
     configure(spark)
-    warehouse.insert_new("dim_date", star.dim_date(spark), ["date_key"], run_ts)
-    warehouse.insert_new("dim_plan", star.dim_plan(spark, run_ts), ["plan_id"], run_ts)
     profiles = warehouse.read("user_profiles")
-    accounts = star.dim_account(profiles, run_ts, existing=warehouse.read("dim_account"))
-    warehouse.write("dim_account", accounts)
-    dates = warehouse.read("dim_date")
-    events = warehouse.read("user_events")
-    facts = star.fact_user_events(events, profiles, dates, run_ts)
-    warehouse.insert_new("fact_user_events", facts, ["event_id"], run_ts, sequence="event_key")
-    snapshots = star.fact_subscription_daily(
-        warehouse.read("subscriptions"),
-        warehouse.read("dim_account"),
-        warehouse.read("dim_plan"),
-        dates,
-        as_of,
-        run_ts=run_ts,
-    )
-    warehouse.upsert(
-        "fact_subscription_daily", snapshots, ["date_key", "account_key"], SNAPSHOT_UPDATES, run_ts
+
+    def accounts() -> int:
+        held = warehouse.read("dim_account")
+        return warehouse.write("dim_account", star.dim_account(profiles, run_ts, held))
+
+    _together(
+        lambda: warehouse.insert_new("dim_date", star.dim_date(spark), ["date_key"], run_ts),
+        lambda: warehouse.insert_new("dim_plan", star.dim_plan(spark, run_ts), ["plan_id"], run_ts),
+        accounts,
     )
+    dates = warehouse.read("dim_date")
+
+    def events() -> int:
+        facts = star.fact_user_events(warehouse.read("user_events"), profiles, dates, run_ts)
+        return warehouse.insert_new("fact_user_events", facts, ["event_id"], run_ts, "event_key")
+
+    def snapshots() -> int:
+        facts = star.fact_subscription_daily(
+            warehouse.read("subscriptions"),
+            warehouse.read("dim_account"),
+            warehouse.read("dim_plan"),
+            dates,
+            as_of,
+            run_ts=run_ts,
+        )
+        keys = ["date_key", "account_key"]
+        return warehouse.upsert("fact_subscription_daily", facts, keys, SNAPSHOT_UPDATES, run_ts)
+
+    _together(events, snapshots)
     counts = table_counts({t: warehouse.read(t) for t in STAR_TABLES}).collect()
     return {row["table_name"]: row["record_count"] for row in counts}
 
