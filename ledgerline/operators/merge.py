@@ -29,14 +29,14 @@ def _same(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
 def rows_not_in(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of `batch` whose key `target` does not hold yet; null counts as a key value.
 
-    The target's keys are first cut down to those the batch mentions. A small batch is broadcast
-    for that (Spark checks its size), so a large target is scanned for one column and never
-    shuffled.
+    If the keys of the batch are small enough to broadcast, the target's keys are first cut down
+    to those the batch mentions: a large target is then scanned for its key and never shuffled.
     """
     held = target.select(*keys).alias("held")
-    asked = batch.select(*keys).distinct().alias("asked")
-    seen = held.join(asked, _same(held, asked, keys), "left_semi").distinct().alias("seen")
-    return batch.join(seen, _same(batch, seen, keys), "left_anti")
+    if fits_broadcast(batch.select(*keys)):
+        asked = batch.select(*keys).distinct().alias("asked")
+        held = held.join(asked, _same(held, asked, keys), "left_semi").distinct().alias("seen")
+    return batch.join(held, _same(batch, held, keys), "left_anti")
 
 
 def upserted(

@@ -130,8 +130,10 @@ def build_star(
     dates = warehouse.read("dim_date")
 
     def events() -> int:
-        facts = star.fact_user_events(warehouse.read("user_events"), profiles, dates, run_ts)
-        return warehouse.insert_new("fact_user_events", facts, ["event_id"], run_ts, "event_key")
+        # Facts held already are sorted out before anything else is done for the others.
+        stored, held = warehouse.read("user_events"), warehouse.read("fact_user_events")
+        new = star.fact_user_events(stored, profiles, dates, run_ts, held, hot_from=stored)
+        return warehouse.write("fact_user_events", new, sequence="event_key")
 
     def snapshots() -> int:
         facts = star.fact_subscription_daily(

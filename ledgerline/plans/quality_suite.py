@@ -197,27 +197,34 @@ class QualitySuite:
         )
         return self._spark.createDataFrame([row], RESULT_SCHEMA)
 
+    def _table(self, name: str) -> DataFrame:
+        if name not in self._read:
+            self._read[name] = self._tables(name)
+        return self._read[name]
+
+    def _alone(self, index: int, check: Check) -> DataFrame:
+        """A check by itself; one that cannot even be planned becomes a failed row."""
+        try:
+            source = check.frame(self._table(check.table), self._table)
+            return results_frame([(index, check)], source, self._table)
+        except Exception as error:  # any reason a check cannot be set up is its result
+            return self._failure(index, check, error)
+
     def _frames(self, apart: bool) -> list[DataFrame]:
-        """One frame per pass. A check that cannot be planned becomes a failed row right away;
-        with `apart`, nothing is shared and each frame holds one check."""
+        """One frame per pass over a table, or per check if they are to run `apart`."""
+        self._read: dict[str, DataFrame] = {}
         shared: dict[str, list[tuple[int, Check]]] = {}
-        bases: dict[str, DataFrame] = {}
         frames = []
         for index, check in enumerate(self._checks):
-            try:
-                if check.table not in bases:
-                    bases[check.table] = self._tables(check.table)
-                source = check.frame(bases[check.table], self._tables)
-                single = results_frame([(index, check)], source, self._tables)
-            except Exception as error:  # any reason a check cannot be set up is its result
-                frames.append(self._failure(index, check, error))
-                continue
             if check.shares_pass and not apart:
                 shared.setdefault(check.table, []).append((index, check))
             else:
-                frames.append(single)
+                frames.append(self._alone(index, check))
         for table, checks in shared.items():
-            frames.append(results_frame(checks, bases[table], self._tables))
+            try:
+                frames.append(results_frame(checks, self._table(table), self._table))
+            except Exception:  # find out which of them it is
+                frames += [self._alone(index, check) for index, check in checks]
         return frames
 
     def results(self) -> DataFrame:

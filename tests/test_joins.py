@@ -151,3 +151,11 @@ def test_upsert_gives_the_same_rows_on_either_path(spark, no_broadcast):
         ("a", 1, "old"), ("b", None, "old"), ("c", 7, None), ("d", 9, "new"), ("twice", 3, "old"),
     ]
     assert plan_of(upserted(target, batch, ["k"], ["v"])).count("SortMergeJoin") == 1
+
+
+def test_rows_not_in_gives_the_same_rows_on_either_path(spark, no_broadcast):
+    target = spark.createDataFrame([("a", 1), (None, 2), ("a", 9)], "k string, v int")
+    batch = spark.createDataFrame([("a", 3), (None, 4), ("b", 5), ("b", 6)], "k string, v int")
+    got = sorted(tuple(r) for r in rows_not_in(target, batch, ["k"]).collect())
+    assert got == [("b", 5), ("b", 6)]
+    assert plan_of(rows_not_in(target, batch, ["k"])).count("SortMergeJoin") == 1
