@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime
 import math
+import os
 import sys
 import time
 from decimal import Decimal
@@ -73,12 +74,15 @@ def main() -> None:
 
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.001"
     names = sys.argv[2:] or list(QUERIES)
-    spark = (
+    builder = (
         SparkSession.builder.master("local[8]")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.ui.enabled", "false")
-        .getOrCreate()
     )
+    # Further settings to try the queries under, as key=value separated by blanks.
+    for setting in os.environ.get("COMPARE_CONF", "").split():
+        builder = builder.config(*setting.split("=", 1))
+    spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("OFF")
     con = connect(sf_dir)
     bad = 0
