@@ -127,7 +127,8 @@ QUALIFY row_number() OVER (PARTITION BY d.date_key, a.account_key
 _CTES["snapshots"] = _snapshots("subscriptions", "2026-05-31", "2026-06-30")
 _CTES["long_snapshots"] = _snapshots("subscriptions", "2023-10-04", "2026-06-30")
 _CTES["later_subscriptions"] = """
-SELECT * REPLACE ('cancelled' AS status, 'Pro' AS plan_name) FROM subscriptions
+SELECT * REPLACE ('cancelled' AS status,
+  CASE WHEN plan_name = 'Pro' THEN 'Enterprise' ELSE 'Pro' END AS plan_name) FROM subscriptions
 """
 _CTES["later_snapshots"] = _snapshots("later_subscriptions", "2026-06-20", "2026-06-30")
 

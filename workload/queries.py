@@ -284,7 +284,10 @@ def load_upsert_subset(t: Tables) -> DataFrame:
     """Snapshots of one month end, reloaded after every subscription changed plan and status."""
     held = t.snapshots()
     later = t.subscriptions.withColumns(
-        {"status": F.lit("cancelled"), "plan_name": F.lit("Pro")}
+        {
+            "status": F.lit("cancelled"),
+            "plan_name": F.when(F.col("plan_name") == "Pro", "Enterprise").otherwise("Pro"),
+        }
     )
     batch = star.fact_subscription_daily(
         later, t.dim_account, t.plans, t.dates, b.AS_OF, days_back=10
