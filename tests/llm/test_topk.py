@@ -1,0 +1,58 @@
+"""Exact search against brute force."""
+
+from __future__ import annotations
+
+import math
+import random
+
+from pyspark.sql import functions as F
+
+from ledgerline.llm import topk
+from ledgerline.llm.topk import top_k
+
+
+def brute(rows, k=5, every=50):
+    fine = []
+    for at, (i, v) in enumerate(rows):
+        if i is not None and v and all(x is not None and math.isfinite(x) for x in v):
+            fine.append((at, i, [math.floor(256 * x) for x in v]))
+    out = []
+    for at, i, q in fine:
+        if i % every == 0:
+            scored = sorted((-sum(a * b for a, b in zip(q, c)), j) for bt, j, c in fine if bt != at and len(c) == len(q))
+            out += [(i, n + 1, j, -s) for n, (s, j) in enumerate(scored[:k])]
+    return sorted(out)
+
+
+def result(df):
+    return sorted(tuple(r) for r in df.collect())
+
+
+def test_equals_brute_force(spark, rng, monkeypatch) -> None:
+    monkeypatch.setattr(topk, "SHARD", 37)
+    monkeypatch.setattr(topk, "TILE", 4)
+    monkeypatch.setattr(topk, "SHARDS", 2)
+    monkeypatch.setattr(topk, "TILES", 2)
+    rows = [(i, [rng.uniform(-1, 1) for _ in range(8)]) for i in range(700)]
+    same = [0.5] * 8
+    rows += [(i, same) for i in range(700, 900)]  # ties
+    rows += [(900, None), (950, []), (1000, [1.0, None] + [0.0] * 6), (1050, [math.nan] * 8), (1100, [math.inf] * 8), (None, same)]
+    rows += [(50, same), (50, same), (-50, [0.1] * 8), (1150, [1.0, 2.0]), (3, [3.0, -4.0]), (1200, [1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumn("shard", F.lit("clash")).repartition(3)
+    assert result(top_k(df, F.col("vec_id") % 50 == 0)) == brute(rows)
+
+
+def test_large_components_and_empty_table(spark) -> None:
+    rows = [(0, [1e5, -3.0]), (1, [2e5, 7.0]), (2, [1e9, 1.0]), (3, [3.0, 2.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert result(top_k(df, F.col("vec_id") == 0)) == [r for r in brute(rows, every=7) if r[0] == 0]
+    huge = spark.createDataFrame([(0, [1e300]), (1, [1e300]), (2, [-1e300])], "vec_id long, embedding array<double>")
+    assert [r[2:] for r in result(top_k(huge, F.col("vec_id") == 0))] == [(1, 2**63 - 1), (2, -(2**63) + 1)]
+    assert top_k(df.limit(0), F.col("vec_id") == 0).collect() == []
+
+
+def test_table(spark, sf) -> None:
+    df = spark.read.parquet(f"{sf}/embeddings.parquet")
+    rows = [(r.vec_id, r.embedding) for r in df.collect()]
+    assert result(top_k(df, F.col("vec_id") % 50 == 0)) == brute(rows)
+    random.shuffle(rows)
