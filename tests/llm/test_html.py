@@ -1,0 +1,58 @@
+"""Main text of pages."""
+
+from __future__ import annotations
+
+import html
+import re
+
+from ledgerline.llm.html import extract, main_text
+
+P1 = "The quick brown fox jumps over the lazy dog, again and again, until the evening comes."
+P2 = "Another paragraph with a <a href='/x'>link</a> in it &amp; some <i>more</i> words to read."
+
+
+def test_article_among_boilerplate() -> None:
+    page = f"""<html><head><title>T</title><script>if (a < b) {{ "<p>no</p>" }}</script></head><body class="has-sidebar">
+    <header><a href=/>Home</a></header><nav><ul><li><a href=a>One</a><li><a href=b>Two</a></ul></nav>
+    <div class="cookie-notice">We use cookies on this site to make it better, please accept all of them now.</div>
+    <article><h1>Title</h1><p>{P1}<p>{P2}<br>after break</article>
+    <div id="sidebar"><p>Some sidebar text which is quite long really, and says nothing of use to anyone at all.</p></div>
+    <form><label>Name</label><input></form>
+    <section class="comments"><div class="comment-body">I like this article very much indeed, thanks a lot for it.</div></section>
+    <footer>&copy; 2024</footer></body></html>"""
+    assert main_text(page) == "\n\n".join(["Title", P1, "Another paragraph with a link in it & some more words to read. after break"])
+
+
+def test_divs_without_article() -> None:
+    page = f"""<body><div><ul><li><a href=1>Menu one</a></li><li><a href=2>Menu two</a></li></ul></div>
+    <div><h2>Head</h2><p>{P1}</p><div><p>{P1}</p></div><p>Of.</p></div><p><a href=z>next page</a></p></body>"""
+    assert main_text(page) == "\n\n".join(["Head", P1, P1, "Of."])
+
+
+def test_broken_markup() -> None:
+    assert main_text(None) == "" and main_text("") == "" and main_text("<body></body>") == ""
+    assert main_text("plain &lt;text&gt; a < b") == "plain <text> a < b"
+    assert main_text(f"<article><p>{P1}<div") == P1
+    assert main_text(f"<article><p>{P1}<!-- never closed") == P1
+    assert main_text("<p>" * 3000 + "deep" + "<div>" * 3000 + "er") == "deep\n\ner"
+    assert main_text("<article><p>caf&eacute;&#33;&#x21; &amp x</p></article>") == "café!! & x"
+
+
+def test_table(spark, sf) -> None:
+    """The pages of the test tables name their article; its text is derived here by substitution."""
+    pages = spark.read.parquet(f"{sf}/pages.parquet")
+    got = {r.page_id: (r.text, r.n_chars) for r in extract(pages).collect()}
+    for r in pages.collect():
+        body = r.html[r.html.index("<article>") + 9 : r.html.index("</article>")]
+        body = html.unescape(re.sub(r"</?b>", "", re.sub(r"<br>", " ", re.sub(r"</?(p|h1)>", "\0", body))))
+        want = "\n\n".join(" ".join(x.split()) for x in body.split("\0") if x.strip())
+        assert got.pop(r.page_id) == (want, len(want))
+    assert not got
+
+
+def test_nulls_repeats_and_clashing_names(spark) -> None:
+    df = spark.createDataFrame([(1, None, "old"), (2, "<p>a</p>", "old"), (2, "<p>a</p>", None)], "page_id long, html string, text string")
+    got = extract(df)
+    assert got.columns == ["page_id", "text", "n_chars"]
+    assert sorted(map(tuple, got.collect())) == [(1, "", 0), (2, "a", 1), (2, "a", 1)]
+    assert extract(df.limit(0)).collect() == []
