@@ -1,3 +1,109 @@
 """SQL counterparts of the queries that SQL can express."""
 
-ORACLE: dict[str, str] = {}
+from __future__ import annotations
+
+from .licenses import EQUIVALENT, KNOWN
+
+WORDS = "[x FOR x IN regexp_split_to_array(coalesce({0}, ''), '[\\x20\\x09-\\x0D]+') IF x <> '']"
+BREAK = r"[^\x20\x09-\x0D]"
+
+RULES = f"""
+WITH docs AS (
+    SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS text, {WORDS.format("text")} AS w FROM documents
+), lines AS (
+    SELECT r, count(*) - count(DISTINCT line) AS n_dup_lines
+    FROM (SELECT r, unnest(string_split(text, chr(10))) AS line FROM docs) WHERE regexp_matches(line, '{BREAK}') GROUP BY r
+), windows AS (
+    SELECT r, i, array_to_string(w[i : i + 4], ' ') AS g FROM (SELECT r, w, unnest(range(1, len(w) - 3)) AS i FROM docs)
+), twice AS (
+    SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, g) AS n FROM windows) WHERE n > 1
+), repeated AS (
+    SELECT r, count(DISTINCT i + k) AS n_repeat_words FROM twice, range(5) t(k) GROUP BY r
+), judged AS (
+    SELECT doc_id, source, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+        CAST(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+        coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words,
+        len(w) < 10 OR 100 * coalesce(n_repeat_words, 0) > 20 * len(w) AS base_failed
+    FROM docs LEFT JOIN lines USING (r) LEFT JOIN repeated USING (r)
+), hosts AS (
+    SELECT source, CAST(count(*) AS DOUBLE) AS n, CAST(count(*) FILTER (base_failed) AS DOUBLE) AS f
+    FROM judged WHERE source IS NOT NULL GROUP BY source
+), overall AS (
+    SELECT sum(n) AS n, count(*) AS h, sum(f) / sum(n) AS m, sum(f * f / n) / sum(n) AS q FROM hosts
+), prior AS (
+    SELECT m, CASE WHEN m * (1 - m) > 0 AND q - m * m - m * (1 - m) * h / n > 0
+        THEN least(greatest(m * (1 - m) / (q - m * m - m * (1 - m) * h / n) - 1, 1.0), 1e6) ELSE 1e6 END AS k FROM overall
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+    NOT base_failed AND NOT coalesce((hosts.f + m * k) / (hosts.n + k) > 0.5, false) AS kept
+FROM judged LEFT JOIN hosts USING (source) CROSS JOIN prior
+"""
+
+MIXING = f"""
+WITH docs AS (
+    SELECT doc_id, source, CAST(len({WORDS.format("text")}) AS BIGINT) AS size,
+        CAST('0x' || md5(coalesce(CAST(doc_id AS VARCHAR), ''))[1:15] AS BIGINT) AS h FROM documents
+), sources AS (
+    SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+        [5, 2, 1][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS weight FROM docs GROUP BY source
+), ordered AS (  -- sources reach their limit in this order
+    SELECT *, 3 * source_size AS lim, coalesce(sum(3 * source_size) OVER before, 0) AS fixed, sum(weight) OVER upwards AS open
+    FROM sources
+    WINDOW before AS (ORDER BY 3.0 * source_size / weight, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
+        upwards AS (ORDER BY 3.0 * source_size / weight, source ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)
+), shared AS (
+    SELECT max(((SELECT sum(source_size) FROM sources) - fixed) / open) AS share FROM ordered
+), aims AS (
+    SELECT source, source_size, least(share * weight, CAST(lim AS DOUBLE)) AS target FROM ordered, shared
+), plans AS (
+    SELECT *, CASE WHEN source_size > 0 THEN least(CAST(floor(target / source_size) AS BIGINT), 3) ELSE 0 END AS times FROM aims
+), run AS (
+    SELECT d.source, d.h, sum(d.size) AS here FROM docs d WHERE size > 0 GROUP BY d.source, d.h
+), upto AS (
+    SELECT source, h, here, sum(here) OVER (PARTITION BY source ORDER BY h) AS u FROM run
+), edge AS (
+    SELECT p.source, min_by(u.h, u.h) AS h, min_by(u.u, u.h) AS u, min_by(u.here, u.h) AS here, any_value(p.target - p.times * p.source_size) AS budget
+    FROM plans p JOIN upto u ON u.source IS NOT DISTINCT FROM p.source WHERE u.u > p.target - p.times * p.source_size GROUP BY p.source
+), marks AS (
+    SELECT source, h + CASE WHEN u - budget < budget - (u - here) THEN 1 ELSE 0 END AS threshold FROM edge
+)
+SELECT doc_id, size, source_size, target, CAST(size * (times + CASE WHEN h < coalesce(threshold, 0) THEN 1 ELSE 0 END) AS BIGINT) AS taken
+FROM docs d JOIN plans p ON d.source IS NOT DISTINCT FROM p.source LEFT JOIN marks m ON m.source IS NOT DISTINCT FROM p.source
+"""
+
+
+def _quoted(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+def _canonical(text: str) -> str:
+    out = rf"regexp_replace(lower({text}), '(?m)^[^a-z0-9\n]*(copyright|copr|\(c\)|©)[^a-z\n]*[0-9]{{4}}[^\n]*$', '', 'g')"
+    out = rf"' ' || regexp_replace({out}, '[\s\x{{a0}}]+', ' ', 'g') || ' '"
+    for given, one in EQUIVALENT:
+        out = f"replace({out}, {_quoted(given)}, {_quoted(one)})"
+    return rf"regexp_replace({out}, '[^\p{{L}}\p{{N}}]+', '', 'g')"
+
+
+def _digest(text: str) -> str:
+    return f"CASE WHEN {_canonical(text)} <> '' THEN md5({_canonical(text)}) END"
+
+
+LICENSES = f"""
+WITH given(license_id, text) AS (VALUES {", ".join(f"({_quoted(i)}, {_quoted(t)})" for i, t in KNOWN)}
+), known AS (
+    SELECT {_digest("text")} AS digest, min(license_id) AS license_id FROM given GROUP BY 1
+), docs AS (
+    SELECT row_number() OVER () AS r, doc_id, text, {_digest("text")} AS digest FROM documents
+), lines AS (
+    SELECT DISTINCT r, license_id FROM (SELECT r, unnest(string_split(text, chr(10))) AS line FROM docs) l JOIN known k ON k.digest = {_digest("line")}
+), notices AS (
+    SELECT r, string_agg(license_id, ',' ORDER BY license_id) AS notices FROM lines GROUP BY r
+)
+SELECT doc_id, docs.digest, license_id, notices FROM docs LEFT JOIN known USING (digest) LEFT JOIN notices USING (r)
+"""
+
+ORACLE: dict[str, str] = {
+    "op5_host_quality_rules": RULES,
+    "op6_source_mixing": MIXING,
+    "op7_license_scan": LICENSES,
+}

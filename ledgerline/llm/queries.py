@@ -7,8 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .html import extract
 from .jaccard import Similarity, near_duplicates
+from .licenses import known_licenses, scan_licenses
+from .mixing import mix_sources
 from .packing import pack
+from .rules import judge
 from .substrings import remove_repeats
 from .tables import table
 from .topk import top_k
@@ -43,3 +47,23 @@ def op4_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = remove_repeats(table(spark, sf_dir, "documents"), 13)
     return cut.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+@query
+def op5_host_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge(table(spark, sf_dir, "documents"), max_rate=0.5).drop("host_rate")
+
+
+@query
+def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_sources(table(spark, sf_dir, "documents"), (5, 2, 1))
+
+
+@query
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(table(spark, sf_dir, "documents"), known_licenses(spark))
+
+
+@query
+def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(table(spark, sf_dir, "pages"))
