@@ -7,9 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import crf
 from .html import extract
 from .jaccard import Similarity, near_duplicates
 from .licenses import known_licenses, scan_licenses
+from .lm import crc_text, score_texts
 from .mixing import mix_sources
 from .packing import pack
 from .rules import judge
@@ -67,3 +69,24 @@ def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(table(spark, sf_dir, "pages"))
+
+
+@query
+def op2_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_texts(table(spark, sf_dir, "documents"), F.coalesce(crc_text("doc_id") % 7 != 2, F.lit(True)))
+
+
+def quality_model(spark: SparkSession, sf_dir: str) -> crf.Model | None:
+    """Learns from labels outside the fifth that is held out."""
+    return crf.train(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), crc_text("doc_id") % 5 != 0)
+
+
+#: Scores from here on count as label 1.
+GOOD = 0.3
+
+
+@query
+def op10_line_crf_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = crf.score(table(spark, sf_dir, "documents"), quality_model(spark, sf_dir))
+    held_out = F.coalesce(crc_text("doc_id") % 5 == 0, F.lit(False))
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= GOOD).cast("int").alias("predicted"))

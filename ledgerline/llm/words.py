@@ -39,6 +39,8 @@ def texts_of(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray
     """All bytes of a text column, and where each text begins (one more entry: the end)."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
+    if pa.types.is_null(column.type):
+        column = column.cast(pa.string())
     column = pc.fill_null(column, "").cast(pa.large_binary())
     offsets = np.frombuffer(column.buffers()[1], dtype=np.int64)[column.offset : column.offset + len(column) + 1]
     data = column.buffers()[2]

@@ -1,0 +1,107 @@
+"""Language-model scores against exact counts."""
+
+from __future__ import annotations
+
+import math
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from ledgerline.llm.lm import BEGIN, Filter, build_slice, count_of, crc_text, level_of, score_texts
+
+
+def brute(rows, weight=0.2):
+    tokens = lambda t: [*(t or "").encode().lower().split(), None]
+    held = lambda d: d is not None and zlib.crc32(str(d).encode()) % 7 == 2
+    one, two, texts = Counter(), Counter(), 0
+    for d, t in rows:
+        if not held(d):
+            w = tokens(t)
+            texts += 1
+            one.update(w)
+            two.update(zip([0, *w[:-1]], w))
+    n, v = sum(one.values()), len(one)
+    out = []
+    for d, t in rows:
+        w = tokens(t)
+        base = sum(math.log10((one[x] + 1) / (n + v + 1)) for x in w)
+        score = 0.0
+        for a, b in zip([0, *w[:-1]], w):
+            p = (one[b] + 1) / (n + v + 1)
+            c = texts if a == 0 else one[a]
+            score += math.log10((1 - weight) * p + weight * two[a, b] / c if c else p)
+        out.append((d, held(d), len(w), sum(one[x] > 0 for x in w), n, base, score))
+    return sorted(out, key=str)
+
+
+def result(df):
+    return sorted((tuple(r) for r in df.collect()), key=str)
+
+
+def train():
+    return F.coalesce(crc_text("doc_id") % 7 != 2, F.lit(True))
+
+
+@pytest.fixture(scope="module")
+def rows(request):
+    import random
+
+    rng = random.Random(3)
+    words = [f"w{int(rng.paretovariate(0.7))}" for _ in range(6000)]
+    out = [(i, " ".join(rng.choices(words, k=rng.randint(0, 80)))) for i in range(300)]
+    return out + [(7, "W1 w2  w3"), (7, "W1 w2  w3"), (None, "only here"), (500, None), (501, ""), (502, "w1 " * 30_000)]
+
+
+def close(a, b, tolerance):
+    assert len(a) == len(b)
+    for x, y in zip(a, b):
+        assert x[:5] == y[:5] and math.isclose(x[5], y[5], rel_tol=1e-9)
+        # levels round counts, which moves a token's probability by less than a factor of two
+        assert abs(x[6] - y[6]) <= tolerance * x[2] + 1e-6
+
+
+def test_close_to_exact_counts(spark, rows) -> None:
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("row", F.lit("clash")).repartition(3)
+    close(result(score_texts(df, train())), brute(rows), 0.31)
+
+
+def test_rounds_and_joins_change_nothing(spark, rows) -> None:
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    once = result(score_texts(df, train(), parts=6))
+    for other in (
+        score_texts(df, train(), parts=6, broadcast_bytes=2000),
+        score_texts(df, train(), parts=6, vocabulary_rows=0),
+        score_texts(df, train(), parts=6, broadcast_bytes=2000, vocabulary_rows=0),
+    ):
+        for x, y in zip(once, result(other), strict=True):
+            assert x[:5] == y[:5] and math.isclose(x[5], y[5], rel_tol=1e-9) and math.isclose(x[6], y[6], rel_tol=1e-9)
+
+
+def test_empty_tables(spark) -> None:
+    df = spark.createDataFrame([], "doc_id long, text string")
+    assert score_texts(df, train()).collect() == []
+    held = spark.createDataFrame([(i, "a b") for i in range(40) if zlib.crc32(str(i).encode()) % 7 == 2], "doc_id long, text string")
+    for r in score_texts(held, train()).collect():
+        assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens, r.base_score, r.score) == (True, 3, 0, 0, 0.0, 0.0)
+
+
+def test_held_out_documents_score_above_the_base(spark) -> None:
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = [r for r in score_texts(docs, train()).collect() if r.held_out]
+    assert rows and sum(r.score for r in rows) > sum(r.base_score for r in rows)
+
+
+def test_filter_reads_back_levels() -> None:
+    rng = np.random.default_rng(1)
+    keys = rng.integers(0, 2**63, 40_000).astype(np.uint64)
+    counts = (rng.pareto(0.8, 40_000) + 1).astype(np.int64)
+    bits = build_slice(keys, counts)
+    got = Filter(np.array([len(bits)]), bits).levels(keys)
+    assert (got >= level_of(counts)).all() and (got == level_of(counts)).mean() > 0.97
+    new = Filter(np.array([len(bits)]), bits).levels(rng.integers(0, 2**63, 40_000).astype(np.uint64))
+    assert (new > 0).mean() < 0.03
+    assert count_of(np.array([0, 1, 2, 3])).tolist() == [0, 1, 2.5, 5.5]
+    assert BEGIN
