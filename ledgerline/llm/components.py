@@ -33,14 +33,8 @@ def components(links: DataFrame) -> DataFrame:
         parent = staged(near.select("node", F.least("node", "_b").alias("parent")), "parents")
         parent = staged(_jump(_jump(parent)), "parents")
         pa, pb = (parent.select(F.col("node").alias(k), F.col("parent").alias(f"p{k}")) for k in "ab")
-        links = staged(
-            links.join(pa, "a").join(pb, "b").select(F.col("pa").alias("a"), F.col("pb").alias("b"))
-            .where("a != b").distinct(),
-            "links",
-        )
+        drawn = links.join(pa, "a").join(pb, "b").select(F.col("pa").alias("a"), F.col("pb").alias("b"))
+        links = staged(drawn.where("a != b").distinct(), "links")
         moved = parent.select(F.col("node").alias("comp"), "parent")
-        label = staged(
-            label.join(moved, "comp", "left").select("node", F.coalesce("parent", "comp").alias("comp")),
-            "labels",
-        )
-    return label
+        label = label.join(moved, "comp", "left").select("node", F.coalesce("parent", "comp").alias("comp"))
+    return staged(label, "components")

@@ -230,6 +230,10 @@ def shared_signatures(docs: DataFrame, like: Similarity, text_column: str) -> Da
     return both.where("_lo != _hi").select("sig", "fp1")
 
 
+#: Bytes of texts whose shingles a task keeps while it verifies pairs.
+KEPT_BYTES = 8_000_000
+
+
 def _verified(pairs: DataFrame, texts: DataFrame, like: Similarity) -> DataFrame:
     """Those of `pairs` (a, b) whose texts link. Texts carry the sizes and shingles that count."""
 
@@ -240,13 +244,22 @@ def _verified(pairs: DataFrame, texts: DataFrame, like: Similarity) -> DataFrame
         return set(zip(*[w[i:] for i in range(like.k)], strict=False))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last: tuple[bytes, set] = (b"", set())
+        known: dict[bytes, set] = {}
+        held = 0
+
+        def of(text: bytes) -> set:
+            nonlocal held
+            if text not in known:
+                if held > KEPT_BYTES:
+                    known.clear()
+                    held = 0
+                known[text] = shingles(text)
+                held += len(text)
+            return known[text]
+
         for batch in batches:
-            keep = []
-            for x, y in zip(batch.column("ta").to_pylist(), batch.column("tb").to_pylist(), strict=True):
-                if x != last[0]:
-                    last = (x, shingles(x))
-                keep.append(like.linked(last[1], shingles(y)))
+            texts = (batch.column(c).to_pylist() for c in ("ta", "tb"))
+            keep = [like.linked(of(x), of(y)) for x, y in zip(*texts, strict=True)]
             chosen = batch.filter(pa.array(keep, pa.bool_()))
             yield pa.RecordBatch.from_arrays([chosen.column("a"), chosen.column("b")], names=["a", "b"])
 
@@ -283,8 +296,7 @@ def near_duplicates(
     stays = alike.groupBy("_x", "_s", "_n").agg(F.min("sig").alias("sig")).select("sig")
     bucket = member.join(stays, "sig", "left_semi").join(classes.select("fp1", "node"), "fp1").select("sig", "node")
     bucket = staged(bucket, "buckets")
-    links = _linked(bucket, _texts(docs, bucket, classes, id_column, text_column, like), like)
-    comps = staged(components(links), "components")
+    links, comps = _linked(bucket, _texts(docs, bucket, classes, id_column, text_column, like), like)
     joined = classes.join(comps, "node", "left").select("fp1", "fp2", "rep", "copies", F.coalesce("comp", "node").alias("comp"), F.col("comp").isNotNull().alias("_linked"))
     joined = staged(joined.where("_linked OR copies > 1"), "joined")
     ends = links.select(F.col("a").alias("node")).unionByName(links.select(F.col("b").alias("node"))).groupBy("node").agg(F.count(F.lit(1)).alias("n_links"))
@@ -317,31 +329,61 @@ def _texts(docs: DataFrame, bucket: DataFrame, classes: DataFrame, id_column: st
     return staged(keyed.groupBy("node").agg(F.min("text").alias("text")), "texts")
 
 
-def _linked(bucket: DataFrame, texts: DataFrame, like: Similarity) -> DataFrame:
-    """Verified links between sets of one bucket, enough of them to give all components.
+#: The rest of all buckets is compared at once when it takes no more pairs than this for each member.
+PAIRS_PER_MEMBER = 16
+
+
+def _linked(bucket: DataFrame, texts: DataFrame, like: Similarity) -> tuple[DataFrame, DataFrame]:
+    """Verified links (a, b) between sets of one bucket, enough of them for all components, and those.
 
-    In each round some members of every bucket are held against all members of other components.
-    They are then done: whatever they link with is known. A bucket ends when the members that are
-    not done are of one component. The number taken grows fourfold each round.
+    In each round some members of every bucket, first those that stand in most buckets, are held
+    against all members of other components. They are then done: whatever they link with is known.
+    A bucket ends when the members that are not done are of one component. When few pairs are left
+    all are compared, else the number taken grows fourfold; no pair that may link is left out.
     """
-    rest = bucket.withColumn("comp", F.col("node"))
-    links, take = None, 1
+    often = bucket.groupBy("node").agg(F.count(F.lit(1)).alias("often"))
+    rest = staged(bucket.join(often, "node").select("sig", "node", "often", F.col("node").alias("comp")), "rest")
+    links, comps, take, final = None, None, 1, False
     while not rest.isEmpty():
-        if take == 1:
-            first = rest.groupBy("sig").agg(F.min("node").alias("rep"))
+        if final:
+            sizes = rest.groupBy("sig", "comp").agg(F.count(F.lit(1)).alias("_n"))
+            largest = sizes.groupBy("sig").agg(F.max(F.struct("_n", "comp")).alias("_l")).select("sig", F.col("_l.comp").alias("_largest"))
+            few = rest.join(largest, "sig").where("comp != _largest")
+            first = few.select("sig", F.col("node").alias("rep"), F.col("comp").alias("rep_comp"))
         else:
-            order = Window.partitionBy("sig").orderBy("node")
-            first = rest.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= take).select("sig", F.col("node").alias("rep"))
-        first = staged(first.join(rest.select("sig", F.col("node").alias("rep"), F.col("comp").alias("rep_comp")), ["sig", "rep"]), "representatives")
+            if take == 1:
+                first = rest.groupBy("sig").agg(F.max(F.struct("often", "node", "comp")).alias("_r"))
+                first = first.select("sig", F.col("_r.node").alias("rep"), F.col("_r.comp").alias("rep_comp"))
+            else:
+                order = Window.partitionBy("sig").orderBy(F.desc("often"), "node")
+                first = rest.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= take)
+                first = first.select("sig", F.col("node").alias("rep"), F.col("comp").alias("rep_comp"))
+            first = staged(first, "representatives")
         pairs = first.join(rest, "sig").where("comp != rep_comp")
         pairs = pairs.select(F.least("rep", "node").alias("a"), F.greatest("rep", "node").alias("b")).distinct()
         found = staged(_verified(pairs, texts, like), "verified")
-        links = found if links is None else staged(links.unionByName(found), "links")
-        comps = components(links)
+        links = found if links is None else links.unionByName(found)
+        if comps is None:
+            comps = components(found)
+        else:  # what the new links add, between the components so far
+            ca, cb = (comps.select(F.col("node").alias(k), F.col("comp").alias(f"c{k}")) for k in "ab")
+            drawn = found.join(ca, "a", "left").join(cb, "b", "left")
+            added = components(drawn.select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")))
+            known = comps.unionByName(added.select("node", F.col("node").alias("comp")).join(comps, "node", "left_anti"))
+            added = added.select(F.col("node").alias("comp"), F.col("comp").alias("_to"))
+            comps = staged(known.join(added, "comp", "left").select("node", F.coalesce("_to", "comp").alias("comp")), "components")
+        if final:
+            break
         left = rest.drop("comp").join(first.select("sig", F.col("rep").alias("node")), ["sig", "node"], "left_anti")
-        left = left.join(comps, "node", "left").select("sig", "node", F.coalesce("comp", "node").alias("comp"))
+        left = left.join(comps, "node", "left").select("sig", "node", "often", F.coalesce("comp", "node").alias("comp"))
         left = staged(left, "rest")
-        several = left.groupBy("sig").agg(F.min("comp").alias("_lo"), F.max("comp").alias("_hi")).where("_lo != _hi").select("sig")
-        rest = staged(left.join(several, "sig", "left_semi"), "rest")
+        sizes = left.groupBy("sig", "comp").agg(F.count(F.lit(1)).alias("_n")).groupBy("sig")
+        several = sizes.agg(F.sum("_n").alias("_all"), F.sum(F.col("_n") * F.col("_n")).alias("_same"), F.count(F.lit(1)).alias("_c")).where("_c > 1")
+        several = staged(several, "several")
+        open_ = several.agg(F.sum("_all"), F.sum(F.col("_all") * F.col("_all") - F.col("_same"))).first()
+        rest = left.join(several.select("sig"), "sig", "left_semi")
+        final = (open_[1] or 0) <= 2 * PAIRS_PER_MEMBER * (open_[0] or 0)
+        rest = staged(rest, "rest")
         take *= 4
-    return links if links is not None else bucket.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0)
+    none = bucket.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0)
+    return (none, none.toDF("node", "comp")) if links is None else (links, comps)
