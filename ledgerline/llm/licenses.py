@@ -53,7 +53,7 @@ def canonical(text: Column) -> Column:
 
     Words are delimited by one space while spellings are replaced, so that only whole words match.
     """
-    out = F.regexp_replace(F.lower(text), r"(?m)^[^a-z0-9\n]*(copyright|copr|\(c\)|©)[^a-z\n]*[0-9]{4}[^\n]*$", "")
+    out = F.regexp_replace(F.lower(text), r"(?m)^[^a-z0-9\n]*(copyright|copr|\(c\)|©)[^\n]{0,12}[0-9]{4}[^\n]*$", "")
     out = F.concat(F.lit(" "), F.regexp_replace(out, r"[\s\x{a0}]+", " "), F.lit(" "))
     for given, one in EQUIVALENT:
         out = F.replace(out, F.lit(given), F.lit(one))

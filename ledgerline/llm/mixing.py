@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.keys import with_dense_keys
@@ -62,6 +62,35 @@ def targets(sources: DataFrame, weights: Sequence[int]) -> DataFrame:
     return placed.withColumn("target", F.least(F.lit(share) * F.col("weight"), F.col("limit").cast("double"))).drop("limit")
 
 
+def _keyed(docs: DataFrame, id_column: str, text_column: str, source_column: str) -> DataFrame:
+    """`docs` with `source_key` (null included), `size` in words and hash `h`."""
+    h = F.conv(F.substring(F.md5(F.coalesce(F.col(f"`{id_column}`").cast("string"), F.lit("")).cast("binary")), 1, 15), 16, 10)
+    return docs.withColumns(
+        {
+            "source_key": F.coalesce(F.concat(F.lit("="), F.col(f"`{source_column}`").cast("string")), F.lit("null")),
+            "size": F.size(words(F.coalesce(F.col(f"`{text_column}`").cast("string"), F.lit("")))).cast("long"),
+            "h": h.cast("long"),
+        }
+    )
+
+
+def plan_mix(sized: DataFrame, weights: Sequence[int]) -> DataFrame:
+    """(source_key, source_size, target, times, threshold) of each source of `sized` (source_key, size, h)."""
+    sources = sized.groupBy("source_key").agg(F.sum("size").alias("source_size"))
+    source = F.when(F.col("source_key") != "null", F.substring("source_key", 2, 2**30))
+    sources = targets(staged(sources.withColumn("source", source), "sources"), weights)
+    whole = F.when(F.col("source_size") > 0, F.least(F.floor(F.col("target") / F.col("source_size")), F.lit(MOST))).otherwise(0).cast("long")
+    sources = sources.withColumn("times", whole)
+    sources = sources.withColumn("budget", F.col("target") - F.col("times") * F.col("source_size"))
+    marks = _thresholds(sized.where("size > 0").select("source_key", "h", "size"), sources.select("source_key", "budget"))
+    planned = sources.join(marks, "source_key", "left")
+    return staged(planned.select("source_key", "source_size", "target", "times", F.coalesce("threshold", F.lit(0)).alias("threshold")), "mix")
+
+
+def _times() -> Column:
+    return F.col("times") + (F.col("h") < F.col("threshold")).cast("long")
+
+
 def mix_sources(
     docs: DataFrame, weights: Sequence[int] = (5, 2, 1),
     id_column: str = "doc_id", text_column: str = "text", source_column: str = "source",
@@ -74,23 +103,31 @@ def mix_sources(
     are equally near take the smaller. A null source is a source of its own. Other columns are
     ignored. Reruns give the same rows: nothing is random.
     """
-    key = F.coalesce(F.concat(F.lit("="), F.col(f"`{source_column}`").cast("string")), F.lit("null"))
-    h = F.conv(F.substring(F.md5(F.coalesce(F.col(f"`{id_column}`").cast("string"), F.lit("")).cast("binary")), 1, 15), 16, 10)
-    sized = docs.select(
-        F.col(f"`{id_column}`").alias("doc_id"), key.alias("source_key"), F.col(f"`{source_column}`").cast("string").alias("source"),
-        F.size(words(F.coalesce(F.col(f"`{text_column}`").cast("string"), F.lit("")))).cast("long").alias("size"), h.cast("long").alias("h"),
+    given = docs.select(F.col(f"`{id_column}`").alias("doc_id"), F.col(f"`{text_column}`").alias("text"), F.col(f"`{source_column}`").alias("source"))
+    sized = staged(_keyed(given, "doc_id", "text", "source").drop("text", "source"), "sized")
+    joined = with_sources(sized, plan_mix(sized, weights))
+    return joined.select("doc_id", "size", "source_size", "target", (F.col("size") * _times()).alias("taken"))
+
+
+def mixed(
+    docs: DataFrame, weights: Sequence[int] = (5, 2, 1),
+    id_column: str = "doc_id", text_column: str = "text", source_column: str = "source",
+) -> DataFrame:
+    """The rows of `docs` that the mix takes, each as often as it takes it, with their own columns.
+
+    Rows without words are never taken. Texts are not shuffled.
+    """
+    columns = docs.columns
+    given = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"), F.col(f"`{id_column}`").alias("doc_id"),
+        F.col(f"`{text_column}`").alias("text"), F.col(f"`{source_column}`").alias("source"),
     )
-    sized = staged(sized, "sized")
-    sources = staged(sized.groupBy("source_key", "source").agg(F.sum("size").alias("source_size")), "sources")
-    sources = targets(sources, weights)
-    whole = F.when(F.col("source_size") > 0, F.least(F.floor(F.col("target") / F.col("source_size")), F.lit(MOST))).otherwise(0).cast("long")
-    sources = sources.withColumn("times", whole)
-    sources = sources.withColumn("budget", F.col("target") - F.col("times") * F.col("source_size"))
-    marks = staged(_thresholds(sized.where("size > 0").select("source_key", "h", "size"), sources.select("source_key", "budget")), "thresholds")
-    told = staged(sources.join(marks, "source_key", "left").select("source_key", "source_size", "target", "times", F.coalesce("threshold", F.lit(0)).alias("threshold")), "sources")
-    joined = with_sources(sized.drop("source"), told)
-    taken = F.col("size") * (F.col("times") + (F.col("h") < F.col("threshold")).cast("long"))
-    return joined.select("doc_id", "size", "source_size", "target", taken.alias("taken"))
+    keyed = _keyed(given, "doc_id", "text", "source").drop("text", "source")
+    plan = plan_mix(staged(keyed.select("source_key", "size", "h"), "sized"), weights)
+    times = F.when(F.col("size") > 0, _times()).otherwise(0)
+    taken = with_sources(keyed, plan).withColumn("_n", times).where("_n > 0")
+    taken = taken.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_n"))))
+    return taken.select(*[F.col(f"row.`{c}`").alias(c) for c in columns])
 
 
 def _thresholds(sized: DataFrame, budgets: DataFrame) -> DataFrame:

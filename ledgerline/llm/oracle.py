@@ -77,7 +77,7 @@ def _quoted(s: str) -> str:
 
 
 def _canonical(text: str) -> str:
-    out = rf"regexp_replace(lower({text}), '(?m)^[^a-z0-9\n]*(copyright|copr|\(c\)|©)[^a-z\n]*[0-9]{{4}}[^\n]*$', '', 'g')"
+    out = rf"regexp_replace(lower({text}), '(?m)^[^a-z0-9\n]*(copyright|copr|\(c\)|©)[^\n]{{0,12}}[0-9]{{4}}[^\n]*$', '', 'g')"
     out = rf"' ' || regexp_replace({out}, '[\s\x{{a0}}]+', ' ', 'g') || ' '"
     for given, one in EQUIVALENT:
         out = f"replace({out}, {_quoted(given)}, {_quoted(one)})"
