@@ -9,8 +9,10 @@ more half-empty sequences than a few.
 
 from __future__ import annotations
 
+import itertools
 import os
 import re
+import struct
 import zlib
 from collections.abc import Callable, Iterator
 
@@ -70,14 +72,15 @@ class OpenBins:
             yield self._take((self.bits & -self.bits).bit_length() - 1)
 
 
+WORD_END = re.compile(rb"[ \t-\r]")
 #: Pieces that a task sorts at a time, and words whose ids it keeps at hand.
 BLOCK, KEPT_WORDS = 1 << 16, 1 << 20
 
 
-def word_tokens(path: str) -> Callable[[bytes], Iterator[bytes]]:
-    """Ids of a text as 32-bit numbers, for a tokenizer that never joins what white space parts.
+def word_tokens(path: str) -> Callable[[list[bytes]], list[bytes]]:
+    """Ids of texts as 32-bit numbers, for a tokenizer that never joins what white space parts.
 
-    Each distinct word is tokenised once; a long text comes in several parts.
+    Each distinct word is tokenised once while it is kept.
     """
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
@@ -85,29 +88,32 @@ def word_tokens(path: str) -> Callable[[bytes], Iterator[bytes]]:
     tokenizer = Tokenizer.from_file(path)
     known: dict[bytes, bytes] = {}
 
-    def part(data: bytes) -> bytes:
-        words = data.split() if b"<|" in data else data.lower().split()
-        new = [w for w in set(words) if w not in known]
-        if new:
-            if len(known) > KEPT_WORDS:
-                known.clear()
-                new = list(set(words))
-            for w, e in zip(new, tokenizer.encode_batch([w.decode() for w in new], add_special_tokens=False), strict=True):
-                known[w] = b"".join(i.to_bytes(4, "little") for i in e.ids)
-        return b"".join(map(known.__getitem__, words))
-
-    def ids(data: bytes) -> Iterator[bytes]:
-        begin = 0
-        while len(data) - begin > 1_000_000:
-            space = re.compile(rb"[ \t-\r]").search(data, begin + 1_000_000)
-            end = space.end() if space else len(data)
-            yield part(data[begin:end])
-            begin = end
-        yield part(data[begin:])
+    def ids(texts: list[bytes]) -> list[bytes]:
+        words = [x.split() if b"<|" in x else x.lower().split() for x in texts]
+        new = set().union(*words).difference(known)
+        if len(known) + len(new) > KEPT_WORDS:
+            known.clear()
+            new = set().union(*words)
+        new = list(new)
+        for w, e in zip(new, tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False), strict=True):
+            n = e.ids
+            known[w] = struct.pack(f"<{len(n)}I", *n)
+        return [b"".join(map(known.__getitem__, w)) for w in words]
 
     return ids
 
 
+def text_parts(text: bytes, most: int = 1_000_000) -> Iterator[bytes]:
+    """A long text in parts that end at white space."""
+    begin = 0
+    while len(text) - begin > most:
+        space = WORD_END.search(text, begin + most)
+        end = space.end() if space else len(text)
+        yield text[begin:end]
+        begin = end
+    yield text[begin:]
+
+
 def pack(
     docs: DataFrame,
     tokenizer_path: str,
@@ -128,14 +134,20 @@ def pack(
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         tokens = word_tokens(tokenizer_path)
+        size = 4 * capacity
         for batch in blocks(batches, "text"):
-            for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
+            texts = [(x or "").encode() for x in batch.column("text").to_pylist()]
+            known = dict(enumerate(tokens(texts))) if sum(map(len, texts)) <= 8_000_000 else {}
+            for i, doc in enumerate(batch.column("doc_id").to_pylist()):
                 held, piece = b"", 0
-                for part in (*tokens((text or "").encode()), end):
+                parts = [known.pop(i)] if known else (ids for part in text_parts(texts[i]) for ids in tokens([part]))
+                for part in itertools.chain(parts, [end]):
                     held += part
-                    while len(held) > 4 * capacity:
-                        yield doc, piece, piece * capacity, capacity, zlib.crc32(held[: 4 * capacity])
-                        held, piece = held[4 * capacity :], piece + 1
+                    at = 0
+                    while len(held) - at > size:
+                        yield doc, piece, piece * capacity, capacity, zlib.crc32(held[at : at + size])
+                        at, piece = at + size, piece + 1
+                    held = held[at:]
                 yield doc, piece, piece * capacity, len(held) // 4, zlib.crc32(held)
 
     def placed(rows: Iterator[tuple], task: int) -> Iterator[tuple]:
