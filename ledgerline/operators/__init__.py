@@ -10,7 +10,7 @@ from .dedup import keep_first, keep_last
 from .enrich import enrich_user_events
 from .keys import with_dense_keys
 from .lookup import skew_safe_lookup
-from .merge import conform, rows_not_in, upserted
+from .merge import conform, rows_in, rows_not_in, upserted
 
 __all__ = [
     "CleaningCounts",
@@ -23,6 +23,7 @@ __all__ = [
     "keep_first",
     "keep_last",
     "require_columns",
+    "rows_in",
     "rows_not_in",
     "skew_safe_lookup",
     "upserted",

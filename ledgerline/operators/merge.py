@@ -26,6 +26,18 @@ def _same(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys])
 
 
+def rows_in(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows of `target` whose key `batch` holds; null counts as a key value."""
+    held, asked = target.alias("held"), batch.select(*keys).alias("asked")
+    return held.join(asked, _met("held", "asked", keys), "left_semi")
+
+
+def _met(left: str, right: str, keys: Sequence[str]) -> Column:
+    """Equality of the keys of two aliased sides, null equal to null."""
+    pairs = [F.col(f"{left}.`{k}`").eqNullSafe(F.col(f"{right}.`{k}`")) for k in keys]
+    return reduce(lambda a, b: a & b, pairs)
+
+
 def rows_not_in(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of `batch` whose key `target` does not hold yet; null counts as a key value.
 
@@ -39,73 +51,40 @@ def rows_not_in(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> Dat
     return batch.join(held, _same(batch, held, keys), "left_anti")
 
 
+#: Columns that say when a row arrived; of several stored copies the earliest is kept.
+ARRIVAL = ("ingested_at", "loaded_at")
+
+
 def upserted(
     target: DataFrame,
     batch: DataFrame,
     keys: Sequence[str],
     update_columns: Sequence[str],
-    target_is_unique: bool = False,
 ) -> DataFrame:
     """`target` after inserting the batch, or updating `update_columns` where the key exists.
 
-    Both sides share one schema and the batch holds a key once. All other columns of a row that
-    exists keep their value. A key the target holds twice, as after a load that was cut off, ends
-    up once if the batch has it; `target_is_unique` says that cannot happen.
+    Both sides share one schema and the batch holds a key once; null counts as a key value. Rows
+    whose key the batch does not have stay as they are, repeated ones too. A key of the batch ends
+    up once: if the target holds it, all columns that are not updated keep the value of the stored
+    copy that arrived first, or of the smallest of copies that arrived together.
 
-    If the keys of the batch are small enough to broadcast, the target is filtered by them in
-    place. Otherwise one full outer join moves either side once.
+    The rows are the same whatever the sizes; Spark picks the joins by what it knows of them.
     """
     kept = [c for c in target.columns if c not in keys and c not in update_columns]
-    if fits_broadcast(batch.select(*keys)):
-        return _upserted_in_place(target, batch, keys, kept)
-    return _upserted_by_shuffle(target, batch, keys, kept, target_is_unique)
-
-
-def _upserted_in_place(
-    target: DataFrame, batch: DataFrame, keys: Sequence[str], kept: Sequence[str]
-) -> DataFrame:
-    asked = batch.select(*keys)
-    untouched = target.join(asked, list(keys), "left_anti")
-    before = (
-        target.select(*keys, *kept)
-        .join(asked, list(keys), "left_semi")
-        .dropDuplicates(list(keys))
-        .select(
-            *keys,
-            F.lit(True).alias("_held"),
-            *[F.col(c).alias(f"_held_{c}") for c in kept],
-        )
-    )
-    merged = batch.join(before, list(keys), "left").select(
+    asked = batch.select(*keys).alias("asked")
+    stored = target.alias("stored")
+    same = _met("stored", "asked", keys)
+    untouched = stored.join(asked, same, "left_anti").select(*[F.col(f"`{c}`") for c in target.columns])
+    order = [c for c in ARRIVAL if c in kept] + [c for c in kept if c not in ARRIVAL]
+    copies = stored.join(asked, same, "left_semi").groupBy(*[F.col(f"`{k}`") for k in keys])
+    before = copies.agg(F.min(F.struct(F.lit(True).alias("_held"), *[F.col(f"`{c}`") for c in order])).alias("_old"))
+    new, old = batch.alias("new"), before.alias("old")
+    merged = new.join(old, _met("new", "old", keys), "left").select(
         *[
-            F.when(F.col("_held"), F.col(f"_held_{c}")).otherwise(F.col(c)).alias(c)
+            F.when(F.col("old._old").isNotNull(), F.col(f"old._old.`{c}`")).otherwise(F.col(f"new.`{c}`")).alias(c)
             if c in kept
-            else F.col(c)
+            else F.col(f"new.`{c}`").alias(c)
             for c in target.columns
         ]
     )
     return untouched.unionByName(merged)
-
-
-def _upserted_by_shuffle(
-    target: DataFrame,
-    batch: DataFrame,
-    keys: Sequence[str],
-    kept: Sequence[str],
-    target_is_unique: bool,
-) -> DataFrame:
-    def marked(df: DataFrame, mark: str) -> DataFrame:
-        others = [F.col(c).alias(f"{mark}_{c}") for c in df.columns if c not in keys]
-        return df.select(*keys, *others, F.lit(True).alias(mark))
-
-    held = target if target_is_unique else target.dropDuplicates(list(keys))
-    both = marked(held, "_held").join(marked(batch, "_new"), list(keys), "full_outer")
-
-    def value(column: str):
-        if column in keys:
-            return F.col(column)
-        first, second = ("_held", "_new") if column in kept else ("_new", "_held")
-        chosen = F.when(F.col(first), F.col(f"{first}_{column}"))
-        return chosen.otherwise(F.col(f"{second}_{column}")).alias(column)
-
-    return both.select(*[value(c) for c in target.columns])

@@ -69,19 +69,20 @@ def run_etl(
     Profiles are replaced, subscriptions and transactions get their new rows, events are
     upserted. A source that is missing counts as empty. With `since`, only later rows of the
     sources that have a time column are read. Subscriptions already held stay as they are, even
-    if the source has a later version of them; `upsert_subscriptions` updates them instead.
+    if the source has a later version of them; `upsert_subscriptions` updates them instead, and
+    "since" then goes by when they changed.
     """
     configure(spark)
 
-    def source(name: str) -> DataFrame:
-        return read_source(spark, raw_dir, name, since)
+    def source(name: str, changed: bool = False) -> DataFrame:
+        return read_source(spark, raw_dir, name, since, changed)
 
     def profiles() -> int:
         cleaned = clean_user_profiles(source("user_profiles"), ROW_ORDER)
         return warehouse.replace("user_profiles", cleaned, run_ts)
 
     def subscriptions() -> int:
-        cleaned = clean_subscriptions(source("subscriptions"), ROW_ORDER, run_ts)
+        cleaned = clean_subscriptions(source("subscriptions", upsert_subscriptions), ROW_ORDER, run_ts)
         key = ["subscription_id"]
         if upsert_subscriptions:
             return warehouse.upsert("subscriptions", cleaned, key, SUBSCRIPTION_UPDATES, run_ts)

@@ -27,9 +27,13 @@ def configure(spark: SparkSession) -> SparkSession:
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder below the one the cluster names in `spark.checkpoint.dir`.
 
-    Only where that setting is absent (tests on one machine) is a local folder made.
+    Only where that setting is absent and everything runs in one process (tests) is a local folder
+    made; executors on other machines would not see it, so a cluster without the setting is an error.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        master = spark.conf.get("spark.master", "")
+        if master != "local" and not master.startswith("local["):
+            raise ValueError(f"spark.checkpoint.dir must name a folder that all of {master} shares")
         base = tempfile.mkdtemp(prefix="ledgerline-")
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

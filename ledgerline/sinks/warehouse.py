@@ -5,14 +5,21 @@ the table it goes to. That cuts its lineage: a lost executor costs a re-read of
 files, not a re-run of cleaning. Re-running a load that failed half way gives the same table as
 a run that did not fail.
 
+A table is a folder of versions. Replacing it writes the next version beside the current one and
+then marks it complete; readers take the highest complete version. A replace that fails leaves the
+table as it was. The version before the current one stays for readers that began with it, older
+ones are removed by the next replace.
+
 Tables that grow with time are partitioned by day or month. Writes to them are rebalanced by
 the partition column, which lets Spark join small pieces and split a day that is much larger
 than others. An upsert rewrites only the partitions the batch touches; Spark swaps them in when
-the whole job has succeeded.
+the whole job has succeeded. Days that an upsert empties are noted before that swap, and whoever
+opens the table next removes them if the upsert could not.
 """
 
 from __future__ import annotations
 
+import json
 import logging
 import uuid
 from collections.abc import Iterator, Sequence
@@ -23,13 +30,14 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ..operators.merge import conform, rows_not_in, upserted
+from ..operators.merge import conform, rows_in, rows_not_in, upserted
 from ..schemas import PARTITION_COLUMN, PARTITION_RULE, TABLES
-from ..sources.paths import exists, remove
+from ..sources.paths import children, exists, read_text, remove, write_text
 
 log = logging.getLogger(__name__)
 
 _MODES = {"fail": "errorifexists", "replace": "overwrite", "append": "append"}
+_COMPLETE, _VACATED = "_complete", "_vacated.json"
 
 
 class Warehouse:
@@ -40,7 +48,17 @@ class Warehouse:
     # Reading
 
     def path(self, table: str) -> str:
-        return f"{self.root}/{table}"
+        """The folder of the table's current version."""
+        return f"{self.root}/{table}/v{self._version(table)}"
+
+    def _version(self, table: str) -> int:
+        """The highest complete version. The first one needs no mark: it is appended to, not swapped."""
+        names = children(self.spark, f"{self.root}/{table}")
+        numbers = sorted((int(n[1:]) for n in names if n[0] == "v" and n[1:].isdigit()), reverse=True)
+        for n in numbers:
+            if n and exists(self.spark, f"{self.root}/{table}/v{n}/{_COMPLETE}"):
+                return n
+        return 0
 
     def schema(self, table: str) -> StructType:
         return TABLES[table]
@@ -48,6 +66,7 @@ class Warehouse:
     def read(self, table: str) -> DataFrame:
         """The table under its declared schema. Columns that older files lack are null, and a
         table never written is empty."""
+        self._finish_removal(table)
         if not exists(self.spark, self.path(table)):
             return self.spark.createDataFrame([], self.schema(table))
         return self.spark.read.schema(self.schema(table)).parquet(self.path(table))
@@ -83,10 +102,21 @@ class Warehouse:
 
     def _write_empty(self, table: str) -> None:
         empty = self.spark.createDataFrame([], self.schema(table))
-        self._writer(table, empty, "overwrite").parquet(self.path(table))
+        self._write_version(table, empty)
 
     # Writing
 
+    def _write_version(self, table: str, df: DataFrame) -> None:
+        """The table's next version. What fails here leaves the current one in place."""
+        folder, current = f"{self.root}/{table}", self._version(table)
+        held = [int(n[1:]) for n in children(self.spark, folder) if n[0] == "v" and n[1:].isdigit()]
+        path = f"{folder}/v{current + 1}"
+        for n in held:  # left by a run that failed, or replaced twice
+            if n > current or n < current:
+                remove(self.spark, f"{folder}/v{n}")
+        self._writer(table, df, "errorifexists").parquet(path)
+        write_text(self.spark, f"{path}/{_COMPLETE}", "")
+
     def _writer(self, table: str, df: DataFrame, mode: str, only_touched: bool = False):
         writer = df.write.mode(mode).option(
             "partitionOverwriteMode", "dynamic" if only_touched else "static"
@@ -118,7 +148,10 @@ class Warehouse:
             out = out.withColumn(sequence, F.monotonically_increasing_id() + start)
         rows = Observation()
         out = out.observe(rows, F.count(F.lit(1)).alias("n"))
-        self._writer(table, out, _MODES[if_exists], only_touched).parquet(self.path(table))
+        if _MODES[if_exists] == "overwrite" and not only_touched:
+            self._write_version(table, out)
+        else:
+            self._writer(table, out, _MODES[if_exists], only_touched).parquet(self.path(table))
         return rows.get["n"]
 
     def _prepared(self, table: str, batch: DataFrame, run_ts: datetime) -> DataFrame:
@@ -189,9 +222,7 @@ class Warehouse:
             elif table in PARTITION_COLUMN:
                 self._upsert_partitions(table, staged, keys, update_columns)
             else:
-                merged = upserted(self.read(table), staged, keys, update_columns)
-                with self._staged(table, merged) as whole:
-                    self.write(table, whole, "replace")
+                self.write(table, upserted(self.read(table), staged, keys, update_columns), "replace")
             return size
 
     def _upsert_partitions(
@@ -203,19 +234,39 @@ class Warehouse:
         coming = self._partitions(batch, column)
         leaving: set = set()
         if column not in keys:
-            moved_from = target.select(*keys, column).join(
-                batch.select(*keys), list(keys), "left_semi"
-            )
+            moved_from = rows_in(target.select(*keys, column), batch, keys)
             leaving = self._partitions(moved_from, column) - coming
         touched = target.where(F.col(column).isin(*coming, *leaving))
         updates = [*update_columns, *([] if column in keys else [column])]
-        # With the partition column in the key, a key cannot sit in two partitions.
-        merged = upserted(touched, batch, keys, updates, target_is_unique=column in keys)
-        vacated = leaving - self._partitions(merged, column) if leaving else set()
-        self.write(table, merged, "replace", only_touched=True)
+        merged = upserted(touched, batch, keys, updates)
         # A partition all of whose rows moved elsewhere gets no new files, hence no overwrite.
-        for value in vacated:
-            remove(self.spark, f"{self.path(table)}/{column}={value}")
+        # Files that stand now in the days that change tell later whether the swap took place.
+        before = {str(v): self._files(table, v) for v in (coming | leaving)}
+        if leaving:
+            note = {"changing": {str(v): before[str(v)] for v in coming}, "leaving": {str(v): before[str(v)] for v in leaving}}
+            write_text(self.spark, f"{self.path(table)}/{_VACATED}", json.dumps(note))
+        self.write(table, merged, "replace", only_touched=True)
+        self._finish_removal(table)
+
+    def _files(self, table: str, value: object) -> list[str]:
+        folder = f"{self.path(table)}/{PARTITION_COLUMN[table]}={value}"
+        return [n for n in children(self.spark, folder) if n[0] not in "._"]
+
+    def _finish_removal(self, table: str) -> None:
+        """Removes days that an upsert emptied, if it was cut off between swap and removal.
+
+        A day that the upsert left with rows has new files by then, and keeps them: only a day that
+        still has exactly its files from before goes, and only if the swap took place.
+        """
+        path = self.path(table)
+        if table not in PARTITION_COLUMN or not exists(self.spark, f"{path}/{_VACATED}"):
+            return
+        note = json.loads(read_text(self.spark, f"{path}/{_VACATED}"))
+        swapped = any(self._files(table, v) not in (old, []) for v, old in note["changing"].items())
+        for value, old in note["leaving"].items():
+            if swapped and self._files(table, value) == old:
+                remove(self.spark, f"{path}/{PARTITION_COLUMN[table]}={value}")
+        remove(self.spark, f"{path}/{_VACATED}")
 
     @staticmethod
     def _partitions(df: DataFrame, column: str) -> set:

@@ -18,3 +18,31 @@ def exists(spark: SparkSession, path: str) -> bool:
 def remove(spark: SparkSession, path: str) -> None:
     system, target = _hadoop(spark, path)
     system.delete(target, True)
+
+
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names of what a folder holds; nothing for a missing folder."""
+    system, target = _hadoop(spark, path)
+    if not system.exists(target):
+        return []
+    return sorted(status.getPath().getName() for status in system.listStatus(target))
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Creates a small file. It appears under its name only once it is complete."""
+    system, target = _hadoop(spark, path)
+    _, draft = _hadoop(spark, f"{path}.draft")
+    out = system.create(draft, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    system.delete(target, False)
+    system.rename(draft, target)
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    system, target = _hadoop(spark, path)
+    stream = system.open(target)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+from datetime import datetime
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -138,19 +140,36 @@ def test_upsert_heals_a_key_held_twice(spark):
     assert [tuple(r) for r in upserted(target, batch, ["k"], ["v"]).collect()] == [("a", 3, "old")]
 
 
-def test_upsert_gives_the_same_rows_on_either_path(spark, no_broadcast):
-    columns = "k string, v int, kept string"
-    target = spark.createDataFrame(
-        [("a", 1, "old"), ("b", 2, "old"), ("c", None, None), ("twice", 1, "old"), ("twice", 1, "old")], columns
-    )
-    batch = spark.createDataFrame(
-        [("b", None, "new"), ("c", 7, "new"), ("d", 9, "new"), ("twice", 3, "new")], columns
-    )
-    got = sorted(tuple(r) for r in upserted(target, batch, ["k"], ["v"]).collect())
-    assert got == [
-        ("a", 1, "old"), ("b", None, "old"), ("c", 7, None), ("d", 9, "new"), ("twice", 3, "old"),
+def test_upsert_gives_the_same_rows_whatever_the_join(spark, tmp_path):
+    """Stored as files, with null and repeated keys: broadcast or not, and once more on top."""
+    columns = "k string, v int, ingested_at timestamp_ntz, kept string"
+    early, late = datetime(2024, 1, 1), datetime(2024, 1, 2)
+    held = [
+        ("x", 1, early, "old"), ("x", 1, early, "old"), (None, 5, late, "b"), (None, 6, early, "c"),
+        ("z", 2, late, "d"), ("z", 3, early, "e"), ("w", None, None, None),
+    ]
+    spark.createDataFrame(held, columns).repartition(3).write.parquet(str(tmp_path / "held"))
+    new = [("z", 9, late, "new"), (None, 7, late, "new"), ("w", 8, late, "new"), ("n", 4, late, "new")]
+    spark.createDataFrame(new, columns).write.parquet(str(tmp_path / "new"))
+    want = [
+        ("None", 7, early, "c"), ("n", 4, late, "new"), ("w", 8, None, None), ("x", 1, early, "old"),
+        ("x", 1, early, "old"), ("z", 9, early, "e"),
     ]
-    assert plan_of(upserted(target, batch, ["k"], ["v"])).count("SortMergeJoin") == 1
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    plans = []
+    for threshold in ("-1", "10m"):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        try:
+            target, batch = (spark.read.parquet(str(tmp_path / n)) for n in ("held", "new"))
+            merged = upserted(target, batch, ["k"], ["v"])
+            got = [(str(k), *rest) for k, *rest in map(tuple, merged.collect())]
+            assert sorted(got, key=str) == sorted(want, key=str)
+            again = upserted(merged, batch, ["k"], ["v"])
+            assert sorted(map(str, again.collect())) == sorted(map(str, merged.collect()))
+            plans.append("Broadcast" in plan_of(merged))
+        finally:
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert plans == [False, True]
 
 
 def test_rows_not_in_gives_the_same_rows_on_either_path(spark, no_broadcast):

@@ -108,3 +108,73 @@ def test_row_order_is_file_order(spark, tmp_path):
 def test_only_needed_columns_are_read(spark, sf):
     plan = plan_of(read_file(spark, f"{sf}/orders.parquet").groupBy("o_orderstatus").agg(F.count("*")))
     assert "ReadSchema: struct<o_orderstatus:string>" in plan
+
+
+def test_json_without_an_object_is_empty(spark, tmp_path):
+    schema = SOURCES["user_events"].raw_schema
+    for i, text in enumerate(["{}", " { } \n", "null", "5", '"text"', "true"]):
+        path = put(tmp_path, f"bare{i}.json", text)
+        assert read_file(spark, path, schema).count() == 0
+        assert read_file(spark, path, schema, row_order=True).columns[-3:] == ROW_ORDER
+    folder = tmp_path / "parts.json"
+    folder.mkdir()
+    put(folder, "a.json", "null")
+    put(folder, "b.json", json.dumps([EVENT]))
+    assert [r["event_id"] for r in read_file(spark, str(folder), schema, row_order=True).collect()] == ["e1"]
+
+
+def test_csv_with_line_breaks_in_quotes(spark, tmp_path):
+    path = put(tmp_path, "x.csv", 'a,b,c\n1,"line one\nline two",3\n4,5,6\n')
+    assert [tuple(r) for r in read_file(spark, path).orderBy("a").collect()] == [("1", "line one\nline two", "3"), ("4", "5", "6")]
+
+
+def test_csv_with_surplus_fields_fails(spark, tmp_path):
+    path = put(tmp_path, "x.csv", "a,b,c\n1,2,3\n5,6,7,8,9\n")
+    with pytest.raises(Exception, match="MALFORMED|FAILED_READ_FILE"):
+        read_file(spark, path).collect()
+
+
+def test_csv_folder_with_another_header_fails(spark, tmp_path):
+    folder = tmp_path / "x.csv"
+    folder.mkdir()
+    put(folder, "1.csv", "a,b\n1,2\n")
+    put(folder, "2.csv", "b,a\n3,4\n")
+    with pytest.raises(Exception, match="header|FAILED_READ_FILE"):
+        read_file(spark, str(folder)).collect()
+
+
+def test_since_tolerates_bad_dates_except_of_events(spark, tmp_path):
+    put(tmp_path, "transactions.csv", "transaction_id,transaction_date\n1,soon\n2,2024-01-05\n3,\n")
+    at = datetime(2024, 1, 2)
+    assert [r["transaction_id"] for r in read_source(spark, str(tmp_path), "transactions", at).collect()] == ["2"]
+    put(tmp_path, "user_events.json", json.dumps([{**EVENT, "timestamp": "soon"}]))
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        read_source(spark, str(tmp_path), "user_events", at).collect()
+
+
+def test_since_finds_subscriptions_that_changed(spark, tmp_path):
+    rows = [("1", "2024-01-01", "2024-01-09"), ("2", "2024-01-01", None), ("3", "2024-01-05", None), ("4", "2024-01-05", "bad")]
+    names = ("subscription_id", "created_at", "updated_at")
+    put(tmp_path, "subscriptions.json", json.dumps([dict(zip(names, r)) for r in rows]))
+    at = datetime(2024, 1, 2)
+    assert [r["subscription_id"] for r in read_source(spark, str(tmp_path), "subscriptions", at).collect()] == ["3", "4"]
+    changed = read_source(spark, str(tmp_path), "subscriptions", at, changed=True)
+    assert sorted(r["subscription_id"] for r in changed.collect()) == ["1", "3", "4"]
+
+
+def test_shared_folder_needs_a_setting_on_a_cluster():
+    from ledgerline.session import shared_folder
+
+    class Conf(dict):
+        def get(self, key, default=None):
+            return dict.get(self, key, default)
+
+    class Session:
+        conf = Conf({"spark.master": "spark://host:7077"})
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(Session(), "x")
+    Session.conf["spark.checkpoint.dir"] = "hdfs:///shared/"
+    assert shared_folder(Session(), "x").startswith("hdfs:///shared/x-")
+    Session.conf = Conf({"spark.master": "local[2]"})
+    assert "/x-" in shared_folder(Session(), "x")

@@ -185,3 +185,67 @@ def test_a_read_touches_only_the_days_asked_for(spark, warehouse):
     )
     plan = plan_of(warehouse.read("user_events").where("event_date = date'2024-01-02'"))
     assert "PartitionFilters: [isnotnull(event_date" in plan
+
+
+class Cut(Exception):
+    pass
+
+
+def test_a_failed_replace_leaves_the_table(spark, warehouse, monkeypatch):
+    df = spark.createDataFrame([(f"s{i}", "trial") for i in range(5)], "subscription_id string, status string")
+    key = ["subscription_id"]
+    warehouse.upsert("subscriptions", df, key, SUBSCRIPTION_UPDATES, FIRST)
+    before = stored(warehouse, "subscriptions", "subscription_id", "status")
+    more = df.where("subscription_id = 's1'").withColumn("status", F.lit("active"))
+    broken = more.withColumn("status", F.raise_error(F.lit("cut off")).cast("string"))
+    with pytest.raises(Exception, match="cut off"):
+        warehouse.write("subscriptions", warehouse._prepared("subscriptions", broken, SECOND), "replace")
+    assert stored(warehouse, "subscriptions", "subscription_id", "status") == before
+
+    def cut(*_):
+        raise Cut
+
+    monkeypatch.setattr("ledgerline.sinks.warehouse.write_text", cut)  # written, not yet complete
+    with pytest.raises(Cut):
+        warehouse.upsert("subscriptions", more, key, SUBSCRIPTION_UPDATES, SECOND)
+    assert stored(warehouse, "subscriptions", "subscription_id", "status") == before
+    monkeypatch.undo()
+    warehouse.upsert("subscriptions", more, key, SUBSCRIPTION_UPDATES, SECOND)
+    want = [(i, "active" if i == "s1" else s) for i, s in before]
+    assert stored(warehouse, "subscriptions", "subscription_id", "status") == want
+    assert stored(warehouse, "subscriptions", "ingested_at") == [(FIRST,)] * 5
+
+
+def test_an_upsert_cut_off_after_its_swap_is_finished_by_the_next_reader(spark, warehouse, monkeypatch):
+    first = events(spark, ("e1", "a", "2024-01-01"), ("e2", "a", "2024-01-02"), ("e3", "a", "2024-01-02"))
+    moved = events(spark, ("e1", "b", "2024-01-05"), ("e2", "b", "2024-01-05"))
+    warehouse.upsert("user_events", first, ["event_id"], EVENT_UPDATES, FIRST)
+    before, finish = stored(warehouse), Warehouse._finish_removal
+    write = Warehouse.write
+
+    def cut(*_, **__):
+        raise Cut
+
+    monkeypatch.setattr(Warehouse, "write", cut)  # noted, not swapped
+    with pytest.raises(Cut):
+        warehouse.upsert("user_events", moved, ["event_id"], EVENT_UPDATES, SECOND)
+    assert stored(warehouse) == before
+    monkeypatch.setattr(Warehouse, "write", lambda *a, **k: (write(*a, **k), cut()))  # swapped, not removed
+    with pytest.raises(Cut):
+        warehouse.upsert("user_events", moved, ["event_id"], EVENT_UPDATES, SECOND)
+    monkeypatch.undo()
+    assert Warehouse._finish_removal is finish
+    want = [("e1", "b", datetime(2024, 1, 5), FIRST), ("e2", "b", datetime(2024, 1, 5), FIRST), ("e3", "a", datetime(2024, 1, 2), FIRST)]
+    assert stored(warehouse) == want
+    warehouse.upsert("user_events", moved, ["event_id"], EVENT_UPDATES, SECOND)
+    assert stored(warehouse) == want
+
+
+def test_null_keys_are_idempotent(spark, warehouse):
+    batch = events(spark, (None, "a", "2024-01-01"), ("e", "a", "2024-01-02"))
+    for at in (FIRST, SECOND, SECOND):
+        warehouse.upsert("user_events", batch, ["event_id"], EVENT_UPDATES, at)
+    assert [(r.event_id, r.ingested_at) for r in warehouse.read("user_events").orderBy("event_ts").collect()] == [(None, FIRST), ("e", FIRST)]
+    later = events(spark, (None, "b", "2024-01-09"))
+    warehouse.upsert("user_events", later, ["event_id"], EVENT_UPDATES, SECOND)
+    assert warehouse.read("user_events").count() == 2
