@@ -344,8 +344,11 @@ FROM orders GROUP BY o_orderstatus""",
     ),
     "scan_csv": _with(
         "raw_subscriptions",
-        "SELECT subscription_id, plan_name, CAST(monthly_revenue AS VARCHAR) AS monthly_revenue "
-        "FROM raw_subscriptions",
+        "SELECT CAST(COLUMNS(*) AS VARCHAR) FROM raw_subscriptions",
+    ),
+    "scan_json": _with(
+        "raw_user_events",
+        "SELECT event_id, user_id, event_type, properties, session_id, event_ts FROM raw_user_events",
     ),
     "clean_user_events": _with(
         "raw_dirty_events",
@@ -449,6 +452,9 @@ SELECT * EXCLUDE (ingested_at) FROM user_events WHERE event_ts > {_SINCE}""",
         f"{_WAREHOUSE_TABLES} dim_date dim_plan dim_account fact_user_events snapshots",
         _STORED_COUNTS,
     ),
+    "etl_incremental": _with(
+        "user_events", "SELECT * EXCLUDE (ingested_at) FROM user_events"
+    ),
     "stream_user_events": _with(
         "user_events", "SELECT * EXCLUDE (ingested_at) FROM user_events"
     ),
@@ -582,7 +588,7 @@ FROM raw_dirty_events""",
     "invalid_date_ranges": _with(
         "raw_subscriptions",
         "SELECT count(*) AS invalid_dates FROM raw_subscriptions "
-        "WHERE start_date IS NOT NULL AND start_date < updated_at",
+        "WHERE CASE WHEN user_id LIKE '%7' THEN start_date - 3 ELSE end_date END < start_date",
     ),
     "table_counts": _with(
         _WAREHOUSE_TABLES,

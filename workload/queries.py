@@ -11,7 +11,7 @@ from pyspark.sql.types import DateType, DecimalType
 
 from ledgerline import operators as ops
 from ledgerline.functions import normalised_properties, parse_moment, parse_money
-from ledgerline.operators import conform, keep_first, keep_last, rows_not_in, upserted
+from ledgerline.operators import conform, keep_first, keep_last
 from ledgerline.operators import quality as checks
 from ledgerline.plans import metrics, star
 from ledgerline.plans.pipeline import (
@@ -23,10 +23,11 @@ from ledgerline.plans.pipeline import (
 from ledgerline.plans.quality_suite import QualitySuite, warehouse_suite
 from ledgerline.schemas import (
     FACT_SUBSCRIPTION_DAILY,
+    PARTITION_COLUMN,
+    PARTITION_RULE,
     SUBSCRIPTION_STATUSES,
     TABLES,
     USER_EVENTS,
-    USER_PROFILES,
 )
 from ledgerline.session import shared_folder
 from ledgerline.sinks import Warehouse
@@ -176,8 +177,7 @@ def _written(t: Tables, df: DataFrame, suffix: str) -> str:
 @query
 def scan_csv(t: Tables) -> DataFrame:
     """Subscriptions written as delimited text and read back as the raw source."""
-    path = _written(t, t.raw("subscriptions"), "csv")
-    return read_file(t.spark, path).select("subscription_id", "plan_name", "monthly_revenue")
+    return read_file(t.spark, _written(t, t.raw("subscriptions"), "csv"))
 
 
 # Cleaning
@@ -262,27 +262,49 @@ def _held_and_batch(t: Tables) -> tuple[DataFrame, DataFrame]:
     return held, batch
 
 
+def _warehouse(t: Tables) -> Warehouse:
+    return Warehouse(t.spark, shared_folder(t.spark, "warehouse"))
+
+
+def _held_in_warehouse(t: Tables, held: DataFrame, table: str) -> Warehouse:
+    """A warehouse that holds these rows, stamps included."""
+    warehouse = _warehouse(t)
+    prepared = held
+    if table in PARTITION_RULE:
+        prepared = held.withColumn(PARTITION_COLUMN[table], F.expr(PARTITION_RULE[table]))
+    warehouse.write(table, conform(prepared, TABLES[table]))
+    return warehouse
+
+
 @query
 def load_insert_new(t: Tables) -> DataFrame:
     held, batch = _held_and_batch(t)
-    return held.unionByName(rows_not_in(held, batch, ["event_id"]))
+    warehouse = _held_in_warehouse(t, held, "user_events")
+    warehouse.insert_new("user_events", batch, ["event_id"], b.QUALITY_NOW)
+    return warehouse.read("user_events").drop("event_date")
 
 
 @query
 def load_upsert(t: Tables) -> DataFrame:
     held, batch = _held_and_batch(t)
-    return upserted(held, batch, ["event_id"], EVENT_UPDATES)
+    warehouse = _held_in_warehouse(t, held, "user_events")
+    warehouse.upsert("user_events", batch, ["event_id"], EVENT_UPDATES, b.QUALITY_NOW)
+    return warehouse.read("user_events").drop("event_date")
 
 
 @query
 def load_replace(t: Tables) -> DataFrame:
-    return conform(t.profiles, USER_PROFILES)
+    """Profiles replaced where other profiles were held."""
+    old = t.profiles.withColumns({"email": F.lit("old@x"), "user_id": F.concat(F.lit("old"), "user_id")})
+    warehouse = _held_in_warehouse(t, old, "user_profiles")
+    warehouse.replace("user_profiles", t.profiles, b.RUN_TS)
+    return warehouse.read("user_profiles")
 
 
 @query
 def load_upsert_subset(t: Tables) -> DataFrame:
     """Snapshots of one month end, reloaded after every subscription changed plan and status."""
-    held = t.snapshots()
+    warehouse = _held_in_warehouse(t, t.snapshots(), "fact_subscription_daily")
     later = t.subscriptions.withColumns(
         {
             "status": F.lit("cancelled"),
@@ -292,8 +314,9 @@ def load_upsert_subset(t: Tables) -> DataFrame:
     batch = star.fact_subscription_daily(
         later, t.dim_account, t.plans, t.dates, b.AS_OF, days_back=10
     )
-    merged = upserted(held, batch, ["date_key", "account_key"], SNAPSHOT_UPDATES)
-    return merged.select(
+    keys = ["date_key", "account_key"]
+    warehouse.upsert("fact_subscription_daily", batch, keys, SNAPSHOT_UPDATES, b.RUN_TS)
+    return warehouse.read("fact_subscription_daily").select(
         "date_key", "account_key", "plan_key", "subscription_status", "mrr", "arr",
         "is_new_subscription", "is_churned",
     )
@@ -308,11 +331,6 @@ def evolve_schema(t: Tables) -> DataFrame:
     return conform(both, USER_EVENTS).drop("ingested_at", "event_date")
 
 
-@query
-def etl_row_counts(t: Tables) -> DataFrame:
-    return metrics.table_counts({n: t(n) for n in WAREHOUSE_TABLES})
-
-
 def raw_folder(t: Tables) -> str:
     """The four raw sources as Parquet files, in source order and under their raw names."""
     folder = shared_folder(t.spark, "raw")
@@ -324,6 +342,13 @@ def raw_folder(t: Tables) -> str:
     return folder
 
 
+@query
+def etl_row_counts(t: Tables) -> DataFrame:
+    """What a batch run over raw files reports to have loaded."""
+    loaded = run_etl(t.spark, raw_folder(t), _warehouse(t), b.RUN_TS)
+    return t.spark.createDataFrame(list(loaded.items()), "table_name string, record_count long")
+
+
 @query
 def etl_load(t: Tables) -> DataFrame:
     """The whole batch run with its writes: files to warehouse, again, and on to star schema.
@@ -338,6 +363,36 @@ def etl_load(t: Tables) -> DataFrame:
     return metrics.table_counts({n: warehouse.read(n) for n in TABLES if n != "accounts"})
 
 
+@query
+def etl_incremental(t: Tables) -> DataFrame:
+    """Events up to a moment loaded first, later ones by a run with "since"; what is stored then."""
+    folder, warehouse = raw_folder(t), _warehouse(t)
+    first = shared_folder(t.spark, "raw")
+    for name in ("user_profiles", "subscriptions", "transactions"):
+        t.spark.read.parquet(f"{folder}/{name}.parquet").write.parquet(f"{first}/{name}.parquet")
+    moment = F.lit(b.SINCE).cast("timestamp_ntz")
+    events = t.spark.read.parquet(f"{folder}/user_events.parquet")
+    events.where(F.col("timestamp") <= moment).write.parquet(f"{first}/user_events.parquet")
+    run_etl(t.spark, first, warehouse, b.RUN_TS)
+    run_etl(t.spark, folder, warehouse, b.RUN_TS, since=b.SINCE, upsert_subscriptions=True)
+    return warehouse.read("user_events").drop("ingested_at", "event_date")
+
+
+@query
+def scan_json(t: Tables) -> DataFrame:
+    """Events written as files of JSON lists and read back as the raw source."""
+    folder = f"{shared_folder(t.spark, 'scan')}/user_events.json"
+    columns = ["event_id", "user_id", "event_type", "properties", "session_id"]
+    event = F.struct(*columns, F.col("event_ts").cast("string").alias("timestamp"))
+    rows = t.raw("user_events").select(F.to_json(event).alias("o"), F.pmod(F.xxhash64("event_id"), F.lit(64)).alias("part"))
+    lists = rows.groupBy("part").agg(F.array_join(F.collect_list("o"), ",").alias("list"))
+    lists.select("part", F.concat(F.lit("["), "list", F.lit("]")).alias("value")).write.partitionBy("part").text(folder)
+    back = read_file(t.spark, folder, SOURCES["user_events"].raw_schema)
+    return back.withColumns(
+        {"event_ts": F.col("timestamp").cast("timestamp_ntz"), "properties": F.col("properties").cast("string")}
+    ).select(*columns, "event_ts")
+
+
 @query
 def stream_user_events(t: Tables) -> DataFrame:
     """Events loaded by the streaming reader, as stored afterwards."""
@@ -551,7 +606,9 @@ def duplicate_event_ids(t: Tables) -> DataFrame:
 
 @query
 def invalid_date_ranges(t: Tables) -> DataFrame:
-    return checks.invalid_date_ranges(t.raw("subscriptions"), "updated_at", "start_date")
+    """Subscriptions of which some are made to end before they start."""
+    early = F.when(F.col("user_id").endswith("7"), F.expr("start_date - 3")).otherwise(F.col("end_date"))
+    return checks.invalid_date_ranges(t.raw("subscriptions").withColumn("end_date", early), "start_date", "end_date")
 
 
 # Analytics
