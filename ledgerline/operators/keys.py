@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -28,6 +28,19 @@ def _range_bounds(df: DataFrame, natural_key: str, ranges: int) -> list[str]:
     return values[step::step][: ranges - 1]
 
 
+def _range_of(key: Column, bounds: list[str]) -> Column:
+    """Number of bounds up to `key`, by halving: as many steps as the number of bounds has bits."""
+    if not bounds:
+        return F.lit(0)
+    held = F.array(*[F.lit(b) for b in bounds]).cast("array<string>")
+    steps = F.array(*[F.lit(1 << i) for i in reversed(range(len(bounds).bit_length()))])
+
+    def take(at: Column, step: Column) -> Column:
+        return F.when(F.get(held, at + step - 1) <= key, at + step).otherwise(at)
+
+    return F.aggregate(steps, F.lit(0), take)
+
+
 def with_dense_keys(
     df: DataFrame, natural_key: str, key: str, start: int = 1, ranges: int | None = None
 ) -> DataFrame:
@@ -38,10 +51,8 @@ def with_dense_keys(
     alone, so a recomputed task yields the same numbers.
     """
     if ranges is None:
-        ranges = min(256, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    bounds = _range_bounds(df, natural_key, ranges)
-    bound_array = F.array(*[F.lit(b) for b in bounds]).cast("array<string>")
-    position = F.size(F.filter(bound_array, lambda b: b <= F.col(natural_key)))
+        ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    position = _range_of(F.col(natural_key), _range_bounds(df, natural_key, ranges))
     placed = df.withColumn("_range", position)
 
     # One row per range: the running total over at most `ranges` rows is a single small task.

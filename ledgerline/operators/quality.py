@@ -123,7 +123,10 @@ class NullRate(Check):
 
 @dataclass(frozen=True)
 class Unique(Check):
-    """No two rows share the values of the columns; null is a value here."""
+    """No two rows share the values of the columns; null is a value here.
+
+    The report states at most `REPORTED_DUPLICATE_GROUPS` groups; `duplicate_groups` counts them all.
+    """
 
     columns: tuple[str, ...]
     name = "no_duplicates"
@@ -145,6 +148,12 @@ class Unique(Check):
         )
 
 
+def duplicate_groups(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Number of groups of rows that share the values of the columns, without an upper limit."""
+    groups = df.groupBy(*columns).count().where("count > 1")
+    return groups.agg(F.count(F.lit(1)).alias("duplicate_groups"))
+
+
 @dataclass(frozen=True)
 class Reference(Check):
     """Every non-null value exists in the referenced column. Counts distinct values without one.

@@ -9,18 +9,22 @@ from datetime import date, datetime
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from ..functions import parse_moment
 from ..operators.clean import (
     clean_subscriptions,
     clean_transactions,
     clean_user_events,
     clean_user_profiles,
 )
+from ..operators.dedup import keep_last
 from ..operators.enrich import enrich_user_events
 from ..schemas import STAR_TABLES
 from ..session import configure
 from ..sinks.warehouse import Warehouse
-from ..sources.files import ROW_ORDER, check_sources, read_source
+from ..sources.files import ROW_ORDER, check_sources, read_source, resolve_source
+from ..sources.paths import exists
 from . import star
 from .metrics import table_counts
 from .quality_suite import SuiteResult, warehouse_suite
@@ -67,7 +71,8 @@ def run_etl(
     """Loads the four sources of a folder; returns rows loaded per table.
 
     Profiles are replaced, subscriptions and transactions get their new rows, events are
-    upserted. A source that is missing counts as empty. With `since`, only later rows of the
+    upserted, accounts are replaced where the folder has them. A source that is missing counts as
+    empty. With `since`, only later rows of the
     sources that have a time column are read. Subscriptions already held stay as they are, even
     if the source has a later version of them; `upsert_subscriptions` updates them instead, and
     "since" then goes by when they changed.
@@ -98,8 +103,17 @@ def run_etl(
         known = warehouse.read("user_profiles") if people else None
         return people, load_user_events(warehouse, source("user_events"), known, run_ts)
 
-    (people, events), subscribed, paid = _together(
-        profiles_then_events, subscriptions, transactions
+    def accounts() -> int | None:
+        """Accounts are optional: a folder without them leaves the table as it is."""
+        if not exists(spark, resolve_source(spark, raw_dir, "accounts")):
+            return None
+        raw = read_source(spark, raw_dir, "accounts").where(F.col("account_id").isNotNull())
+        known = keep_last(raw, ["account_id"], ROW_ORDER)
+        known = known.withColumn("signup_date", parse_moment(known, "signup_date"))
+        return warehouse.replace("accounts", known.drop(*ROW_ORDER), run_ts)
+
+    (people, events), subscribed, paid, companies = _together(
+        profiles_then_events, subscriptions, transactions, accounts
     )
     loaded = {
         "user_profiles": people,
@@ -107,6 +121,8 @@ def run_etl(
         "transactions": paid,
         "user_events": events,
     }
+    if companies is not None:
+        loaded["accounts"] = companies
     for table, rows in loaded.items():
         log.info("Loaded %s rows to %s", f"{rows:,}", table)
     return loaded

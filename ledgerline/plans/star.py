@@ -165,16 +165,17 @@ def fact_subscription_daily(
     list price of its plan whatever its status; unknown plans count as the first plan at no
     price. A cancelled or expired subscription is marked churned on each of its days.
 
-    The days are those of `dates` in the period. Subscriptions are cut to the period first. Among
-    subscriptions of one user that cover the same days only the one started last can ever
-    represent the account, so the others are dropped before days are spelled out. That leaves at
-    most a few hundred rows per user (one per distinct stretch of days) however many
-    subscriptions the user has, and only then do rows meet by user. Days are spelled out after
-    that shuffle, not before it.
+    The days are those of `dates` in the period. Subscriptions are cut to the first and last of
+    these days that they cover. Among subscriptions of one user that cover the same days only the
+    one started last can ever represent the account, so the others are dropped before days are
+    spelled out. With D days that leaves at most D(D+1)/2 rows per user (one per distinct stretch)
+    however many subscriptions the user has and however long the period is, and only then do rows
+    meet by user. Days are spelled out after that shuffle, not before it.
     """
     low, high = as_of - timedelta(days=days_back), as_of
     calendar = dates.where(F.col("full_date").between(F.lit(low), F.lit(high)))
-    days = [row["full_date"] for row in calendar.select("full_date").collect()]  # one per day
+    days = sorted(row["full_date"] for row in calendar.select("full_date").collect())  # one per day
+    held_days = F.array(*[F.lit(day) for day in days]).cast("array<date>")
     first = F.greatest(F.col("start_date").cast("date"), F.lit(low))
     last = F.least(F.coalesce(F.col("end_date").cast("date"), F.lit(high)), F.lit(high))
     spans = (
@@ -189,16 +190,21 @@ def fact_subscription_daily(
             last.alias("last_day"),
         )
         .where("first_day <= last_day")
+        .withColumns(
+            {
+                "before": F.size(F.filter(held_days, lambda day: day < F.col("first_day"))),
+                "until": F.size(F.filter(held_days, lambda day: day <= F.col("last_day"))),
+            }
+        )
+        .where("before < until")
+        .drop("first_day", "last_day")
     )
     newest = ["start_date", "subscription_id"]
-    per_stretch = keep_last(spans, ["user_id", "first_day", "last_day"], newest)
+    per_stretch = keep_last(spans, ["user_id", "before", "until"], newest)
     held = per_stretch.join(
         accounts.select(F.col("account_id").alias("user_id"), "account_key"), "user_id"
     )
-    covered = F.filter(
-        F.array(*[F.lit(day) for day in days]).cast("array<date>"),
-        lambda day: day.between(F.col("first_day"), F.col("last_day")),
-    )
+    covered = F.slice(held_days, F.col("before") + 1, F.col("until") - F.col("before"))
     daily = held.withColumn("full_date", F.explode(covered))
     current = keep_last(daily, ["user_id", "full_date"], newest)
     priced = current.join(

@@ -97,7 +97,7 @@ def test_enrichment_takes_the_last_profile_and_replaces_old_columns(spark):
     assert rows["e1"]["signup_source"] is None
 
 
-@pytest.mark.parametrize("ranges", [1, 3, 8, 64])
+@pytest.mark.parametrize("ranges", [1, 3, 8, 64, 1000])
 def test_dense_keys_follow_the_order_of_the_natural_key(spark, ranges):
     df = spark.range(1000).select(F.sha2(F.col("id").cast("string"), 256).alias("k"), "id")
     rows = with_dense_keys(df, "k", "n", start=5, ranges=ranges).orderBy("n").collect()

@@ -5,6 +5,7 @@ from datetime import date, datetime
 
 import pytest
 
+from ledgerline.plans import metrics
 from ledgerline.plans.pipeline import build_star, check_quality, run_etl, run_pipeline
 from ledgerline.plans.quality_suite import QualityError
 from ledgerline.schemas import TABLES
@@ -102,6 +103,17 @@ def test_only_later_rows_with_since(spark, raw, warehouse):
     assert loaded == {"user_profiles": 2, "subscriptions": 0, "transactions": 0, "user_events": 1}
 
 
+def test_accounts_are_loaded_where_they_exist(spark, raw, warehouse):
+    assert "accounts" not in run_etl(spark, str(raw), warehouse, FIRST)
+    rows = [{"account_id": "a1", "signup_date": "2024-01-01", "status": "churned"}, {"account_id": "a2", "signup_date": "soon", "status": "active"},
+            {"account_id": "a1", "signup_date": "2024-01-02", "status": "active"}, {"account_id": "a3", "status": "churned"}]
+    (raw / "accounts.json").write_text(json.dumps(rows))
+    assert run_etl(spark, str(raw), warehouse, FIRST)["accounts"] == 3
+    got = {r.account_id: (r.signup_date, r.status) for r in warehouse.read("accounts").collect()}
+    assert got == {"a1": (datetime(2024, 1, 2), "active"), "a2": (None, "active"), "a3": (None, "churned")}
+    assert metrics.churn_rate(warehouse.read("accounts"), AS_OF).first()[0] is not None
+
+
 def test_stale_data_is_a_warning(spark, raw, warehouse):
     run_etl(spark, str(raw), warehouse, FIRST)
     result = check_quality(spark, warehouse, datetime(2024, 7, 1))

@@ -170,3 +170,10 @@ def test_warehouse_suite_has_its_17_checks(spark, sf):
     run = warehouse_suite(spark, Tables(spark, sf), NOW).run()
     names = [r.check_name for r in run.results]
     assert [names.count(n) for n in ("row_count", "null_values", "no_duplicates", "referential_integrity", "value_range", "freshness")] == [4, 4, 4, 3, 1, 1]
+
+
+def test_all_duplicate_groups_are_counted(spark):
+    from ledgerline.operators.quality import duplicate_groups
+
+    df = spark.createDataFrame([(i % 30, i) for i in range(60)] + [(99, 0)], "k int, v int")
+    assert duplicate_groups(df, ["k"]).first()[0] == 30 and duplicate_groups(df, ["k", "v"]).first()[0] == 0

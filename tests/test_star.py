@@ -183,7 +183,7 @@ def test_days_are_spelled_out_after_the_shuffle_by_user(spark, sf):
         plan = plan_of(spans)
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
-    generate = plan.index("Generate explode(filter(")
+    generate = plan.index("Generate explode(")
     above = plan[:generate]
     by_day = [line for line in above.splitlines() if "Exchange hashpartitioning(user_id" in line]
     assert by_day == []
