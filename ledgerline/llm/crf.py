@@ -212,7 +212,7 @@ def train(docs: DataFrame, labels: DataFrame, use: Column, most_docs: int = 4000
 
     kind = known.schema["doc_id"].dataType.simpleString()
     seen = given.select("doc_id", "quality", "text").mapInArrow(run, f"doc_id {kind}, quality int, x binary, length binary")
-    seen = sorted(seen.toLocalIterator(), key=lambda r: (r.doc_id, r.length, r.x))
+    seen = sorted(seen.collect(), key=lambda r: (r.doc_id, r.length, r.x))
     if not seen:
         return None
     length = [np.frombuffer(r.length, np.int64) for r in seen]

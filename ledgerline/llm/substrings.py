@@ -84,7 +84,7 @@ def prefix_groups(docs: DataFrame, k: int, group_size: int) -> tuple[list[np.nda
             yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], names=["bin", "n"])
 
         counts = np.zeros(BINS, dtype=np.int64)
-        for r in docs.mapInArrow(run, "bin long, n long").groupBy("bin").agg(F.sum("n").alias("n")).toLocalIterator():
+        for r in docs.mapInArrow(run, "bin long, n long").groupBy("bin").agg(F.sum("n").alias("n")).collect():
             counts[r.bin] = r.n
         table, last = np.zeros(BINS, dtype=np.int64), len(levels) + 1 == k
         held = group_size + 1
