@@ -80,9 +80,9 @@ def host_verdicts(judged: DataFrame, max_rate: float) -> DataFrame:
     chance = F.col("_mean") * (1 - F.col("_mean"))
     between = F.col("_square") - F.col("_mean") * F.col("_mean") - chance * F.col("_hosts") / F.col("_all")
     weight = F.when((chance > 0) & (between > 0), F.least(F.greatest(chance / between - 1, F.lit(1.0)), F.lit(1e6))).otherwise(1e6)
-    prior = overall.select("_mean", weight.alias("_weight"))
-    rate = (F.col("failures") + F.col("_mean") * F.col("_weight")) / (F.col("n") + F.col("_weight"))
-    return hosts.join(F.broadcast(prior)).select("host", "n", "failures", rate.alias("rate"), (rate > max_rate).alias("host_failed"))
+    mean, weight = overall.select("_mean", weight).first()
+    rate = (F.col("failures") + F.lit(mean) * F.lit(weight)) / (F.col("n") + F.lit(weight))
+    return hosts.select("host", "n", "failures", rate.cast("double").alias("rate"), (rate > max_rate).alias("host_failed"))
 
 
 def judge(
