@@ -13,7 +13,8 @@ verified on their texts.
 
 Exact copies collapse to one set before. Candidate buckets are resolved against representatives, in
 rounds: a bucket is finished when what is left of it is one component, so that thousands of mutual
-near copies cost thousands of comparisons rather than millions.
+near copies cost thousands of comparisons rather than millions. Before texts are fetched, parity
+sketches bound from below in how many elements two sets differ, which is an exact filter too.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from math import exp, factorial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import components
@@ -193,6 +194,23 @@ def signatures(hashes, sizes, like: Similarity) -> tuple[np.ndarray, np.ndarray]
     return _signatures(hashes, sizes, np.arange(len(sizes)), like)
 
 
+#: Words of 64 bits in a parity sketch, and their columns.
+SKETCH = 8
+SKETCHES = [f"s{i}" for i in range(SKETCH)]
+
+
+def parities(hashes: np.ndarray, sizes: np.ndarray) -> list[np.ndarray]:
+    """For each set, bit i of a sketch says whether an odd number of its elements fall into cell i.
+
+    Sets differ in at least as many elements as their sketches differ in bits.
+    """
+    cell = (mix(hashes, 81) >> U(55)).astype(np.int64)
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    odd = np.bincount(owner * 512 + cell, minlength=len(sizes) * 512).astype(np.uint8) & 1
+    words = np.packbits(odd.reshape(-1, 512), axis=1, bitorder="little").view(np.uint64)
+    return [np.ascontiguousarray(words[:, i]) for i in range(SKETCH)]
+
+
 def document_sets(docs: DataFrame, like: Similarity, id_column: str, text_column: str) -> DataFrame:
     """(doc_id, n_shingles, fp1, fp2) of every document; a document without words has no fingerprint."""
 
@@ -310,7 +328,7 @@ def near_duplicates(
 
 
 def _texts(docs: DataFrame, bucket: DataFrame, classes: DataFrame, id_column: str, text_column: str, like: Similarity) -> DataFrame:
-    """(node, text) of every set that shares a signature: the text of one of its documents.
+    """(node, text, n, s0..) of every set that shares a signature: one document's text, size, sketch.
 
     A bounded filter keeps most other texts out of the shuffle.
     """
@@ -320,13 +338,19 @@ def _texts(docs: DataFrame, bucket: DataFrame, classes: DataFrame, id_column: st
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in blocks(batches, "text"):
-            fps = fingerprints(*shingle_sets(b.column("text"), like.k))
-            yield pa.RecordBatch.from_arrays([*map(signed, fps), b.column("text").cast(pa.binary())], names=["fp1", "fp2", "text"])
+            hashes, sizes = shingle_sets(b.column("text"), like.k)
+            columns = [*fingerprints(hashes, sizes), *parities(hashes, sizes)]
+            yield pa.RecordBatch.from_arrays(
+                [*map(signed, columns), pa.array(sizes.astype(np.int64)), b.column("text").cast(pa.binary())],
+                names=["fp1", "fp2", *SKETCHES, "n", "text"],
+            )
 
     some = maybe_in(given.withColumn("doc_id", F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))), "doc_id", nodes.select(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")).alias("_key")), "_key")
-    own = some.select("text").mapInArrow(run, "fp1 long, fp2 long, text binary")
+    kinds = "".join(f"{c} long, " for c in ("fp1", "fp2", *SKETCHES, "n"))
+    own = some.select("text").mapInArrow(run, f"{kinds}text binary")
     keyed = own.join(nodes.select("fp1", "fp2", "node"), ["fp1", "fp2"])
-    return staged(keyed.groupBy("node").agg(F.min("text").alias("text")), "texts")
+    one = keyed.groupBy("node").agg(F.min(F.struct("text", "n", *SKETCHES)).alias("_t"))
+    return staged(one.select("node", "_t.*"), "texts")
 
 
 #: The rest of all buckets is compared at once when it takes no more pairs than this for each member.
@@ -342,24 +366,34 @@ def _linked(bucket: DataFrame, texts: DataFrame, like: Similarity) -> tuple[Data
     all are compared, else the number taken grows fourfold; no pair that may link is left out.
     """
     often = bucket.groupBy("node").agg(F.count(F.lit(1)).alias("often"))
-    rest = staged(bucket.join(often, "node").select("sig", "node", "often", F.col("node").alias("comp")), "rest")
+    known = ["node", "often", "n", *SKETCHES]
+    sketched = bucket.join(often, "node").join(texts.drop("text"), "node")
+    rest = staged(sketched.select("sig", *known, F.col("node").alias("comp")), "rest")
     links, comps, take, final = None, None, 1, False
+
+    def reps(of: str) -> list[Column]:
+        named = {"rep": "node", **{f"rep_{c}": c for c in ("comp", "n", *SKETCHES)}}
+        return [F.col(of + column).alias(name) for name, column in named.items()]
+
     while not rest.isEmpty():
         if final:
             sizes = rest.groupBy("sig", "comp").agg(F.count(F.lit(1)).alias("_n"))
             largest = sizes.groupBy("sig").agg(F.max(F.struct("_n", "comp")).alias("_l")).select("sig", F.col("_l.comp").alias("_largest"))
             few = rest.join(largest, "sig").where("comp != _largest")
-            first = few.select("sig", F.col("node").alias("rep"), F.col("comp").alias("rep_comp"))
+            first = few.select("sig", *reps(""))
         else:
             if take == 1:
-                first = rest.groupBy("sig").agg(F.max(F.struct("often", "node", "comp")).alias("_r"))
-                first = first.select("sig", F.col("_r.node").alias("rep"), F.col("_r.comp").alias("rep_comp"))
+                first = rest.groupBy("sig").agg(F.max(F.struct("often", "node", "comp", "n", *SKETCHES)).alias("_r"))
+                first = first.select("sig", *reps("_r."))
             else:
                 order = Window.partitionBy("sig").orderBy(F.desc("often"), "node")
                 first = rest.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= take)
-                first = first.select("sig", F.col("node").alias("rep"), F.col("comp").alias("rep_comp"))
+                first = first.select("sig", *reps(""))
             first = staged(first, "representatives")
-        pairs = first.join(rest, "sig").where("comp != rep_comp")
+        # Pairs whose sketches differ too much are no rows of the join.
+        apart = " + ".join(f"bit_count({c} ^ rep_{c})" for c in SKETCHES)
+        may = F.expr(f"comp != rep_comp AND {apart} <= {like.den - like.num} * (n + rep_n) DIV {like.den + like.num}")
+        pairs = first.alias("f").join(rest.alias("r"), (F.col("f.sig") == F.col("r.sig")) & may)
         pairs = pairs.select(F.least("rep", "node").alias("a"), F.greatest("rep", "node").alias("b")).distinct()
         found = staged(_verified(pairs, texts, like), "verified")
         links = found if links is None else links.unionByName(found)
@@ -375,7 +409,7 @@ def _linked(bucket: DataFrame, texts: DataFrame, like: Similarity) -> tuple[Data
         if final:
             break
         left = rest.drop("comp").join(first.select("sig", F.col("rep").alias("node")), ["sig", "node"], "left_anti")
-        left = left.join(comps, "node", "left").select("sig", "node", "often", F.coalesce("comp", "node").alias("comp"))
+        left = left.join(comps, "node", "left").select("sig", *known, F.coalesce("comp", "node").alias("comp"))
         left = staged(left, "rest")
         sizes = left.groupBy("sig", "comp").agg(F.count(F.lit(1)).alias("_n")).groupBy("sig")
         several = sizes.agg(F.sum("_n").alias("_all"), F.sum(F.col("_n") * F.col("_n")).alias("_same"), F.count(F.lit(1)).alias("_c")).where("_c > 1")

@@ -103,6 +103,38 @@ def test_sets_with_empty_segments_meet_under_another_hash(monkeypatch, rng) -> N
     jaccard.bands.cache_clear()
 
 
+def test_sketches_never_differ_more_than_sets(rng) -> None:
+    import pyarrow as pa
+
+    from ledgerline.llm.jaccard import parities
+
+    texts = near_copies(rng, 20, (5, 600))
+    hashes, sizes = shingle_sets(pa.array(texts), 4)
+    words = np.stack(parities(hashes, sizes), axis=1)
+    sets = [shingles(t, 4) for t in texts]
+    close = []
+    for i, j in itertools.combinations(range(len(texts)), 2):
+        bits, apart = int(np.bitwise_count(words[i] ^ words[j]).sum()), len(sets[i] ^ sets[j])
+        assert bits <= apart
+        if apart <= 60:
+            close.append((bits, apart))
+    assert sum(b for b, _ in close) > 0.8 * sum(a for _, a in close) > 0
+
+
+def test_a_large_group_of_loose_copies(spark, rng) -> None:
+    """Copies that share signatures and mostly do not link, resolved over several rounds."""
+    base = [f"b{i}" for i in range(120)]
+    texts = []
+    for i in range(90):
+        copy = list(base)
+        for at in rng.sample(range(120), rng.choice([1, 2, 4, 5, 6])):
+            copy[at] = f"x{i}-{at}"
+        texts.append(" ".join(copy))
+    rows = list(enumerate(texts))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert result(near_duplicates(df, LIKE)) == brute(rows, LIKE)
+
+
 def test_chain_of_links_and_repeated_rows(spark) -> None:
     words = [f"v{i}" for i in range(120)]
     texts = []
