@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from .tables import count_up_to, staged
 
+#: The digest of an empty text.
+NOTHING = "d41d8cd98f00b204e9800998ecf8427e"
 #: Known tables of at most so many rows are broadcast.
 BROADCAST_KNOWN = 100_000
 
@@ -85,9 +87,10 @@ def scan_licenses(docs: DataFrame, known: DataFrame, id_column: str = "doc_id",
     text = F.col(f"`{text_column}`").cast("string")
     read = docs.select(
         F.monotonically_increasing_id().alias("row"), F.col(f"`{id_column}`").alias("doc_id"),
-        digest(text).alias("digest"), _line_digests(text).alias("lines"),
+        canonical(text).alias("plain"), _line_digests(text).alias("lines"),
     )
-    read = staged(read, "licences")
+    whole = F.when(F.col("plain") != "", F.md5(F.col("plain").cast("binary")))
+    read = staged(read.select("row", "doc_id", whole.alias("digest"), "lines"), "licences")
     hits = read.select("row", F.explode("lines").alias("digest")).join(known, "digest")
     notices = hits.groupBy("row").agg(F.array_join(F.sort_array(F.collect_set("license_id")), ",").alias("notices"))
     whole = read.drop("lines").join(known, "digest", "left")
@@ -95,5 +98,6 @@ def scan_licenses(docs: DataFrame, known: DataFrame, id_column: str = "doc_id",
 
 
 def _line_digests(text: Column) -> Column:
+    """Digests of the lines that have a letter or digit. Each line is put into its form once."""
     parts = F.array_distinct(F.split(text, "\n"))
-    return F.filter(F.transform(parts, digest), lambda x: x.isNotNull())
+    return F.array_remove(F.transform(parts, lambda x: F.md5(canonical(x).cast("binary"))), NOTHING)
