@@ -366,9 +366,9 @@ def _linked(bucket: DataFrame, texts: DataFrame, like: Similarity) -> tuple[Data
     all are compared, else the number taken grows fourfold; no pair that may link is left out.
     """
     often = bucket.groupBy("node").agg(F.count(F.lit(1)).alias("often"))
-    known = ["node", "often", "n", *SKETCHES]
+    carried = ["node", "often", "n", *SKETCHES]
     sketched = bucket.join(often, "node").join(texts.drop("text"), "node")
-    rest = staged(sketched.select("sig", *known, F.col("node").alias("comp")), "rest")
+    rest = staged(sketched.select("sig", *carried, F.col("node").alias("comp")), "rest")
     links, comps, take, final = None, None, 1, False
 
     def reps(of: str) -> list[Column]:
@@ -409,7 +409,7 @@ def _linked(bucket: DataFrame, texts: DataFrame, like: Similarity) -> tuple[Data
         if final:
             break
         left = rest.drop("comp").join(first.select("sig", F.col("rep").alias("node")), ["sig", "node"], "left_anti")
-        left = left.join(comps, "node", "left").select("sig", *known, F.coalesce("comp", "node").alias("comp"))
+        left = left.join(comps, "node", "left").select("sig", *carried, F.coalesce("comp", "node").alias("comp"))
         left = staged(left, "rest")
         sizes = left.groupBy("sig", "comp").agg(F.count(F.lit(1)).alias("_n")).groupBy("sig")
         several = sizes.agg(F.sum("_n").alias("_all"), F.sum(F.col("_n") * F.col("_n")).alias("_same"), F.count(F.lit(1)).alias("_c")).where("_c > 1")
