@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from importlib.resources import files
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,15 +52,82 @@ KNOWN = [
 ]
 
 
+#: Full texts, one file for each id in `license_texts`; where they come from is in README.
+TEXTS = files(__package__) / "license_texts"
+# Addresses of the Free Software Foundation in printings of its licences, and lines that stand before
+# a text or not, fixed values.
+ADDRESSES = [
+    "51 Franklin Street, Fifth Floor, Boston, MA 02110-1301 USA", "51 Franklin St, Fifth Floor, Boston, MA 02110-1301 USA",
+    "59 Temple Place, Suite 330, Boston, MA 02111-1307 USA", "59 Temple Place - Suite 330, Boston, MA 02111-1307, USA", "675 Mass Ave, Cambridge, MA 02139, USA",
+]
+TITLES = {
+    "BSD-2-Clause": ["BSD 2-Clause License", 'BSD 2-Clause "Simplified" License', "The BSD 2-Clause License", "Simplified BSD License"],
+    "BSD-3-Clause": ["BSD 3-Clause License", 'BSD 3-Clause "New" or "Revised" License', "The BSD 3-Clause License", "New BSD License", "BSD License"],
+    "BSL-1.0": ["Boost Software License"], "Unlicense": ["The Unlicense", "Unlicense"], "Zlib": ["zlib License", "The zlib License", "The zlib/libpng License"],
+}
+RESERVED = "All rights reserved."
+
+
+def full_texts() -> list[tuple[str, str]]:
+    """(license_id, text) of the texts in `license_texts`, in the forms in which they are handed on."""
+    out = []
+    for file in sorted(TEXTS.iterdir(), key=lambda f: f.name):
+        name, text = file.name.removesuffix(".txt"), file.read_text(encoding="utf-8")
+        forms = [text]
+        head, end, _ = text.partition("END OF TERMS AND CONDITIONS")
+        if end:  # the advice on how to apply the terms is no part of them
+            forms += [head, head + end]
+        if name.startswith(("GPL", "LGPL", "GFDL")):
+            given = next((x for x in ADDRESSES if x in " ".join(text.split())), None)
+            if given:
+                forms = [" ".join(x.split()).replace(given, y) for x in forms for y in ADDRESSES] + forms
+        if name.startswith("BSD"):
+            bare = text
+            for mark in ("1. ", "2. ", "3. "):
+                bare = bare.replace("\n" + mark, "\n", 1)
+            forms.append(bare)
+        if name == "Unlicense":
+            forms += [text.replace("https://unlicense.org", "http://unlicense.org/"), text[: text.index("For more information")]]
+        forms += [f"{title}\n\n{x}" for title in TITLES.get(name, []) for x in list(forms)]
+        if name.startswith("BSD"):
+            forms += [f"{title}\n\n{RESERVED}\n\n{x}" for title in ["", *TITLES[name]] for x in (text, bare)]
+        out += [(name, x) for x in forms]
+    return out + [(i, f"{title}{RESERVED}\n\n{x}") for i, x in (("MIT", MIT), ("ISC", ISC)) for title in ("", f"{i} License\n\n")]
+
+
+# A line that names who holds the copyright: the word and a year, a mark or an open place, or the word
+# and a name. Lines of a licence's own prose begin with such words as well: "copyright notice, this
+# list", "COPYRIGHT HOLDERS BE LIABLE", "(c) You must retain".
+PROSE = (
+    "notices?|holders?|owners?|laws?|licen[cs]es?|licen[cs]ed|statements?|interests?|rights?|protection|in|on|of|or|and|is|are|to|for|as|"
+    "treaty|treaties|acts?|disclaimers?|material|status|claims?|infringement|permission|with|that|which|information|works?|terms|"
+    "this|these|any|all|patent|trademark|will|may|must|shall|can|does|exists?|only|under|applies"
+)
+COPYRIGHT = (
+    r"(?m)^[^\p{L}\p{N}\n]*(?:"
+    r"(?i:copyright|copr|\(c\)|©)[^\n]{0,12}[0-9]{4}"
+    r"|©|(?i:copyright|copr\.?)[\x20\t:,]*(?:(?i:\(c\))|©|[<\[{])"
+    r"|\((?i:c)\)[\x20\t]*(?:(?i:copyright)|[<\[{])"
+    rf"|(?i:copyright|copr\.?)[\x20\t:,]+(?!(?i:{PROSE})\b)\p{{Lu}}"
+    r")[^\n]*$"
+)
+# Whole words, with what may be put before and after them.
+BEFORE, AFTER = r"(?<![\p{L}\p{N}])((?:sub|re|un|dis)?)", r"((?:s|d|r|rs|ed|ing|able|ably)?)(?![\p{L}\p{N}])"
+SPELLED = BEFORE + f"(?:{'|'.join(given for given, _ in EQUIVALENT)})" + AFTER
+
+
 def canonical(text: Column) -> Column:
     """Letters and digits of a text in lower case, without copyright lines, in one spelling.
 
-    Words are delimited by one space while spellings are replaced, so that only whole words match.
+    White space is one space while spellings are replaced, and only whole words are. Texts without
+    such a word, which are most, are looked through once instead of once for each spelling.
     """
-    out = F.regexp_replace(F.lower(text), r"(?m)^[^a-z0-9\n]*(copyright|copr|\(c\)|©)[^\n]{0,12}[0-9]{4}[^\n]*$", "")
-    out = F.concat(F.lit(" "), F.regexp_replace(out, r"[\s\x{a0}]+", " "), F.lit(" "))
+    out = F.lower(F.regexp_replace(text, COPYRIGHT, ""))
+    out = F.regexp_replace(out, r"[\s\x{a0}]+", " ")
+    one_spelling = out
     for given, one in EQUIVALENT:
-        out = F.replace(out, F.lit(given), F.lit(one))
+        one_spelling = F.regexp_replace(one_spelling, BEFORE + given + AFTER, f"$1{one}$2")
+    out = F.when(out.rlike(SPELLED), one_spelling).otherwise(out)
     return F.regexp_replace(out, r"[^\p{L}\p{N}]+", "")
 
 
@@ -69,7 +138,7 @@ def digest(text: Column) -> Column:
 
 
 def known_licenses(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(KNOWN, "license_id string, text string")
+    return spark.createDataFrame(KNOWN + full_texts(), "license_id string, text string")
 
 
 def scan_licenses(docs: DataFrame, known: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:

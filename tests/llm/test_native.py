@@ -82,3 +82,29 @@ def test_licences(spark) -> None:
     one = spark.createDataFrame([(1, "x")], "doc_id long, text string")
     assert [r.license_id for r in scan_licenses(one, two).collect()] == ["A"]
     assert scan_licenses(one.limit(0), two).collect() == []
+
+
+def test_full_texts_of_common_licences(spark) -> None:
+    """Entire texts under other copyright lines, wrapped and spelled otherwise, name their licence."""
+    from ledgerline.llm.licenses import MIT, TEXTS
+
+    texts = {f.name.removesuffix(".txt"): f.read_text() for f in TEXTS.iterdir()}
+    assert {"Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "MPL-2.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "Unlicense", "Zlib"} <= set(texts)
+    rows = [(name, text) for name, text in texts.items()] + [(name, " ".join(text.split())) for name, text in texts.items() if "Copyright" not in text]
+    rows += [("MIT", f"{line}\n\n{MIT}") for line in ("Copyright (c) <year> <holders>", "Copyright Jane Doe", "Copyright The Foo Authors 2019", "COPYRIGHT JANE DOE", "© Jane Doe")]
+    rows += [("BSD-3-Clause", "BSD 3-Clause License\n\nCopyright (c) 2019, Jane Doe\nAll rights reserved.\n\n" + texts["BSD-3-Clause"])]
+    rows += [("GPL-2.0", texts["GPL-2.0"].split("END OF TERMS")[0]), ("Apache-2.0", texts["Apache-2.0"].replace("license", "licence"))]
+    rows += [(None, texts["Apache-2.0"].replace("(c) You must retain", "(c) You may drop")), (None, "COPYRIGHT HOLDERS BE LIABLE\n" + MIT)]
+    df = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(rows)], "doc_id long, text string")
+    got = {r.doc_id: r.license_id for r in scan_licenses(df, known_licenses(spark)).collect()}
+    assert [(got[i], t[:60]) for i, (_, t) in enumerate(rows)] == [(name, t[:60]) for name, t in rows]
+
+
+def test_spellings_are_whole_words(spark) -> None:
+    from ledgerline.llm.licenses import canonical
+
+    pairs = [("we fulfil it", "we fulfill it"), ("sub licences", "sublicenses"), ("unrecognised", "unrecognized"), ("a licensee", "a licensee"), ("epicentre", "epicentre")]
+    df = spark.createDataFrame(pairs, "a string, b string")
+    got = df.select(canonical(F.col("a")).alias("a"), F.col("b")).collect()
+    assert [r.a for r in got] == [r.b.replace(" ", "") for r in got]
+    assert df.select(canonical(F.col("b")).alias("b")).first().b == "wefulfillit"
