@@ -32,7 +32,7 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """
     placed = docs.withColumn("_row", F.monotonically_increasing_id())
     name = F.struct(F.col("doc_id").isNull(), "doc_id", "_row")
-    found = near_duplicates(placed.select(name.alias("_name"), "text"), Similarity(5, 80, 100), "_name", "text")
+    found = near_duplicates(placed.select(name.alias("_name"), "text"), Similarity(5, 80, 100), "_name", "text", count_links=False)
     first = found.where("doc_id = component_id").select(F.col("doc_id._row").alias("_row"))
     return placed.join(first, "_row", "left_semi").select(*docs.columns)
 

@@ -252,15 +252,16 @@ def shared_signatures(docs: DataFrame, like: Similarity, text_column: str) -> Da
 KEPT_BYTES = 8_000_000
 
 
+def _shingles(text: bytes, k: int) -> set:
+    w = text.lower().split()
+    if len(w) < k:
+        return {tuple(w)} if w else set()
+    return set(zip(*[w[i:] for i in range(k)], strict=False))
+
+
 def _verified(pairs: DataFrame, texts: DataFrame, like: Similarity) -> DataFrame:
     """Those of `pairs` (a, b) whose texts link. Texts carry the sizes and shingles that count."""
 
-    def shingles(text: bytes) -> set:
-        w = text.lower().split()
-        if len(w) < like.k:
-            return {tuple(w)} if w else set()
-        return set(zip(*[w[i:] for i in range(like.k)], strict=False))
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[bytes, set] = {}
         held = 0
@@ -271,7 +272,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, like: Similarity) -> DataFrame
                 if held > KEPT_BYTES:
                     known.clear()
                     held = 0
-                known[text] = shingles(text)
+                known[text] = _shingles(text, like.k)
                 held += len(text)
             return known[text]
 
@@ -286,12 +287,76 @@ def _verified(pairs: DataFrame, texts: DataFrame, like: Similarity) -> DataFrame
     return full.mapInArrow(run, "a binary, b binary")
 
 
+#: Texts, and bytes of texts, that a block of a component holds on average at most; shingles held at once.
+BLOCK, BLOCK_BYTES, COLUMNS = 256, 4_000_000, 4096
+
+
+def link_table(texts: list[bytes], like: Similarity) -> np.ndarray:
+    """Which of `texts` link with which others; sets are intersected by products of 0-1 matrices."""
+    number: dict[tuple, int] = {}
+    sets = [[number.setdefault(x, len(number)) for x in _shingles(t, like.k)] for t in texts]
+    size = np.array([len(x) for x in sets], dtype=np.int64)
+    ids = np.array([i for x in sets for i in x], dtype=np.int64)
+    owner = np.repeat(np.arange(len(sets)), size)
+    shared = np.bincount(ids, minlength=1) > 1  # others are in no intersection
+    owner, ids = owner[shared[ids]], (np.cumsum(shared) - 1)[ids[shared[ids]]]
+    order = np.argsort(ids, kind="stable")
+    owner, ids = owner[order], ids[order]
+    both = np.zeros((len(sets), len(sets)), dtype=np.int64)
+    for low in range(0, int(shared.sum()), COLUMNS):
+        begin, end = np.searchsorted(ids, (low, low + COLUMNS))
+        has = np.zeros((len(sets), min(COLUMNS, int(shared.sum()) - low)), dtype=np.float32)
+        has[owner[begin:end], ids[begin:end] - low] = 1
+        both += (has @ has.T).astype(np.int64)
+    linked = like.den * both >= like.num * (size[:, None] + size[None, :] - both)
+    np.fill_diagonal(linked, False)
+    return linked
+
+
+def link_counts(comps: DataFrame, classes: DataFrame, texts: DataFrame, like: Similarity) -> DataFrame:
+    """(node, linked): how many rows have a set that links with the node's set, copies of it left out.
+
+    Whatever links is in one component. The texts of a component are dealt out to blocks by hash;
+    every two blocks meet once, so that each pair is verified once. Pairs are no rows: a task holds
+    two blocks at a time and gives one sum for each of their texts.
+    """
+    members = comps.join(texts.select("node", "text"), "node").join(classes.select("node", "copies"), "node")
+    parts = members.groupBy("comp").agg(
+        F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum(F.length("text")) / BLOCK_BYTES)).cast("int").alias("_parts")
+    )
+    dealt = members.join(parts, "comp").withColumn("_own", F.pmod(F.xxhash64("node"), F.col("_parts")).cast("int"))
+    dealt = dealt.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)))
+    dealt = dealt.select("comp", F.least("_own", "_other").alias("i"), F.greatest("_own", "_other").alias("j"), "_own", "node", "copies", "text")
+    dealt = dealt.repartition("comp", "i", "j").sortWithinPartitions("comp", "i", "j")
+
+    def count(at: tuple, rows: list[list]) -> pa.RecordBatch:
+        own, node, copies, text = zip(*rows, strict=True)
+        linked = link_table(list(text), like)
+        if at[1] != at[2]:  # pairs within a block are verified where it meets itself
+            linked &= np.not_equal.outer(own, own)
+        return pa.RecordBatch.from_arrays([pa.array(node, pa.binary()), pa.array(linked @ np.array(copies, dtype=np.int64))], names=["node", "linked"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, held = None, []
+        for batch in batches:
+            for comp, i, j, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if (comp, i, j) != at:
+                    if held:
+                        yield count(at, held)
+                    at, held = (comp, i, j), []
+                held.append(row)
+        if held:
+            yield count(at, held)
+
+    return dealt.mapInArrow(run, "node binary, linked long").groupBy("node").agg(F.sum("linked").alias("linked"))
+
+
 def _node(fp1: str = "fp1", fp2: str = "fp2"):
     return F.unhex(F.concat(F.lpad(F.hex(fp1), 16, "0"), F.lpad(F.hex(fp2), 16, "0")))
 
 
 def near_duplicates(
-    docs: DataFrame, like: Similarity = Similarity(), id_column: str = "doc_id", text_column: str = "text"
+    docs: DataFrame, like: Similarity = Similarity(), id_column: str = "doc_id", text_column: str = "text", count_links: bool = True
 ) -> DataFrame:
     """(doc_id, n_shingles, component_id, n_links) for each row of `docs`.
 
@@ -299,9 +364,9 @@ def near_duplicates(
     is one shingle. `component_id` is the smallest id that links lead to, the own one included. Rows
     without text or words link with nothing. Every input row gives one row; rows that repeat an id
     are documents that share it; a null id is never the smallest, and a component of null ids has
-    none. Columns other than the two named are not looked at. `n_links` counts the verified links
-    of the row's set that were needed to join its component, 0 for a set that no other links with;
-    links between all members are not spelled out.
+    none. Columns other than the two named are not looked at. `n_links` counts the other rows that the
+    row links with, all of them verified: exact copies of its set and rows whose sets reach the
+    similarity. It takes a comparison of all texts of a component; without `count_links` it is left out.
     """
     sets = staged(document_sets(docs, like, id_column, text_column), "sets")
     classes = sets.where("fp1 IS NOT NULL").groupBy("fp1", "fp2").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"))
@@ -314,17 +379,19 @@ def near_duplicates(
     stays = alike.groupBy("_x", "_s", "_n").agg(F.min("sig").alias("sig")).select("sig")
     bucket = member.join(stays, "sig", "left_semi").join(classes.select("fp1", "node"), "fp1").select("sig", "node")
     bucket = staged(bucket, "buckets")
-    links, comps = _linked(bucket, _texts(docs, bucket, classes, id_column, text_column, like), like)
+    texts = _texts(docs, bucket, classes, id_column, text_column, like)
+    comps = _linked(bucket, texts, like)
     joined = classes.join(comps, "node", "left").select("fp1", "fp2", "rep", "copies", F.coalesce("comp", "node").alias("comp"), F.col("comp").isNotNull().alias("_linked"))
     joined = staged(joined.where("_linked OR copies > 1"), "joined")
-    ends = links.select(F.col("a").alias("node")).unionByName(links.select(F.col("b").alias("node"))).groupBy("node").agg(F.count(F.lit(1)).alias("n_links"))
-    ends = classes.select("fp1", "fp2", "node").join(ends, "node").drop("node")
     least = joined.groupBy("comp").agg(F.min("rep").alias("component_id"))
-    found = joined.join(least, "comp").join(ends, ["fp1", "fp2"], "left").select("fp1", "fp2", "component_id", F.coalesce("n_links", F.lit(0)).alias("n_links"))
-    return sets.join(found, ["fp1", "fp2"], "left").select(
-        "doc_id", "n_shingles", F.when(F.col("n_links").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
-        F.coalesce("n_links", F.lit(0)).alias("n_links"),
-    )
+    found = joined.join(least, "comp").select("fp1", "fp2", "component_id", "copies")
+    if count_links:
+        linked = staged(link_counts(comps, classes, texts, like), "linked")
+        linked = classes.select("fp1", "fp2", "node").join(linked, "node").drop("node")
+        found = found.join(linked, ["fp1", "fp2"], "left").withColumn("n_links", F.col("copies") - 1 + F.coalesce("linked", F.lit(0)))
+    component = F.when(F.col("copies").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")
+    counts = [F.coalesce("n_links", F.lit(0)).alias("n_links")] if count_links else []
+    return sets.join(found, ["fp1", "fp2"], "left").select("doc_id", "n_shingles", component, *counts)
 
 
 def _texts(docs: DataFrame, bucket: DataFrame, classes: DataFrame, id_column: str, text_column: str, like: Similarity) -> DataFrame:
@@ -357,8 +424,8 @@ def _texts(docs: DataFrame, bucket: DataFrame, classes: DataFrame, id_column: st
 PAIRS_PER_MEMBER = 16
 
 
-def _linked(bucket: DataFrame, texts: DataFrame, like: Similarity) -> tuple[DataFrame, DataFrame]:
-    """Verified links (a, b) between sets of one bucket, enough of them for all components, and those.
+def _linked(bucket: DataFrame, texts: DataFrame, like: Similarity) -> DataFrame:
+    """(node, comp) of sets that link with others, by as many verified links as components need.
 
     In each round some members of every bucket, first those that stand in most buckets, are held
     against all members of other components. They are then done: whatever they link with is known.
@@ -369,7 +436,7 @@ def _linked(bucket: DataFrame, texts: DataFrame, like: Similarity) -> tuple[Data
     carried = ["node", "often", "n", *SKETCHES]
     sketched = bucket.join(often, "node").join(texts.drop("text"), "node")
     rest = staged(sketched.select("sig", *carried, F.col("node").alias("comp")), "rest")
-    links, comps, take, final = None, None, 1, False
+    comps, take, final = None, 1, False
 
     def reps(of: str) -> list[Column]:
         named = {"rep": "node", **{f"rep_{c}": c for c in ("comp", "n", *SKETCHES)}}
@@ -396,7 +463,6 @@ def _linked(bucket: DataFrame, texts: DataFrame, like: Similarity) -> tuple[Data
         pairs = first.alias("f").join(rest.alias("r"), (F.col("f.sig") == F.col("r.sig")) & may)
         pairs = pairs.select(F.least("rep", "node").alias("a"), F.greatest("rep", "node").alias("b")).distinct()
         found = staged(_verified(pairs, texts, like), "verified")
-        links = found if links is None else links.unionByName(found)
         if comps is None:
             comps = components(found)
         else:  # what the new links add, between the components so far
@@ -419,5 +485,4 @@ def _linked(bucket: DataFrame, texts: DataFrame, like: Similarity) -> tuple[Data
         final = (open_[1] or 0) <= 2 * PAIRS_PER_MEMBER * (open_[0] or 0)
         rest = staged(rest, "rest")
         take *= 4
-    none = bucket.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0)
-    return (none, none.toDF("node", "comp")) if links is None else (links, comps)
+    return bucket.select("node", F.col("node").alias("comp")).limit(0) if comps is None else comps

@@ -163,3 +163,31 @@ def test_kernel_counts_shingles_once() -> None:
     hashes, sizes = shingle_sets(pa.array(["a b c d a b c d a b c d", "", None, "q"]), 4)
     assert sizes.tolist() == [4, 0, 0, 1]
     assert len(np.unique(hashes)) == 5
+
+
+def link_brute(rows: list[tuple[int | None, str | None]], like: Similarity) -> list[tuple]:
+    sets = [set(shingles(t, like.k)) for _, t in rows]
+    n = [sum(bool(a and b and i != j and like.linked(a, b)) for j, b in enumerate(sets)) for i, a in enumerate(sets)]
+    return sorted(((d, n[i]) for i, (d, _) in enumerate(rows)), key=str)
+
+
+def test_links_are_counted_whatever_the_rounds(spark, rng, monkeypatch) -> None:
+    """A group of mutual near copies, exact copies, a loose group; blocks of any size give the same."""
+    from ledgerline.llm import jaccard
+
+    base = [f"b{i}" for i in range(200)]
+    texts = [" ".join(base[:i] + [f"x{i}"] + base[i + 1 :]) for i in range(0, 200, 4)]  # all link with all
+    texts += near_copies(rng, 25, (3, 120)) + ["same text here twice"] * 3 + [None, "", "alone"]
+    for i in range(40):
+        copy = list(base)
+        for at in rng.sample(range(200), rng.choice([1, 4, 8, 10])):
+            copy[at] = f"y{i}-{at}"
+        texts.append(" ".join(copy))
+    rows = list(enumerate(texts)) + [(None, texts[0]), (3, texts[3])]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    want = link_brute(rows, LIKE)
+    for block, columns in ((256, 4096), (7, 13)):
+        monkeypatch.setattr(jaccard, "BLOCK", block)
+        monkeypatch.setattr(jaccard, "COLUMNS", columns)
+        got = near_duplicates(df, LIKE).collect()
+        assert sorted(((r.doc_id, r.n_links) for r in got), key=str) == want
