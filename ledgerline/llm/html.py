@@ -4,7 +4,8 @@ Every node of the page's tree gets a density: its characters per tag, reduced by
 links have in it, compared with the share they have in the page. The node whose children have the
 largest sum of densities is the root of the text. The least density on the path from the body to
 that root is the threshold by which nodes beside the path still belong to the text. Parts that the
-markup itself names as navigation, advert, form, comment and the like are taken out before.
+markup itself names as navigation, advert, form, comment and the like are taken out before; within
+an article only if they are mostly links. The rest of an article stays, whatever its share of links.
 """
 
 from __future__ import annotations
@@ -22,14 +23,16 @@ from .words import blocks
 
 # Element kinds of HTML, fixed values.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-#: Their content is text, not markup, and never shown as part of an article.
+#: Their content is text, not markup; only that of xmp is shown as part of an article.
 RAW = frozenset("script style textarea title noscript template iframe noembed noframes xmp".split())
 DROPPED = frozenset(
-    "head nav footer aside form header button select option dialog menu svg math canvas object audio video map datalist".split()
-) | RAW
+    "head nav footer aside form header button select option dialog menu svg canvas object audio video map datalist annotation annotation-xml".split()
+) | RAW - {"xmp"}
+#: What of these stands inside an article is what it shows without scripts and players.
+FALLBACK = frozenset("object noscript".split())
 BLOCK = frozenset(
     "html body address article aside blockquote center dd details dialog dir div dl dt fieldset figcaption figure footer form "
-    "h1 h2 h3 h4 h5 h6 header hgroup hr li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul caption".split()
+    "h1 h2 h3 h4 h5 h6 header hgroup hr li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul caption xmp".split()
 )
 HEADING = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Begin tags that end an open paragraph.
@@ -67,29 +70,39 @@ WORD = re.compile(r"[a-z]+")
 
 
 class Node:
-    __slots__ = ("name", "parent", "children", "aside", "chars", "tags", "link_chars", "link_tags", "density", "main")
+    __slots__ = ("name", "parent", "children", "aside", "chars", "tags", "link_chars", "link_tags", "density", "main", "named")
 
-    def __init__(self, name: str, parent: Node | None, aside: bool = False, main: bool = False):
-        self.name, self.parent, self.aside, self.main = name, parent, aside, main
+    def __init__(self, name: str, parent: Node | None, aside: bool = False, main: bool = False, named: bool = False):
+        self.name, self.parent, self.aside, self.main, self.named = name, parent, aside, main, named
         self.children: list[Node | str] = []
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = 0.0
 
 
-def _kind(name: str, attributes: str, inside_article: bool) -> tuple[bool, bool]:
-    """Whether an element is something beside the article, and whether it says it is the article."""
-    aside, main = name in DROPPED and not (name == "header" and inside_article), name in ("article", "main")
+def _kind(name: str, attributes: str, inside_article: bool) -> tuple[bool, bool, bool]:
+    """Whether an element is beside the article, says it is the article, is named beside it within it.
+
+    Names inside an article are no more than a hint, as they are also those of its sections; headings
+    and paragraphs there and generated ids of headings anywhere are not even that.
+    """
+    aside, main = name in DROPPED and not (inside_article and (name == "header" or name in FALLBACK)), name in ("article", "main")
+    hint = False
     if attributes and not aside:
         for m in ATTRIBUTE.finditer(attributes):
             key, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
             if key == "hidden" or (key == "aria-hidden" and value == "true") or (key == "style" and re.search(r"display\s*:\s*none", value)):
-                return True, False
+                return True, False, False
             if key in ("class", "id", "role"):
                 words = set(WORD.findall(value))
                 main = main or bool(words & MAIN)
                 named = words & ASIDE - (HEADS if inside_article else frozenset())
-                aside = aside or bool(named) and name not in ("article", "main")
-    return aside, main and not aside
+                if not named or name in ("article", "main") or (name in HEADING and key == "id"):
+                    continue
+                if not inside_article or (key == "class" and "hidden" in named):
+                    aside = True
+                elif name not in HEADING and name != "p":
+                    hint = True
+    return aside, main and not aside and not hint, hint and not aside
 
 
 def parse(page: str) -> Node:
@@ -149,13 +162,16 @@ def parse(page: str) -> Node:
         if name == "br":
             node.children.append(" ")
             continue
-        made = Node(name, node, *_kind(name, m["attributes"], any(x.name == "article" for x in open_)))
+        inside = any(x.name == "article" for x in open_)
+        made = Node(name, node, *_kind(name, m["attributes"], inside))
         node.children.append(made)
         if name in ("article", "main"):  # what holds the article is not beside it ("has-sidebar")
             for x in open_:
                 x.aside = x.aside and x.name in DROPPED
-        if name in RAW:
+        if name in RAW and not (inside and name in FALLBACK):
             end = re.compile(rf"</{re.escape(name)}(?=[\s/>])", re.I).search(page, at)
+            if name == "xmp":
+                made.children.append(page[at : end.start() if end else n])
             at = end.start() if end else n
             if end:
                 close = page.find(">", at)
@@ -171,14 +187,22 @@ def _visible(node: Node) -> Iterator[Node]:
     return (c for c in node.children if isinstance(c, Node) and not c.aside)
 
 
-def measure(root: Node) -> list[Node]:
-    """Characters, tags and the share of links of every node, children before parents."""
+def _order(root: Node) -> list[Node]:
     order, stack = [], [root]
     while stack:
         x = stack.pop()
         order.append(x)
         stack.extend(_visible(x))
     order.reverse()
+    return order
+
+
+def measure(root: Node) -> list[Node]:
+    """Characters, tags and the share of links of every node, children before parents.
+
+    What a name inside the article hints at is beside it if it is mostly links as well.
+    """
+    order, hints = _order(root), False
     for x in order:
         for c in x.children:
             if isinstance(c, str):
@@ -190,6 +214,10 @@ def measure(root: Node) -> list[Node]:
                 x.link_tags += c.link_tags + (c.name == "a")
         if x.name == "a":
             x.link_chars = x.chars
+        if x.named and _link_heavy(x):
+            x.aside = hints = True
+    if hints:
+        order = _order(root)
     share = root.link_chars / root.chars if root.chars else 0.0
     for x in order:
         if x.chars:
@@ -233,7 +261,7 @@ def content(root: Node) -> list[Node | str]:
                     out.append(c)
             elif id(c) in marked:
                 beside(c)
-            elif not c.aside and not _link_heavy(c) and (within or c.main or c.name in HEADING or c.density >= threshold):
+            elif not c.aside and (within or not _link_heavy(c) and (c.main or c.name in HEADING or c.density >= threshold)):
                 out.append(c)
 
     beside(root)

@@ -56,3 +56,21 @@ def test_nulls_repeats_and_clashing_names(spark) -> None:
     assert got.columns == ["page_id", "text", "n_chars"]
     assert sorted(map(tuple, got.collect())) == [(1, "", 0), (2, "a", 1), (2, "a", 1)]
     assert extract(df.limit(0)).collect() == []
+
+
+def test_article_keeps_linked_titles_sources_and_named_sections() -> None:
+    body = f"<div><p>{P1}</p><p>{P1}</p></div>"
+    assert main_text(f"<article><h2><a href=/t>Title</a></h2>{body}</article>") == "\n\n".join(["Title", P1, P1])
+    sources = "<ul><li><a href=1>First source</a></li><li><a href=2>Second source</a></li></ul>"
+    assert main_text(f"<article>{body}{sources}</article>") == "\n\n".join([P1, P1, "First source", "Second source"])
+    parts = f"<h2 id='related-work'>Related work</h2><h2 id=search>Search</h2><h3 id=comments>On comments</h3><p class=notice>{P1}</p>"
+    page = f"<article>{body}<section id='discussion'><p>{P1}</p></section>{parts}</article>"
+    assert main_text(page) == "\n\n".join([P1, P1, P1, "Related work", "Search", "On comments", P1])
+    related = "<div class=related><a href=1>Other</a> <a href=2>Things</a></div><div class=hidden>unseen</div>"
+    assert main_text(f"<article>{body}{related}</article>") == "\n\n".join([P1, P1])
+
+
+def test_formulas_and_literal_text_stay() -> None:
+    formula = "<math><mi>x</mi><mo>=</mo><mn>1</mn><annotation>x=1</annotation></math>"
+    assert main_text(f"<article><p>Let {formula} hold.</p><xmp><b>&amp;</xmp></article>") == "Let x=1 hold.\n\n<b>&amp;"
+    assert main_text(f"<article><p>{P1}</p><noscript><p>Shown.</p></noscript></article>") == f"{P1}\n\nShown."
