@@ -102,7 +102,91 @@ WITH given(license_id, text) AS (VALUES {", ".join(f"({_quoted(i)}, {_quoted(t)}
 SELECT doc_id, docs.digest, license_id, notices FROM docs LEFT JOIN known USING (digest) LEFT JOIN notices USING (r)
 """
 
+#: Unsigned CRC-32 of a text, bit by bit.
+CRC32 = """xor(list_reduce([ascii(x) FOR x IN string_split({0}, '')], lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)),
+    lambda y, i: xor(y >> 1, (y & 1) * 3988292384)), 4294967295), 4294967295)"""
+
+
+def _framed(*values: str) -> str:
+    texts = [f"CAST({v} AS VARCHAR)" for v in values]
+    return " || ".join(f"coalesce(CAST(strlen({t}) AS VARCHAR) || ':' || {t}, '-')" for t in texts)
+
+
+MANIFEST = f"""
+WITH RECURSIVE docs AS MATERIALIZED (
+    SELECT row_number() OVER () AS r, doc_id, coalesce('=' || lang, '-') AS tree,
+        sha256({_framed("doc_id", "source", "lang", "n_chars", "text")}) AS leaf,
+        sha256({_framed("doc_id", "source", "lang", f"CASE WHEN {CRC32.format('CAST(doc_id AS VARCHAR)')} % 7 = 0 THEN n_chars + 1 ELSE n_chars END", "text")}) AS shown
+    FROM documents
+), leaves AS MATERIALIZED (
+    SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf, r) - 1 AS pos, count(*) OVER (PARTITION BY tree) AS n FROM docs
+), up AS (  -- every level of every tree
+    SELECT 0 AS level, tree, pos, n, leaf AS node FROM leaves
+    UNION ALL
+    SELECT level + 1, tree, pos // 2, (n + 1) // 2, pair FROM (
+        SELECT *, sha256(node || coalesce(lead(node) OVER (PARTITION BY tree ORDER BY pos), '')) AS pair FROM up WHERE n > 1
+    ) WHERE pos % 2 = 0
+), subroots AS (
+    SELECT tree, node, row_number() OVER (ORDER BY tree) - 1 AS pos, count(*) OVER () AS n FROM up WHERE n = 1
+), top AS (
+    SELECT 0 AS level, pos, n, node FROM subroots
+    UNION ALL
+    SELECT level + 1, pos // 2, (n + 1) // 2, pair FROM (
+        SELECT *, sha256(node || coalesce(lead(node) OVER (ORDER BY pos), '')) AS pair FROM top WHERE n > 1
+    ) WHERE pos % 2 = 0
+), steps AS (
+    SELECT r, level AS at, leaves.pos >> level AS own, up.pos, up.node
+    FROM leaves JOIN up ON up.tree = leaves.tree AND up.n > 1 AND up.pos >> 1 = leaves.pos >> (level + 1)
+    UNION ALL
+    SELECT r, 1000 + level, subroots.pos >> level, top.pos, top.node
+    FROM leaves JOIN subroots USING (tree) JOIN top ON top.n > 1 AND top.pos >> 1 = subroots.pos >> (level + 1)
+), path AS (
+    SELECT r, row_number() OVER (PARTITION BY r ORDER BY at) AS k, coalesce(max(node) FILTER (WHERE pos < own), '') AS l, coalesce(max(node) FILTER (WHERE pos > own), '') AS g
+    FROM steps GROUP BY r, at
+), fold AS (
+    SELECT r, 0 AS k, shown AS node FROM docs
+    UNION ALL
+    SELECT r, path.k, sha256(l || node || g) FROM fold JOIN path USING (r) WHERE path.k = fold.k + 1
+), folded AS (
+    SELECT r, max_by(node, k) AS folded_root FROM fold GROUP BY r
+), proofs AS (
+    SELECT r, sha256(string_agg(l || g, '' ORDER BY k)) AS proof_sha256 FROM path GROUP BY r
+)
+SELECT doc_id, leaf, subroots.node AS subroot, top.node AS root, coalesce(proof_sha256, sha256('')) AS proof_sha256, folded_root, folded_root = top.node AS verified
+FROM docs JOIN subroots USING (tree) JOIN top ON top.n = 1 JOIN folded USING (r) LEFT JOIN proofs USING (r)
+"""
+
+TRIE = f"""
+WITH turns AS (
+    SELECT conv_id, list({{role: coalesce(role, ''), text: coalesce(text, '')}} ORDER BY turn NULLS FIRST, sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS own
+    FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+), heads AS (
+    SELECT c.conv_id, c.own, b.own AS head, {CRC32.format("CAST(c.conv_id AS VARCHAR)")} % 6 AS h FROM turns c LEFT JOIN turns b ON b.conv_id = c.conv_id - c.conv_id % 100
+), rebuilt AS (
+    SELECT conv_id, list_concat(coalesce(head[1:h], []), own[h + 1:]) AS t FROM heads
+), begun AS (  -- each conversation at each depth
+    SELECT conv_id, len(t) AS n, depth, t[1:depth] AS path, CASE WHEN depth > 0 THEN length(t[depth].text) ELSE 0 END AS size
+    FROM (SELECT conv_id, t, unnest(range(len(t) + 1)) AS depth FROM rebuilt)
+), nodes AS (
+    SELECT depth, path, min(conv_id) AS node, count(*) AS n_convs, any_value(size) AS size, max(n) = depth AS is_leaf,
+        sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE n = depth), '')) AS ends_sha256
+    FROM begun GROUP BY depth, path
+), at AS (
+    SELECT conv_id, depth, node FROM begun JOIN nodes USING (depth, path)
+), above AS (  -- each node with every node on its path, itself included
+    SELECT at.node, at.depth, below.node AS of, below.depth AS of_depth, below.n_convs, below.size, below.is_leaf
+    FROM nodes below JOIN at ON at.conv_id = below.node AND at.depth <= below.depth
+), sums AS (
+    SELECT node, depth, count(*) FILTER (WHERE is_leaf) AS n_leaves, sum((n_convs - 1) * size) AS saved_tokens, count(*) FILTER (WHERE of_depth = depth + 1) AS n_children
+    FROM above GROUP BY node, depth
+)
+SELECT node AS conv_id, depth, parent.node AS parent_conv_id, n_convs, n_children, n_leaves, CAST(saved_tokens AS BIGINT) AS saved_tokens, ends_sha256
+FROM nodes JOIN sums USING (node, depth) LEFT JOIN (SELECT conv_id AS c, depth + 1 AS d, node FROM at) parent ON parent.c = nodes.node AND parent.d = nodes.depth
+"""
+
 ORACLE: dict[str, str] = {
+    "op12_merkle_manifest": MANIFEST,
+    "op13_prefix_trie": TRIE,
     "op5_host_quality_rules": RULES,
     "op6_source_mixing": MIXING,
     "op7_license_scan": LICENSES,

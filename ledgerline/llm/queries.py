@@ -8,16 +8,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import crf
+from .bpe import decode_ids, encode_texts
 from .html import extract
 from .jaccard import Similarity, near_duplicates
 from .licenses import known_licenses, scan_licenses
 from .lm import crc_text, score_texts
+from .merkle import FIELDS, digest_of, folded, manifest, proof_text
 from .mixing import mix_sources
 from .packing import pack
 from .rules import judge
 from .substrings import remove_repeats
 from .tables import table
 from .topk import top_k
+from .trie import prefix_trie, sequences
 
 #: Where the vocabulary files of the public tokenizers lie.
 TOKENIZERS = "/opt/tokenizers"
@@ -90,3 +93,25 @@ def op10_line_crf_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = crf.score(table(spark, sf_dir, "documents"), quality_model(spark, sf_dir))
     held_out = F.coalesce(crc_text("doc_id") % 5 == 0, F.lit(False))
     return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= GOOD).cast("int").alias("predicted"))
+
+
+@query
+def op11_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{TOKENIZERS}/byte_bpe_50k.json"
+    decoded = decode_ids(encode_texts(table(spark, sf_dir, "documents"), path), path)
+    return decoded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("text", 256).alias("decoded_sha256"))
+
+
+@query
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The manifest, and what its proofs say when every seventh row or so has another length noted."""
+    tampered = F.when(F.coalesce(crc_text("doc_id") % 7 == 0, F.lit(False)), F.col("n_chars") + 1).otherwise(F.col("n_chars"))
+    shown = digest_of(*[tampered if c == "n_chars" else F.col(c) for c in FIELDS])
+    rows = manifest(table(spark, sf_dir, "documents"), carried={"shown": shown})
+    rows = rows.select("doc_id", "leaf", "subroot", "root", F.sha2(proof_text(), 256).alias("proof_sha256"), folded("shown").alias("folded_root"))
+    return rows.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+@query
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(sequences(table(spark, sf_dir, "conversations")))
