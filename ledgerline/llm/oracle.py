@@ -135,14 +135,14 @@ WITH RECURSIVE docs AS MATERIALIZED (
         SELECT *, sha256(node || coalesce(lead(node) OVER (ORDER BY pos), '')) AS pair FROM top WHERE n > 1
     ) WHERE pos % 2 = 0
 ), steps AS (
-    SELECT r, level AS at, leaves.pos >> level AS own, up.pos, up.node
+    SELECT r, level AS step, leaves.pos >> level AS own, up.pos, up.node
     FROM leaves JOIN up ON up.tree = leaves.tree AND up.n > 1 AND up.pos >> 1 = leaves.pos >> (level + 1)
     UNION ALL
     SELECT r, 1000 + level, subroots.pos >> level, top.pos, top.node
     FROM leaves JOIN subroots USING (tree) JOIN top ON top.n > 1 AND top.pos >> 1 = subroots.pos >> (level + 1)
 ), path AS (
-    SELECT r, row_number() OVER (PARTITION BY r ORDER BY at) AS k, coalesce(max(node) FILTER (WHERE pos < own), '') AS l, coalesce(max(node) FILTER (WHERE pos > own), '') AS g
-    FROM steps GROUP BY r, at
+    SELECT r, row_number() OVER (PARTITION BY r ORDER BY step) AS k, coalesce(max(node) FILTER (WHERE pos < own), '') AS l, coalesce(max(node) FILTER (WHERE pos > own), '') AS g
+    FROM steps GROUP BY r, step
 ), fold AS (
     SELECT r, 0 AS k, shown AS node FROM docs
     UNION ALL
@@ -171,17 +171,17 @@ WITH turns AS (
     SELECT depth, path, min(conv_id) AS node, count(*) AS n_convs, any_value(size) AS size, max(n) = depth AS is_leaf,
         sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE n = depth), '')) AS ends_sha256
     FROM begun GROUP BY depth, path
-), at AS (
+), spots AS (
     SELECT conv_id, depth, node FROM begun JOIN nodes USING (depth, path)
 ), above AS (  -- each node with every node on its path, itself included
-    SELECT at.node, at.depth, below.node AS of, below.depth AS of_depth, below.n_convs, below.size, below.is_leaf
-    FROM nodes below JOIN at ON at.conv_id = below.node AND at.depth <= below.depth
+    SELECT spots.node, spots.depth, below.node AS of, below.depth AS of_depth, below.n_convs, below.size, below.is_leaf
+    FROM nodes below JOIN spots ON spots.conv_id = below.node AND spots.depth <= below.depth
 ), sums AS (
     SELECT node, depth, count(*) FILTER (WHERE is_leaf) AS n_leaves, sum((n_convs - 1) * size) AS saved_tokens, count(*) FILTER (WHERE of_depth = depth + 1) AS n_children
     FROM above GROUP BY node, depth
 )
 SELECT node AS conv_id, depth, parent.node AS parent_conv_id, n_convs, n_children, n_leaves, CAST(saved_tokens AS BIGINT) AS saved_tokens, ends_sha256
-FROM nodes JOIN sums USING (node, depth) LEFT JOIN (SELECT conv_id AS c, depth + 1 AS d, node FROM at) parent ON parent.c = nodes.node AND parent.d = nodes.depth
+FROM nodes JOIN sums USING (node, depth) LEFT JOIN (SELECT conv_id AS c, depth + 1 AS d, node FROM spots) parent ON parent.c = nodes.node AND parent.d = nodes.depth
 """
 
 ORACLE: dict[str, str] = {
