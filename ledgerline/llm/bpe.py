@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from .words import blocks
 
 #: Pieces and pairs of tokens that a task keeps at hand; beyond, it begins anew.
-KEPT = 1 << 19
+KEPT = 1 << 17
 #: Characters of a text that are split into pieces at a time.
 PART = 1 << 20
 #: A number above every token id, for keys of pairs.
@@ -230,7 +230,7 @@ class Encoder:
 
     def _learn(self, held: list[list[str]]) -> None:
         new = set().union(*held).difference(self.known)
-        if len(self.known) + len(new) > KEPT:
+        if len(self.known) + len(new) > 2 * KEPT:
             self.known.clear()
             new = set().union(*held)
         new = sorted((x.encode(), x) for x in new)
@@ -258,7 +258,7 @@ class Encoder:
                 for part in self.parts(section):
                     held.append((to, self.pieces(part)))
                     chars += len(part)
-                    if chars > 4 * PART:
+                    if chars > PART:
                         flush()
                         chars = 0
         flush()
@@ -288,7 +288,7 @@ def encode_texts(docs: DataFrame, tokenizer_path: str, id_column: str = "doc_id"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = Encoder(vocabulary)
-        for batch in blocks(batches, "text"):
+        for batch in blocks(batches, "text", PART):
             texts = batch.column("text").cast(pa.binary()).to_pylist()
             ids = encode([x.decode("utf-8", errors="replace") if x else "" for x in texts])
             yield pa.RecordBatch.from_arrays(
@@ -310,7 +310,7 @@ def decode_ids(encoded: DataFrame, tokenizer_path: str, ids_column: str = "ids",
     kept = [c for c in encoded.columns if c != text_column]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in blocks(batches, "_ids"):
+        for batch in blocks(batches, "_ids", PART):
             texts = [None if x is None else decode(x, of) for x in batch.column("_ids").to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(texts, pa.string())], names=[*kept, text_column])
 
