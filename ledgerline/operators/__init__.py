@@ -1,3 +1,4 @@
+from .asof import asof_last
 from .clean import (
     CleaningCounts,
     clean_subscriptions,
@@ -8,20 +9,24 @@ from .clean import (
 )
 from .dedup import keep_first, keep_last
 from .enrich import enrich_user_events
+from .funnel import funnel, quantiles
 from .keys import with_dense_keys
 from .lookup import skew_safe_lookup
 from .merge import conform, rows_in, rows_not_in, upserted
 
 __all__ = [
     "CleaningCounts",
+    "asof_last",
     "clean_subscriptions",
     "clean_transactions",
     "clean_user_events",
     "clean_user_profiles",
     "conform",
     "enrich_user_events",
+    "funnel",
     "keep_first",
     "keep_last",
+    "quantiles",
     "require_columns",
     "rows_in",
     "rows_not_in",

@@ -5,7 +5,7 @@ from __future__ import annotations
 import logging
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,12 +20,13 @@ from ..operators.clean import (
 )
 from ..operators.dedup import keep_last
 from ..operators.enrich import enrich_user_events
-from ..schemas import STAR_TABLES
+from ..schemas import SNAPSHOT_DAYS_BACK, STAR_TABLES
 from ..session import configure
 from ..sinks.warehouse import Warehouse
 from ..sources.files import ROW_ORDER, check_sources, read_source, resolve_source
 from ..sources.paths import exists
 from . import star
+from .lifecycle import stored_before, with_lifecycle
 from .metrics import table_counts
 from .quality_suite import SuiteResult, warehouse_suite
 
@@ -153,14 +154,13 @@ def build_star(
         return warehouse.write("fact_user_events", new, sequence="event_key")
 
     def snapshots() -> int:
-        facts = star.fact_subscription_daily(
-            warehouse.read("subscriptions"),
-            warehouse.read("dim_account"),
-            warehouse.read("dim_plan"),
-            dates,
-            as_of,
-            run_ts=run_ts,
+        companies, plans = warehouse.read("dim_account"), warehouse.read("dim_plan")
+        daily = star.fact_subscription_daily(
+            warehouse.read("subscriptions"), companies, plans, dates, as_of, run_ts=run_ts
         )
+        first_day = as_of - timedelta(days=SNAPSHOT_DAYS_BACK)
+        before = stored_before(warehouse.read("fact_subscription_daily"), first_day)
+        facts = with_lifecycle(daily, companies, plans, before)
         keys = ["date_key", "account_key"]
         return warehouse.upsert("fact_subscription_daily", facts, keys, SNAPSHOT_UPDATES, run_ts)
 

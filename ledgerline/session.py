@@ -15,6 +15,8 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # Sessions of a user are merged in each task before they meet.
+    "spark.sql.sessionWindow.merge.sessions.in.local.partition": "true",
 }
 
 

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import random
+
 import pytest
 from pyspark.sql import SparkSession
 
@@ -25,3 +27,8 @@ def spark(tmp_path_factory) -> SparkSession:
 @pytest.fixture
 def sf() -> str:
     return "/root/testdata/sf0.001"
+
+
+@pytest.fixture
+def rng() -> random.Random:
+    return random.Random(11)

@@ -139,3 +139,19 @@ def test_stream_loads_each_file_once(spark, raw, warehouse, tmp_path):
     assert load(datetime(2024, 6, 3)) == want
     arrive(("e4", "nobody", "Click", "2024-05-23T00:00:00", None))
     assert load(datetime(2024, 6, 4)) == {**want, "e4": ("click", None, datetime(2024, 6, 4))}
+
+
+def test_star_fills_plan_runs_from_the_day_before(spark, raw, warehouse):
+    """Stored snapshots get their lifecycle columns; a period moved on reads the last day before it."""
+    run_etl(spark, str(raw), warehouse, FIRST)
+    build_star(spark, warehouse, AS_OF, FIRST)
+    runs = {r["date_key"]: r["days_on_current_plan"] for r in warehouse.read("fact_subscription_daily").collect()}
+    assert runs == {20240520 + i: i + 1 for i in range(12)} | {20240601: 13}
+    build_star(spark, warehouse, date(2024, 7, 5), SECOND)  # its first day is 5 June: no day before is held
+    runs = {r["date_key"]: r["days_on_current_plan"] for r in warehouse.read("fact_subscription_daily").collect()}
+    assert (runs[20240605], runs[20240705]) == (1, 31)
+    build_star(spark, warehouse, date(2024, 8, 5), SECOND)  # goes on from 5 July
+    runs = {r["date_key"]: r["days_on_current_plan"] for r in warehouse.read("fact_subscription_daily").collect()}
+    assert (runs[20240706], runs[20240805]) == (32, 62)
+    signup = {r["date_key"]: r["days_since_signup"] for r in warehouse.read("fact_subscription_daily").collect()}
+    assert signup[20240601] == 152

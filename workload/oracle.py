@@ -132,6 +132,49 @@ SELECT * REPLACE ('cancelled' AS status,
 """
 _CTES["later_snapshots"] = _snapshots("later_subscriptions", "2026-06-20", "2026-06-30")
 
+_CTES["runs"] = """
+SELECT s.*, d.full_date, p.plan_tier, a.signup_date, d.full_date - CAST(row_number() OVER (
+  PARTITION BY s.account_key, s.plan_key ORDER BY d.full_date) AS INTEGER) AS island
+FROM snapshots s JOIN dim_date d ON s.date_key = d.date_key
+LEFT JOIN dim_plan p ON s.plan_key = p.plan_key LEFT JOIN dim_account a ON s.account_key = a.account_key
+"""
+_CTES["upgrades"] = """
+SELECT t.transaction_id, t.user_id, t.transaction_date, u.feature AS last_feature,
+  u.event_ts AS last_used_at
+FROM (SELECT * FROM transactions WHERE transaction_type = 'upgrade' AND status = 'completed') t
+ASOF LEFT JOIN (
+  SELECT user_id, event_ts, json_extract_string(properties, '$.k') AS feature FROM user_events
+  WHERE event_type = 'feature_used' AND json_extract_string(properties, '$.k') IS NOT NULL
+  QUALIFY row_number() OVER (PARTITION BY user_id, event_ts ORDER BY event_id DESC) = 1
+) u ON t.user_id = u.user_id AND t.transaction_date > u.event_ts
+"""
+_CTES["sessions"] = """
+SELECT user_id, session_id, min(event_ts) AS started, max(event_ts) AS ended, count(*) AS events
+FROM user_events WHERE session_id IS NOT NULL GROUP BY user_id, session_id
+UNION ALL
+SELECT user_id, NULL, min(event_ts), max(event_ts), count(*) FROM (
+  SELECT *, count(*) FILTER (WHERE late) OVER (PARTITION BY user_id ORDER BY event_ts, event_id) AS n
+  FROM (SELECT *, coalesce(event_ts - lag(event_ts) OVER (PARTITION BY user_id
+    ORDER BY event_ts, event_id) > INTERVAL 30 MINUTE, TRUE) AS late
+    FROM user_events WHERE session_id IS NULL AND user_id IS NOT NULL)
+) GROUP BY user_id, n
+"""
+_CTES["converted"] = """
+SELECT p.signup_source, date_diff('day', f.began, min(CAST(t.transaction_date AS DATE))) AS days
+FROM (SELECT user_id, min(CAST(start_date AS DATE)) AS began FROM subscriptions
+  WHERE status = 'trial' GROUP BY user_id) f
+LEFT JOIN transactions t ON t.user_id = f.user_id AND t.transaction_type = 'payment'
+  AND t.status = 'completed' AND CAST(t.transaction_date AS DATE) >= f.began
+LEFT JOIN user_profiles p ON p.user_id = f.user_id
+GROUP BY f.user_id, f.began, p.signup_source
+"""
+_CTES["month_mrr"] = """
+SELECT s.account_key, d.month_start_date AS month, s.mrr, p.plan_id AS plan
+FROM long_snapshots s JOIN dim_date d ON s.date_key = d.date_key AND d.is_month_end
+LEFT JOIN dim_plan p ON s.plan_key = p.plan_key
+WHERE s.subscription_status = 'active' AND s.mrr > 0
+"""
+
 _EVENT_COLUMNS = (
     "event_id, user_id, event_type, event_ts, properties, session_id, country, signup_source, "
     "company_size"
@@ -156,6 +199,11 @@ _NEEDS = {
     "long_snapshots": ["subscriptions", "dim_account", "dim_plan", "dim_date"],
     "later_subscriptions": ["subscriptions"],
     "later_snapshots": ["later_subscriptions", "dim_account", "dim_plan", "dim_date"],
+    "runs": ["snapshots", "dim_account", "dim_plan", "dim_date"],
+    "upgrades": ["transactions", "user_events"],
+    "sessions": ["user_events"],
+    "converted": ["subscriptions", "transactions", "user_profiles"],
+    "month_mrr": ["long_snapshots", "dim_plan", "dim_date"],
     "held": ["user_events"],
     "batch": ["user_events"],
 }
@@ -741,4 +789,71 @@ JOIN dim_plan p ON lower(s.plan_name) = p.plan_id WHERE s.status = 'active'""",
 SELECT CAST(count(CASE WHEN status = 'churned' THEN 1 END) AS DOUBLE) / count(*) AS churn_rate
 FROM raw_accounts WHERE signup_date < DATE '2024-01-01'""",
     ),
+    "snapshot_lifecycle": _with(
+        "runs",
+        """
+SELECT r.date_key, r.account_key, r.plan_key,
+  CAST(date_diff('day', CAST(r.signup_date AS DATE), r.full_date) AS INTEGER) AS days_since_signup,
+  CAST(row_number() OVER (PARTITION BY r.account_key, r.plan_key, r.island ORDER BY r.full_date)
+    AS INTEGER) AS days_on_current_plan,
+  coalesce(r.plan_tier > y.plan_tier, FALSE) AS is_expansion,
+  coalesce(r.plan_tier < y.plan_tier, FALSE) AS is_contraction
+FROM runs r LEFT JOIN runs y ON y.account_key = r.account_key AND y.full_date = r.full_date - 1""",
+    ),
+    "feature_before_upgrade": _with("upgrades", "SELECT * FROM upgrades"),
+    "features_before_upgrades": _with(
+        "upgrades",
+        """
+SELECT CASE WHEN days <= 365 THEN last_feature END AS last_feature, count(*) AS upgrades,
+  count(DISTINCT user_id) AS users, CAST(min(days) FILTER (WHERE days <= 365) AS INTEGER) AS fewest_days,
+  CAST(max(days) FILTER (WHERE days <= 365) AS INTEGER) AS most_days
+FROM (SELECT *, date_diff('day', CAST(last_used_at AS DATE), CAST(transaction_date AS DATE)) AS days
+  FROM upgrades)
+GROUP BY 1""",
+    ),
+    "sessions": _with("sessions", "SELECT * FROM sessions"),
+    "sessions_by_plan": _with(
+        "sessions subscriptions",
+        """
+SELECT coalesce(CASE WHEN p.end_date IS NULL OR p.end_date >= s.started THEN lower(p.plan_name) END, 'none') AS plan,
+  count(*) AS sessions, count(DISTINCT s.user_id) AS users, CAST(sum(s.events) AS BIGINT) AS events,
+  round(CAST(sum(epoch_us(ended) - epoch_us(started)) AS DOUBLE) / count(*) / 1e6, 3) AS avg_seconds,
+  round(max(epoch_us(ended) - epoch_us(started)) / 1e6, 3) AS max_seconds
+FROM sessions s ASOF LEFT JOIN (SELECT * FROM subscriptions
+  QUALIFY row_number() OVER (PARTITION BY user_id, start_date ORDER BY subscription_id DESC) = 1
+) p ON s.user_id = p.user_id AND s.started >= p.start_date
+GROUP BY 1""",
+    ),
+    "trial_conversion": _with(
+        "converted",
+        """
+SELECT signup_source, count(*) AS trials, count(days) AS converted,
+  CAST(round(100.0 * count(days) / count(*), 2) AS DOUBLE) AS conversion_rate,
+  CAST(list_sort(list(days) FILTER (WHERE days IS NOT NULL))[CAST(ceil(count(days) * 0.5) AS INTEGER)] AS INTEGER) AS median_days,
+  CAST(list_sort(list(days) FILTER (WHERE days IS NOT NULL))[CAST(ceil(count(days) * 0.9) AS INTEGER)] AS INTEGER) AS p90_days
+FROM converted GROUP BY signup_source""",
+    ),
+    "revenue_retention": _with(
+        "month_mrr dim_account",
+        """
+SELECT strftime(month, '%Y-%m-%d') AS month, segment, value, count(*) FILTER (WHERE b > 0) AS accounts,
+  count(*) FILTER (WHERE b > 0 AND a = 0) AS churned_accounts, CAST(sum(b) AS DOUBLE) AS starting_mrr,
+  CAST(sum(CASE WHEN b > 0 AND a > b THEN a - b ELSE 0 END) AS DOUBLE) AS expansion_mrr,
+  CAST(sum(CASE WHEN a > 0 AND a < b THEN b - a ELSE 0 END) AS DOUBLE) AS contraction_mrr,
+  CAST(sum(CASE WHEN a = 0 THEN b ELSE 0 END) AS DOUBLE) AS churned_mrr,
+  CAST(sum(CASE WHEN b = 0 THEN a ELSE 0 END) AS DOUBLE) AS new_mrr,
+  CASE WHEN sum(b) > 0 THEN round(CAST(sum(CASE WHEN b > 0 THEN a ELSE 0 END) AS DOUBLE) / CAST(sum(b) AS DOUBLE), 6) END AS nrr,
+  CASE WHEN count(*) FILTER (WHERE b > 0) > 0 THEN round(CAST(count(*) FILTER (WHERE b > 0 AND a = 0) AS DOUBLE) / count(*) FILTER (WHERE b > 0), 6) END AS churn_rate
+FROM (
+  SELECT coalesce(f.month, l.month) AS month, coalesce(f.mrr, 0) AS b, coalesce(l.mrr, 0) AS a,
+    unnest([{s: 'all', v: NULL}, {s: 'industry', v: c.industry}, {s: 'company_size', v: c.company_size},
+      {s: 'country', v: c.country}, {s: 'plan', v: f.plan}], recursive := true)
+  FROM month_mrr f
+  FULL JOIN (SELECT * REPLACE (CAST(month - INTERVAL 1 MONTH AS DATE) AS month) FROM month_mrr) l
+    ON f.account_key = l.account_key AND f.month = l.month
+  JOIN dim_account c ON c.account_key = coalesce(f.account_key, l.account_key)
+) t(month, b, a, segment, value)
+WHERE month BETWEEN DATE '2023-10-01' AND DATE '2026-05-01'
+GROUP BY month, segment, value""",
+    ),
 }

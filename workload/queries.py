@@ -13,7 +13,7 @@ from ledgerline import operators as ops
 from ledgerline.functions import normalised_properties, parse_moment, parse_money
 from ledgerline.operators import conform, keep_first, keep_last
 from ledgerline.operators import quality as checks
-from ledgerline.plans import metrics, star
+from ledgerline.plans import behaviour, lifecycle, metrics, star
 from ledgerline.plans.pipeline import (
     EVENT_UPDATES,
     SNAPSHOT_UPDATES,
@@ -665,3 +665,41 @@ metric("user_engagement", lambda t: metrics.user_engagement(t.events))
 metric("last_ingested", lambda t: metrics.last_ingested(t.events))
 metric("mrr_list_price", lambda t: metrics.mrr_list_price(t.subscriptions, t.plans))
 metric("churn_rate", lambda t: metrics.churn_rate(t.raw("accounts"), b.EVENTS_AS_OF))
+
+
+# What follows from the order of things: plan runs, features before upgrades, sessions, trials
+
+
+@query
+def snapshot_lifecycle(t: Tables) -> DataFrame:
+    daily = lifecycle.with_lifecycle(t.snapshots(), t.dim_account, t.plans)
+    return daily.select(
+        "date_key", "account_key", "plan_key", "days_since_signup", "days_on_current_plan",
+        "is_expansion", "is_contraction",
+    )
+
+
+@query
+def feature_before_upgrade(t: Tables) -> DataFrame:
+    return behaviour.feature_before_upgrade(t.events, t.transactions, "$.k")
+
+
+@query
+def features_before_upgrades(t: Tables) -> DataFrame:
+    upgrades = behaviour.feature_before_upgrade(t.events, t.transactions, "$.k")
+    return behaviour.features_before_upgrades(upgrades, within_days=365)
+
+
+metric("sessions", lambda t: behaviour.sessions(t.events))
+metric("sessions_by_plan", lambda t: behaviour.sessions_by_plan(t.events, t.subscriptions))
+metric(
+    "trial_conversion",
+    lambda t: behaviour.trial_conversion(t.profiles, t.subscriptions, t.transactions),
+)
+
+
+@query
+def revenue_retention(t: Tables) -> DataFrame:
+    ends = t.dates.where("is_month_end")
+    held = t.snapshots(days_back=1000, dates=ends)
+    return behaviour.revenue_retention(held, t.dim_account, t.plans, t.dates)
