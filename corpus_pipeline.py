@@ -6,6 +6,7 @@ document has are cut; sources are mixed to target weights; what is left is packe
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,38 +19,83 @@ from ledgerline.llm.substrings import remove_repeats
 from ledgerline.llm.tables import staged, table
 
 
+def apart(docs: DataFrame, names: set[str]) -> dict[str, str]:
+    """What to call each column of `docs` while an operator uses `names`: itself unless it is one of them."""
+    called = {c: c for c in docs.columns}
+    for c in names.intersection(docs.columns):
+        while called[c] in names or called[c] in docs.columns:
+            called[c] = f"own_{called[c]}"
+    return called
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the line classifier takes for good; it learns from the labels of the corpus."""
-    scored = crf.score(docs, quality_model(spark, sf_dir))
-    return scored.where(F.col("score") >= GOOD).select(*docs.columns)
+    """Documents that the line classifier takes for good; it learns from the labels of the corpus.
+
+    A null or empty text is one empty line. Rows that repeat are judged each, null ids like others. All
+    columns pass through as they are, one named `score` too. An empty table stays empty.
+    """
+    own = apart(docs, {"score"})
+    scored = crf.score(docs.withColumnsRenamed(own), quality_model(spark, sf_dir)).where(F.col("score") >= GOOD)
+    return scored.select(*[F.col(f"`{new}`").alias(c) for c, new in own.items()])
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates: the one with the smallest id.
 
-    Rows are told apart by their place in the files of the stage before, so that of rows that repeat
-    an id one stays as well; a row with a null id comes last.
+    Rows are told apart by file and place within it, so that of rows that repeat an id one stays as well,
+    however the files are dealt out to tasks when the table is read again. Documents that come from no
+    file are written to one first. A row with a null id comes last; a text without words is like no
+    other. All columns pass through, whatever their names. An empty table stays empty.
     """
-    placed = docs.withColumn("_row", F.monotonically_increasing_id())
-    name = F.struct(F.col("doc_id").isNull(), "doc_id", "_row")
-    found = near_duplicates(placed.select(name.alias("_name"), "text"), Similarity(5, 80, 100), "_name", "text", count_links=False)
-    first = found.where("doc_id = component_id").select(F.col("doc_id._row").alias("_row"))
-    return placed.join(first, "_row", "left_semi").select(*docs.columns)
+    try:
+        place = docs.metadataColumn("_metadata")
+        docs.select(place["file_path"])
+    except AnalysisException:
+        docs = staged(docs, "near-copies")
+        place = docs.metadataColumn("_metadata")
+    own = apart(docs, {"_file", "_row"})
+    placed = docs.select(
+        *[F.col(f"`{c}`").alias(new) for c, new in own.items()],
+        F.xxhash64(place["file_path"]).alias("_file"),
+        place["row_index"].alias("_row"),
+    )
+    name = F.struct(F.col("doc_id").isNull(), "doc_id", "_file", "_row")
+    found = near_duplicates(placed.select(name.alias("name"), "text"), Similarity(5, 80, 100), "name", "text", count_links=False)
+    first = found.where("doc_id = component_id").select("doc_id._file", "doc_id._row")
+    kept = placed.join(first, ["_file", "_row"], "left_semi")
+    return kept.select(*[F.col(f"`{new}`").alias(c) for c, new in own.items()])
 
 
 def substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document without the sequences of 13 words that a document with a smaller id has."""
-    cut = remove_repeats(docs, 13).select(*docs.columns)
-    return cut.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    """Every document without the sequences of 13 words that a document with a smaller id has.
+
+    `n_chars`, where there is such a column, follows the text (null if that is). A null id counts as the
+    largest, rows that share an id do not cut each other; all other columns pass through, whatever
+    their names. An empty table stays empty.
+    """
+    own = apart(docs, {"n_words", "n_removed", "removed", "kept_sha256"})
+    cut = remove_repeats(docs.withColumnsRenamed(own), 13)
+    cut = cut.select(*[F.col(f"`{new}`").alias(c) for c, new in own.items()])
+    if "n_chars" in cut.columns:
+        cut = cut.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return cut
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix of sources takes them."""
+    """Documents as often as the mix of sources takes them.
+
+    Texts without words are never taken; a null source is a source. All columns pass through, whatever
+    their names. An empty table stays empty.
+    """
     return mixed(docs, (5, 2, 1))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the documents and their places in sequences of 2048 tokens."""
+    """Pieces of the documents and their places in sequences of 2048 tokens.
+
+    A null text is an empty one and gives one piece; rows that repeat are packed each. Only `doc_id` and
+    `text` are looked at. An empty table gives no pieces.
+    """
     return pack(docs, f"{TOKENIZERS}/word_bpe_49k.json")
 
 
