@@ -21,7 +21,6 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 from math import exp, factorial
 
 import numpy as np
@@ -88,9 +87,16 @@ def allocate(size: int, segments: int) -> int:
     return min(range(min(segments, 60) + 1), key=cost)
 
 
-@lru_cache(maxsize=8)
+#: Bands made before. A plain table: it travels with the functions that use it, a cached function would not.
+MADE: dict[tuple[Similarity, int], tuple[Band, ...]] = {}
+
+
 def bands(like: Similarity, most: int) -> tuple[Band, ...]:
     """Bands of sizes up to `most`; a set reaches partners in its own and the next band only."""
+    if (like, most) in MADE:
+        return MADE[like, most]
+    if len(MADE) >= 64:
+        MADE.clear()
     out, low = [], 1
     while low <= most:
         high = max(low, low * like.den**2 // like.num**2)
@@ -99,7 +105,8 @@ def bands(like: Similarity, most: int) -> tuple[Band, ...]:
         segments = like.differ(high, high) + 1
         out.append(Band(low, high, segments, allocate(high, segments)))
         low = high + 1
-    return tuple(out)
+    MADE[like, most] = tuple(out)
+    return MADE[like, most]
 
 
 def shingle_sets(column, k: int) -> tuple[np.ndarray, np.ndarray]:

@@ -89,7 +89,7 @@ def test_sets_with_empty_segments_meet_under_another_hash(monkeypatch, rng) -> N
     from ledgerline.llm import jaccard
 
     monkeypatch.setattr(jaccard, "allocate", lambda size, segments: 0)
-    jaccard.bands.cache_clear()
+    jaccard.MADE.clear()
     for seeds in (6, 1):
         monkeypatch.setattr(jaccard, "SEEDS", seeds)
         texts = near_copies(rng, 120, (8, 60))
@@ -100,7 +100,7 @@ def test_sets_with_empty_segments_meet_under_another_hash(monkeypatch, rng) -> N
         for i, j in itertools.combinations(range(len(texts)), 2):
             if sets[i] != sets[j] and LIKE.linked(set(sets[i]), set(sets[j])):
                 assert of[i] & of[j]
-    jaccard.bands.cache_clear()
+    jaccard.MADE.clear()
 
 
 def test_sketches_never_differ_more_than_sets(rng) -> None:

@@ -97,3 +97,37 @@ def test_empty_and_odd_tables(spark, steps, tmp_path) -> None:
     rows = corpus_pipeline.near_copies(spark, odd, sf).collect()
     assert sorted(map(str, (r.doc_id for r in rows))) == ["1", "2", "None"]
     assert check and PATH
+
+
+CLASHING = {"score": 7.5, "_row": "mine", "_file": "f", "_name": 1, "n_words": -1, "n_removed": -2, "removed": "r", "kept_sha256": "k", "own_score": 8, "rest": 9, "_metadata": "m", "size": 3, "h": 4, "row": 5}
+
+
+def test_clashing_names_pass_through(spark, steps) -> None:
+    """Columns that carry the operators' own names keep their values, with and without `n_chars`."""
+    sf = "/root/testdata/sf0.001"
+    plain = steps[0]
+    extra = plain.select("*", *[corpus_pipeline.F.lit(v).alias(k) for k, v in CLASHING.items()]).drop("n_chars")
+    for (name, stage), after in zip(corpus_pipeline.STAGES[:4], steps[1:5]):
+        extra = corpus_pipeline.staged(stage(spark, extra, sf), "extra")
+        assert set(extra.columns) == (set(plain.columns) | set(CLASHING)) - {"n_chars"}, name
+        assert sorted(r.doc_id for r in extra.collect()) == sorted(r.doc_id for r in after.collect()), name
+        assert [tuple(r) for r in extra.select(*CLASHING).distinct().collect()] == [tuple(CLASHING.values())], name
+
+
+def test_near_copies_stand_when_files_are_dealt_out_anew(spark, steps, tmp_path) -> None:
+    """Files packed into other partitions between the call and the action give the same rows."""
+    path = str(tmp_path / "docs")
+    steps[1].repartition(7).write.parquet(path)
+    want = sorted(r.doc_id for r in steps[2].collect())
+    settings = ("spark.sql.files.minPartitionNum", "spark.sql.files.openCostInBytes", "spark.sql.files.maxPartitionBytes")
+    before = [spark.conf.get(s, None) for s in settings]
+    try:
+        spark.conf.set(settings[0], "7")
+        kept = corpus_pipeline.near_copies(spark, spark.read.parquet(path), "")
+        spark.conf.set(settings[0], "1")
+        spark.conf.set(settings[1], "1")
+        spark.conf.set(settings[2], "10000")
+        assert sorted(r.doc_id for r in kept.collect()) == want
+    finally:
+        for s, v in zip(settings, before):
+            spark.conf.unset(s) if v is None else spark.conf.set(s, v)

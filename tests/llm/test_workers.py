@@ -1,0 +1,39 @@
+"""Every operator with Python workers that cannot import the library."""
+
+from __future__ import annotations
+
+import os
+import subprocess
+import sys
+from pathlib import Path
+
+ROOT = Path(__file__).resolve().parents[2]
+
+SCRIPT = """
+import sys
+from pyspark.sql import SparkSession
+spark = SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", "4")
+spark = spark.config("spark.checkpoint.dir", sys.argv[3]).config("spark.sql.codegen.wholeStage", "false").getOrCreate()
+spark.sparkContext.setLogLevel("ERROR")
+
+def tries(rows):
+    try:
+        import ledgerline
+        yield 1
+    except ImportError:
+        yield 0
+
+assert spark.sparkContext.parallelize([1], 1).mapPartitions(tries).collect() == [0]
+sys.path.insert(0, sys.argv[1])
+from ledgerline.llm.queries import QUERIES
+for name in sorted(QUERIES):
+    print(name, len(QUERIES[name](spark, sys.argv[2]).collect()), flush=True)
+"""
+
+
+def test_workers_need_no_package(sf, tmp_path) -> None:
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", SCRIPT, str(ROOT), sf, str(tmp_path / "shared")], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=900)
+    assert done.returncode == 0, done.stderr[-3000:]
+    rows = dict(line.split() for line in done.stdout.splitlines() if line.startswith("op"))
+    assert len(rows) >= 13 and all(int(n) > 0 for n in rows.values())
