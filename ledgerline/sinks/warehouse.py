@@ -13,8 +13,9 @@ ones are removed by the next replace.
 Tables that grow with time are partitioned by day or month. Writes to them are rebalanced by
 the partition column, which lets Spark join small pieces and split a day that is much larger
 than others. An upsert rewrites only the partitions the batch touches; Spark swaps them in when
-the whole job has succeeded. Days that an upsert empties are noted before that swap, and whoever
-opens the table next removes them if the upsert could not.
+the whole job has succeeded. Days that an upsert empties are noted before that swap. Once it is done
+readers pass over the noted days until the upsert, or the next writer if it could not, has removed
+them. Reading never writes. A table has one writer at a time.
 """
 
 from __future__ import annotations
@@ -66,10 +67,17 @@ class Warehouse:
     def read(self, table: str) -> DataFrame:
         """The table under its declared schema. Columns that older files lack are null, and a
         table never written is empty."""
-        self._finish_removal(table)
-        if not exists(self.spark, self.path(table)):
-            return self.spark.createDataFrame([], self.schema(table))
-        return self.spark.read.schema(self.schema(table)).parquet(self.path(table))
+        while True:
+            path, emptied = self.path(table), self._emptied(table)
+            if not exists(self.spark, path):
+                return self.spark.createDataFrame([], self.schema(table))
+            df = self.spark.read.schema(self.schema(table)).parquet(path)
+            if (path, emptied) == (self.path(table), self._emptied(table)):
+                break  # else an upsert went on while the files were listed
+        if not emptied:
+            return df
+        gone = F.col(PARTITION_COLUMN[table]).cast("string").isin(*emptied)
+        return df.where(~F.coalesce(gone, F.lit(False)))
 
     def sql(self, query: str) -> DataFrame:
         """A query over all tables under their own names."""
@@ -187,9 +195,11 @@ class Warehouse:
     ) -> int:
         """Appends the rows whose key the table does not hold yet; returns how many.
 
-        Rows already held are never changed, so a later version of a row has no effect.
+        Rows already held are never changed, so a later version of a row has no effect. The batch
+        holds each key once; the cleaners see to that.
         """
         prepared = self._prepared(table, batch, run_ts)
+        self._finish_removal(table)
         if self._is_empty(table):
             return self.write(table, prepared, sequence=sequence)
         with self._staged(table, prepared) as staged:
@@ -213,6 +223,7 @@ class Warehouse:
         stays the time a row first arrived.
         """
         prepared = self._prepared(table, batch, run_ts)
+        self._finish_removal(table)
         if self._is_empty(table):
             return self.write(table, prepared)
         with self._staged(table, prepared) as staged:
@@ -252,21 +263,32 @@ class Warehouse:
         folder = f"{self.path(table)}/{PARTITION_COLUMN[table]}={value}"
         return [n for n in children(self.spark, folder) if n[0] not in "._"]
 
-    def _finish_removal(self, table: str) -> None:
-        """Removes days that an upsert emptied, if it was cut off between swap and removal.
+    def _emptied(self, table: str) -> list[str]:
+        """Days that an upsert has emptied but not removed yet. Readers pass over them, and write nothing.
 
         A day that the upsert left with rows has new files by then, and keeps them: only a day that
-        still has exactly its files from before goes, and only if the swap took place.
+        still has exactly its files from before counts, and only once all other days are swapped in.
         """
-        path = self.path(table)
-        if table not in PARTITION_COLUMN or not exists(self.spark, f"{path}/{_VACATED}"):
-            return
-        note = json.loads(read_text(self.spark, f"{path}/{_VACATED}"))
-        swapped = any(self._files(table, v) not in (old, []) for v, old in note["changing"].items())
-        for value, old in note["leaving"].items():
-            if swapped and self._files(table, value) == old:
-                remove(self.spark, f"{path}/{PARTITION_COLUMN[table]}={value}")
-        remove(self.spark, f"{path}/{_VACATED}")
+        note = f"{self.path(table)}/{_VACATED}"
+        if table not in PARTITION_COLUMN or not exists(self.spark, note):
+            return []
+        try:
+            told = json.loads(read_text(self.spark, note))
+        except Exception:
+            if exists(self.spark, note):
+                raise
+            return []  # removed by its upsert in the meantime
+        if not all(self._files(table, v) not in (old, []) for v, old in told["changing"].items()):
+            return []
+        return sorted(v for v, old in told["leaving"].items() if old and self._files(table, v) == old)
+
+    def _finish_removal(self, table: str) -> None:
+        """Removes emptied days and the note of them; for the one writer of a table only."""
+        for value in self._emptied(table):
+            remove(self.spark, f"{self.path(table)}/{PARTITION_COLUMN[table]}={value}")
+        note = f"{self.path(table)}/{_VACATED}"
+        if table in PARTITION_COLUMN and exists(self.spark, note):
+            remove(self.spark, note)
 
     @staticmethod
     def _partitions(df: DataFrame, column: str) -> set:

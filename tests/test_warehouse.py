@@ -216,7 +216,7 @@ def test_a_failed_replace_leaves_the_table(spark, warehouse, monkeypatch):
     assert stored(warehouse, "subscriptions", "ingested_at") == [(FIRST,)] * 5
 
 
-def test_an_upsert_cut_off_after_its_swap_is_finished_by_the_next_reader(spark, warehouse, monkeypatch):
+def test_an_upsert_cut_off_after_its_swap_is_passed_over_by_readers(spark, warehouse, monkeypatch):
     first = events(spark, ("e1", "a", "2024-01-01"), ("e2", "a", "2024-01-02"), ("e3", "a", "2024-01-02"))
     moved = events(spark, ("e1", "b", "2024-01-05"), ("e2", "b", "2024-01-05"))
     warehouse.upsert("user_events", first, ["event_id"], EVENT_UPDATES, FIRST)
@@ -241,6 +241,54 @@ def test_an_upsert_cut_off_after_its_swap_is_finished_by_the_next_reader(spark,
     assert stored(warehouse) == want
 
 
+def test_readers_beside_an_upsert_change_nothing(spark, warehouse, monkeypatch):
+    """Before the swap, between swap and removal, and after: old rows or new rows, each once."""
+    first = events(spark, ("e1", "a", "2024-01-01"), ("e2", "a", "2024-01-02"), ("e3", "a", "2024-01-02"), ("e4", "a", "2024-01-07"))
+    moved = events(spark, ("e1", "b", "2024-01-05"), ("e2", "b", "2024-01-05"), ("e4", "b", "2024-01-01"))
+    warehouse.upsert("user_events", first, ["event_id"], EVENT_UPDATES, FIRST)
+    old = stored(warehouse)
+    new = sorted([("e1", "b", datetime(2024, 1, 5), FIRST), ("e2", "b", datetime(2024, 1, 5), FIRST), ("e3", "a", datetime(2024, 1, 2), FIRST), ("e4", "b", datetime(2024, 1, 1), FIRST)])
+    seen, reader = [], Warehouse(spark, warehouse.root)
+    write, files = Warehouse.write, lambda: sorted(str(f) for f in Path(warehouse.root).rglob("*"))
+
+    def look() -> None:
+        before = files()
+        seen.append(stored(reader))
+        assert files() == before  # a read writes nothing
+
+    def watched(*a, **k):
+        look()
+        done = write(*a, **k)
+        look()
+        return done
+
+    monkeypatch.setattr(Warehouse, "write", watched)
+    warehouse.upsert("user_events", moved, ["event_id"], EVENT_UPDATES, SECOND)
+    monkeypatch.undo()
+    assert seen == [old, new] and stored(warehouse) == new
+    assert not list(Path(warehouse.root).rglob("_vacated.json"))
+
+
+def test_a_swap_of_some_days_only_hides_none(spark, warehouse, monkeypatch):
+    """While days are still swapped in, nothing that has no other place is passed over."""
+    first = events(spark, ("e1", "a", "2024-01-01"), ("e2", "a", "2024-01-02"))
+    moved = events(spark, ("e1", "b", "2024-01-05"), ("e2", "b", "2024-01-06"))
+    warehouse.upsert("user_events", first, ["event_id"], EVENT_UPDATES, FIRST)
+    write = Warehouse.write
+
+    def some(self, table, df, *a, **k):
+        write(self, table, df.where("event_date = date'2024-01-05'"), *a, **k)
+        raise Cut
+
+    monkeypatch.setattr(Warehouse, "write", some)
+    with pytest.raises(Cut):
+        warehouse.upsert("user_events", moved, ["event_id"], EVENT_UPDATES, SECOND)
+    monkeypatch.undo()
+    assert {r[0] for r in stored(warehouse)} == {"e1", "e2"}
+    warehouse.upsert("user_events", moved, ["event_id"], EVENT_UPDATES, SECOND)  # loaded again
+    assert stored(warehouse) == [("e1", "b", datetime(2024, 1, 5), FIRST), ("e2", "b", datetime(2024, 1, 6), FIRST)]
+
+
 def test_null_keys_are_idempotent(spark, warehouse):
     batch = events(spark, (None, "a", "2024-01-01"), ("e", "a", "2024-01-02"))
     for at in (FIRST, SECOND, SECOND):
