@@ -10,12 +10,14 @@ from .clean import (
 from .dedup import keep_first, keep_last
 from .enrich import enrich_user_events
 from .funnel import funnel, quantiles
+from .history import as_of, merged_by, with_versions
 from .keys import with_dense_keys
 from .lookup import skew_safe_lookup
 from .merge import conform, rows_in, rows_not_in, upserted
 
 __all__ = [
     "CleaningCounts",
+    "as_of",
     "asof_last",
     "clean_subscriptions",
     "clean_transactions",
@@ -26,6 +28,7 @@ __all__ = [
     "funnel",
     "keep_first",
     "keep_last",
+    "merged_by",
     "quantiles",
     "require_columns",
     "rows_in",
@@ -33,4 +36,5 @@ __all__ = [
     "skew_safe_lookup",
     "upserted",
     "with_dense_keys",
+    "with_versions",
 ]

@@ -168,6 +168,33 @@ LEFT JOIN transactions t ON t.user_id = f.user_id AND t.transaction_type = 'paym
 LEFT JOIN user_profiles p ON p.user_id = f.user_id
 GROUP BY f.user_id, f.began, p.signup_source
 """
+_CTES["milestones"] = """
+SELECT a.account_id, a.industry, p.first_paid_date, s.churn_date,
+  CAST(date_diff('day', CAST(a.signup_date AS DATE), CAST(p.first_paid_date AS DATE)) AS INTEGER)
+    AS days_to_first_payment
+FROM dim_account a
+LEFT JOIN (SELECT user_id, min(transaction_date) AS first_paid_date FROM transactions
+  WHERE transaction_type = 'payment' AND status = 'completed' GROUP BY user_id) p ON p.user_id = a.account_id
+LEFT JOIN (SELECT user_id, CASE WHEN status IN ('cancelled', 'expired') THEN end_date END AS churn_date
+  FROM subscriptions QUALIFY row_number() OVER (PARTITION BY user_id
+    ORDER BY start_date DESC, subscription_id DESC) = 1) s ON s.user_id = a.account_id
+"""
+_CTES["account_history"] = """
+SELECT user_id, country, company_size, role, day AS valid_from,
+  lead(day) OVER (PARTITION BY user_id ORDER BY day) AS valid_to
+FROM (
+  SELECT *, lag(day) OVER seen IS NULL OR row(country, company_size, role) IS DISTINCT FROM row(
+    lag(country) OVER seen, lag(company_size) OVER seen, lag(role) OVER seen) AS changed
+  FROM (
+    SELECT p.user_id, p.role, d.day,
+      CASE WHEN d.n = 1 AND u % 3 = 1 THEN 'Elsewhere' ELSE p.country END AS country,
+      CASE WHEN d.n > 0 AND u % 4 <= d.n THEN '1000+' ELSE p.company_size END AS company_size
+    FROM (SELECT *, CAST(substr(user_id, 2) AS BIGINT) AS u FROM user_profiles) p
+    JOIN (VALUES (0, TIMESTAMP '2024-01-01'), (1, TIMESTAMP '2024-07-01'), (2, TIMESTAMP '2025-01-01'))
+      d(n, day) ON u % 5 <> 4 - d.n
+  ) WINDOW seen AS (PARTITION BY user_id ORDER BY day)
+) WHERE changed
+"""
 _CTES["month_mrr"] = """
 SELECT s.account_key, d.month_start_date AS month, s.mrr, p.plan_id AS plan
 FROM long_snapshots s JOIN dim_date d ON s.date_key = d.date_key AND d.is_month_end
@@ -204,6 +231,8 @@ _NEEDS = {
     "sessions": ["user_events"],
     "converted": ["subscriptions", "transactions", "user_profiles"],
     "month_mrr": ["long_snapshots", "dim_plan", "dim_date"],
+    "milestones": ["dim_account", "subscriptions", "transactions"],
+    "account_history": ["user_profiles"],
     "held": ["user_events"],
     "batch": ["user_events"],
 }
@@ -856,4 +885,24 @@ FROM (
 WHERE month BETWEEN DATE '2023-10-01' AND DATE '2026-05-01'
 GROUP BY month, segment, value""",
     ),
+    "account_milestones": _with("milestones", "SELECT * EXCLUDE (industry) FROM milestones"),
+    "time_to_first_payment": _with(
+        "milestones",
+        """
+SELECT industry, count(*) AS accounts, count(*) FILTER (WHERE days_to_first_payment >= 0) AS paid,
+  round(CAST(sum(days_to_first_payment) FILTER (WHERE days_to_first_payment >= 0) AS DOUBLE)
+    / count(*) FILTER (WHERE days_to_first_payment >= 0), 4) AS avg_days,
+  count(churn_date) AS churned
+FROM milestones GROUP BY industry""",
+    ),
+    "account_history": _with("account_history", "SELECT * FROM account_history"),
+    "revenue_by_country_then": _with(
+        "account_history transactions",
+        """
+SELECT h.country AS country_then, count(*) AS payments, CAST(sum(t.amount) AS DOUBLE) AS revenue
+FROM transactions t LEFT JOIN account_history h ON h.user_id = t.user_id
+  AND t.transaction_date >= h.valid_from AND (h.valid_to IS NULL OR t.transaction_date < h.valid_to)
+WHERE t.transaction_type = 'payment' AND t.status = 'completed'
+GROUP BY 1""",
+    ),
 }

@@ -13,6 +13,7 @@ from ledgerline import operators as ops
 from ledgerline.functions import normalised_properties, parse_moment, parse_money
 from ledgerline.operators import conform, keep_first, keep_last
 from ledgerline.operators import quality as checks
+from ledgerline.plans import accounts as account_plans
 from ledgerline.plans import behaviour, lifecycle, metrics, star
 from ledgerline.plans.pipeline import (
     EVENT_UPDATES,
@@ -703,3 +704,66 @@ def revenue_retention(t: Tables) -> DataFrame:
     ends = t.dates.where("is_month_end")
     held = t.snapshots(days_back=1000, dates=ends)
     return behaviour.revenue_retention(held, t.dim_account, t.plans, t.dates)
+
+
+# What is remembered of accounts: milestones merged from batches, and versions of profiles
+
+
+def _milestones(t: Tables) -> DataFrame:
+    """Four batches out of order, one of them twice: the rows of an account are spread over all."""
+    state = None
+    for n in (3, 1, 0, 2, 1):
+        part = F.col("user_id").isNotNull() & (F.pmod(F.xxhash64("user_id", "transaction_date"), F.lit(4)) == n)
+        bought = F.pmod(F.xxhash64("user_id", "start_date"), F.lit(4)) == n
+        batch = account_plans.milestone_state(t.subscriptions.where(bought), t.transactions.where(part))
+        state = batch if state is None else ops.merged_by(state, batch, ["account_id"], account_plans.MILESTONE_RULES)
+    return account_plans.account_milestones(t.dim_account, state)
+
+
+@query
+def account_milestones(t: Tables) -> DataFrame:
+    return _milestones(t)
+
+
+@query
+def time_to_first_payment(t: Tables) -> DataFrame:
+    return account_plans.time_to_first_payment(t.dim_account, _milestones(t))
+
+
+TRACKED = ["country", "company_size", "role"]
+
+
+def _account_history(t: Tables) -> DataFrame:
+    """Profiles as of three days: some change, some change back, some come later, one day is loaded twice."""
+    history = None
+    number = F.expr("CAST(substring(user_id, 2) AS BIGINT)")
+    for n, day in ((0, "2024-01-01"), (1, "2024-07-01"), (1, "2024-07-01"), (2, "2025-01-01")):
+        seen = t.profiles.where(number % 5 != 4 - n)
+        moved = (number % 3 == 1) & F.lit(n == 1)
+        grown = (number % 4 <= n) & F.lit(n > 0)
+        seen = seen.withColumns(
+            {
+                "country": F.when(moved, "Elsewhere").otherwise(F.col("country")),
+                "company_size": F.when(grown, "1000+").otherwise(F.col("company_size")),
+            }
+        )
+        history = ops.with_versions(history, seen, "user_id", TRACKED, F.lit(day).cast("timestamp_ntz"))
+    return history
+
+
+@query
+def account_history(t: Tables) -> DataFrame:
+    return _account_history(t)
+
+
+@query
+def revenue_by_country_then(t: Tables) -> DataFrame:
+    """Payments by the country the payer had at the time."""
+    paid = t.transactions.where("transaction_type = 'payment' AND status = 'completed'")
+    then = ops.as_of(
+        paid.select("user_id", "transaction_date", "amount"), _account_history(t),
+        "user_id", "transaction_date", {"country_then": "country"},
+    )
+    return then.groupBy("country_then").agg(
+        F.count(F.lit(1)).alias("payments"), F.sum("amount").alias("revenue")
+    )
