@@ -29,6 +29,7 @@ from . import star
 from .lifecycle import stored_before, with_lifecycle
 from .metrics import table_counts
 from .quality_suite import SuiteResult, warehouse_suite
+from .usage import with_usage
 
 log = logging.getLogger(__name__)
 
@@ -41,6 +42,8 @@ SUBSCRIPTION_UPDATES = [
     "updated_at",
 ]
 SNAPSHOT_UPDATES = ["subscription_status", "mrr", "is_churned"]
+# Events may come after the snapshot of their day.
+USAGE_UPDATES = ["active_users", "total_events"]
 
 
 def load_user_events(
@@ -161,8 +164,11 @@ def build_star(
         first_day = as_of - timedelta(days=SNAPSHOT_DAYS_BACK)
         before = stored_before(warehouse.read("fact_subscription_daily"), first_day)
         facts = with_lifecycle(daily, companies, plans, before)
+        days = F.col("event_date").between(F.lit(first_day), F.lit(as_of))
+        facts = with_usage(facts, companies, warehouse.read("user_events").where(days))
         keys = ["date_key", "account_key"]
-        return warehouse.upsert("fact_subscription_daily", facts, keys, SNAPSHOT_UPDATES, run_ts)
+        updates = [*SNAPSHOT_UPDATES, *USAGE_UPDATES]
+        return warehouse.upsert("fact_subscription_daily", facts, keys, updates, run_ts)
 
     _together(events, snapshots)
     counts = table_counts({t: warehouse.read(t) for t in STAR_TABLES}).collect()

@@ -126,6 +126,7 @@ QUALIFY row_number() OVER (PARTITION BY d.date_key, a.account_key
 
 _CTES["snapshots"] = _snapshots("subscriptions", "2026-05-31", "2026-06-30")
 _CTES["long_snapshots"] = _snapshots("subscriptions", "2023-10-04", "2026-06-30")
+_CTES["event_snapshots"] = _snapshots("subscriptions", "2024-01-01", "2024-01-31")
 _CTES["later_subscriptions"] = """
 SELECT * REPLACE ('cancelled' AS status,
   CASE WHEN plan_name = 'Pro' THEN 'Enterprise' ELSE 'Pro' END AS plan_name) FROM subscriptions
@@ -224,6 +225,7 @@ _NEEDS = {
     "fact_user_events": ["user_events", "user_profiles", "dim_date"],
     "snapshots": ["subscriptions", "dim_account", "dim_plan", "dim_date"],
     "long_snapshots": ["subscriptions", "dim_account", "dim_plan", "dim_date"],
+    "event_snapshots": ["subscriptions", "dim_account", "dim_plan", "dim_date"],
     "later_subscriptions": ["subscriptions"],
     "later_snapshots": ["later_subscriptions", "dim_account", "dim_plan", "dim_date"],
     "runs": ["snapshots", "dim_account", "dim_plan", "dim_date"],
@@ -905,4 +907,21 @@ FROM transactions t LEFT JOIN account_history h ON h.user_id = t.user_id
 WHERE t.transaction_type = 'payment' AND t.status = 'completed'
 GROUP BY 1""",
     ),
+    "snapshot_usage": _with(
+        "event_snapshots dim_account user_events",
+        """
+SELECT s.date_key, s.account_key, CAST(count(DISTINCT e.user_id) AS INTEGER) AS active_users,
+  CAST(count(e.event_id) AS INTEGER) AS total_events
+FROM event_snapshots s JOIN dim_account a ON a.account_key = s.account_key
+LEFT JOIN user_events e ON e.user_id = a.account_id
+  AND CAST(strftime(e.event_ts, '%Y%m%d') AS INTEGER) = s.date_key
+GROUP BY s.date_key, s.account_key""",
+    ),
+    "weekly_usage": _with(
+        "user_events",
+        """
+SELECT strftime(date_trunc('week', event_ts), '%Y-%m-%d') AS period, country, count(*) AS total_events,
+  count(DISTINCT user_id) AS active_users, TRUE AS estimate_holds
+FROM user_events GROUP BY 1, 2""",
+    ),
 }

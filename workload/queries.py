@@ -14,7 +14,7 @@ from ledgerline.functions import normalised_properties, parse_moment, parse_mone
 from ledgerline.operators import conform, keep_first, keep_last
 from ledgerline.operators import quality as checks
 from ledgerline.plans import accounts as account_plans
-from ledgerline.plans import behaviour, lifecycle, metrics, star
+from ledgerline.plans import behaviour, lifecycle, metrics, star, usage
 from ledgerline.plans.pipeline import (
     EVENT_UPDATES,
     SNAPSHOT_UPDATES,
@@ -767,3 +767,32 @@ def revenue_by_country_then(t: Tables) -> DataFrame:
     return then.groupBy("country_then").agg(
         F.count(F.lit(1)).alias("payments"), F.sum("amount").alias("revenue")
     )
+
+
+# Use of the product
+
+
+@query
+def snapshot_usage(t: Tables) -> DataFrame:
+    """Snapshots of the month of the events with what their accounts did each day."""
+    daily = star.fact_subscription_daily(
+        t.subscriptions, t.dim_account, t.plans, t.dates, b.EVENTS_AS_OF
+    )
+    used = usage.with_usage(daily, t.dim_account, t.events)
+    return used.select("date_key", "account_key", "active_users", "total_events")
+
+
+@query
+def weekly_usage(t: Tables) -> DataFrame:
+    """Events and users by week and country: exact, and whether the stored days say the same within 5 %."""
+    week = F.date_trunc("week", F.col("usage_date")).cast("date")
+    stored = usage.usage_of_periods(usage.usage_by_day(t.events, ["country"]), week, ["country"])
+    exact = usage.active_users(t.events, F.date_trunc("week", "event_ts").cast("date"), ["country"])
+    both = exact.withColumnRenamed("country", "c").join(
+        stored, (exact["period"] == stored["period"]) & F.col("c").eqNullSafe(F.col("country"))
+    )
+    off = F.abs(F.col("active_users_estimate") - F.col("active_users"))
+    return both.select(
+        exact["period"], "country", "total_events", "active_users",
+        (off <= F.col("active_users") * 0.05).alias("estimate_holds"),
+    )
