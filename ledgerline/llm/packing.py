@@ -12,11 +12,15 @@ from __future__ import annotations
 import itertools
 import os
 import re
-import struct
+import sys
+import types
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -75,30 +79,69 @@ class OpenBins:
 WORD_END = re.compile(rb"[ \t-\r]")
 #: Pieces that a task sorts at a time, and words whose ids it keeps at hand.
 BLOCK, KEPT_WORDS = 1 << 16, 1 << 20
+#: Words that are tokenised in one call.
+WORDS_AT_ONCE = 128
+
+
+def kept_by_process(path: str) -> dict:
+    """What a worker process keeps of a vocabulary file from task to task; bounded by `KEPT_WORDS`."""
+    store = sys.modules.setdefault("ledgerline_kept", types.ModuleType("ledgerline_kept"))
+    read = os.stat(path)
+    return store.__dict__.setdefault("words", {}).setdefault((path, read.st_mtime_ns, read.st_size), {})
 
 
 def word_tokens(path: str) -> Callable[[list[bytes]], list[bytes]]:
     """Ids of texts as 32-bit numbers, for a tokenizer that never joins what white space parts.
 
-    Each distinct word is tokenised once while it is kept.
+    Each distinct word of a block is looked up once, and tokenised once while it is kept.
     """
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
-    known: dict[bytes, bytes] = {}
+    # An added token parts words in one call for many; words that may hold one are encoded alone.
+    border = next(((i, t.content) for i, t in sorted(tokenizer.get_added_tokens_decoder().items()) if t.content), None)
+
+    def encoded(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words, one after the other, and how many each has."""
+        out: list[array] = [array("I")] * len(words)
+        alone = [i for i, w in enumerate(words) if border is None or "<" in w or border[1] in w]
+        for i, e in zip(alone, tokenizer.encode_batch_fast([words[i] for i in alone], add_special_tokens=False), strict=True):
+            out[i] = array("I", e.ids)
+        apart = set(alone)
+        rest = [i for i in range(len(words)) if i not in apart]
+        chunks = [rest[at : at + WORDS_AT_ONCE] for at in range(0, len(rest), WORDS_AT_ONCE)]
+        told = tokenizer.encode_batch_fast([border[1].join([words[i] for i in c]) for c in chunks], add_special_tokens=False) if chunks else []
+        for chunk, e in zip(chunks, told, strict=True):
+            found = array("I", e.ids)
+            edges = [-1, *np.flatnonzero(np.frombuffer(found, dtype=np.uint32) == border[0]).tolist(), len(found)]
+            for i, begin, end in zip(chunk, edges[:-1], edges[1:], strict=True):
+                out[i] = found[begin + 1 : end]
+        return np.frombuffer(b"".join(out), dtype="<u4"), np.fromiter(map(len, out), np.int64, len(out))
+
+    nothing = pa.array([], pa.large_string()), np.zeros(0, "<u4"), np.zeros(0, np.int64)
+    kept = kept_by_process(path)
 
     def ids(texts: list[bytes]) -> list[bytes]:
-        words = [x.split() if b"<|" in x else x.lower().split() for x in texts]
-        new = set().union(*words).difference(known)
-        if len(known) + len(new) > KEPT_WORDS:
-            known.clear()
-            new = set().union(*words)
-        new = list(new)
-        for w, e in zip(new, tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False), strict=True):
-            n = e.ids
-            known[w] = struct.pack(f"<{len(n)}I", *n)
-        return [b"".join(map(known.__getitem__, w)) for w in words]
+        known = kept.get("known", nothing)
+        held = pa.array(texts, pa.large_binary()).cast(pa.large_string())
+        held = pc.if_else(pc.match_substring(held, "<|"), held, pc.ascii_lower(held))
+        lists = pc.ascii_split_whitespace(held)
+        coded = lists.flatten().dictionary_encode()
+        new = coded.dictionary.filter(pc.invert(pc.is_in(coded.dictionary, value_set=known[0])))
+        if len(known[0]) + len(new) > KEPT_WORDS:
+            known, new = nothing, coded.dictionary
+        if len(new):
+            known = pa.concat_arrays([known[0], new]), *map(np.concatenate, zip(known[1:], encoded(new.to_pylist()), strict=True))
+            kept["known"] = known
+        # The ids of each word occurrence, gathered from those of the distinct words.
+        words, every, length = known
+        which = pc.index_in(coded.dictionary, value_set=words).to_numpy()[coded.indices.to_numpy()] if len(coded) else np.zeros(0, np.int64)
+        begin, n = (np.cumsum(length) - length)[which], length[which]
+        ends = np.append(0, np.cumsum(n))
+        out = every[np.arange(ends[-1]) + np.repeat(begin - ends[:-1], n)]
+        edges = ends[lists.offsets.to_numpy() - lists.offsets[0].as_py()]
+        return [out[i:j].tobytes() for i, j in zip(edges, edges[1:], strict=False)]
 
     return ids
 
