@@ -256,7 +256,7 @@ def shared_signatures(docs: DataFrame, like: Similarity, text_column: str) -> Da
 
 
 #: Bytes of texts whose shingles a task keeps while it verifies pairs.
-KEPT_BYTES = 8_000_000
+KEPT_BYTES = 2_000_000
 
 
 def _shingles(text: bytes, k: int) -> set:
