@@ -33,18 +33,22 @@ from pyspark.sql.types import StructType
 
 from ..operators.merge import conform, rows_in, rows_not_in, upserted
 from ..schemas import PARTITION_COLUMN, PARTITION_RULE, TABLES
-from ..sources.paths import children, exists, read_text, remove, write_text
+from ..sources.paths import children, exists, read_text, remove, total_bytes, write_text
+from .key_index import KeyIndex
 
 log = logging.getLogger(__name__)
 
 _MODES = {"fail": "errorifexists", "replace": "overwrite", "append": "append"}
 _COMPLETE, _VACATED = "_complete", "_vacated.json"
+#: Bytes of a table from which on an index tells where its keys are.
+INDEX_ABOVE = 1 << 30
 
 
 class Warehouse:
-    def __init__(self, spark: SparkSession, root: str) -> None:
+    def __init__(self, spark: SparkSession, root: str, index_above: int = INDEX_ABOVE) -> None:
         self.spark = spark
         self.root = root.rstrip("/")
+        self.index_above = index_above
 
     # Reading
 
@@ -139,13 +143,17 @@ class Warehouse:
         if_exists: str = "append",
         sequence: str | None = None,
         only_touched: bool = False,
+        listed: bool = False,
     ) -> int:
         """Writes rows that already have the table's columns; returns how many.
 
         `sequence` names a key column to number consecutively upwards from the highest value in
         use, with gaps. Numbers are given in the writing stage itself, by task, so no order has
-        to be established over all rows.
+        to be established over all rows. Unless the rows are `listed` in the index of the table's
+        keys, that is dropped; the next load that needs it builds it again.
         """
+        if not listed and exists(self.spark, self._index_folder(table)):
+            remove(self.spark, self._index_folder(table))
         out = df
         column = PARTITION_COLUMN.get(table)
         if column:
@@ -182,6 +190,22 @@ class Warehouse:
         finally:
             remove(self.spark, path)
 
+    def _index_folder(self, table: str) -> str:
+        return f"{self.root}/_keys/{table}"
+
+    def _index(self, table: str, keys: Sequence[str]) -> KeyIndex | None:
+        """The index of the table's keys. It is built if it is missing and the table is large enough."""
+        column = PARTITION_COLUMN.get(table)
+        if column is None or column in keys:
+            return None
+        path = self.path(table)
+        index = KeyIndex(self.spark, self._index_folder(table), path.rsplit("/", 1)[1], keys, column)
+        if not index.exists():
+            if total_bytes(self.spark, path) < self.index_above:
+                return None
+            index.build(self.read(table))
+        return index
+
     def _is_empty(self, table: str) -> bool:
         return not exists(self.spark, self.path(table)) or self.read(table).isEmpty()
 
@@ -206,8 +230,13 @@ class Warehouse:
             if staged.isEmpty():
                 log.warning("No data to load to %s", table)
                 return 0
-            new = rows_not_in(self.read(table), staged, keys)
-            return self.write(table, new, sequence=sequence)
+            held, index = self.read(table), self._index(table, keys)
+            if index is None:
+                return self.write(table, rows_not_in(held, staged, keys), sequence=sequence)
+            found = index.find(staged)
+            held = self._in_partitions(table, held, self._partitions(found, PARTITION_COLUMN[table]))
+            index.add(staged, found)
+            return self.write(table, rows_not_in(held, staged, keys), sequence=sequence, listed=True)
 
     def upsert(
         self,
@@ -244,8 +273,14 @@ class Warehouse:
         # Values of the partition column are days or months: few, and one row each here.
         coming = self._partitions(batch, column)
         leaving: set = set()
+        index = self._index(table, keys)
         if column not in keys:
-            moved_from = rows_in(target.select(*keys, column), batch, keys)
+            held = target
+            if index is not None:
+                found = index.find(batch)
+                held = self._in_partitions(table, target, self._partitions(found, column) - coming)
+                index.add(batch, found)
+            moved_from = rows_in(held.select(*keys, column), batch, keys)
             leaving = self._partitions(moved_from, column) - coming
         touched = target.where(F.col(column).isin(*coming, *leaving))
         updates = [*update_columns, *([] if column in keys else [column])]
@@ -256,7 +291,7 @@ class Warehouse:
         if leaving:
             note = {"changing": {str(v): before[str(v)] for v in coming}, "leaving": {str(v): before[str(v)] for v in leaving}}
             write_text(self.spark, f"{self.path(table)}/{_VACATED}", json.dumps(note))
-        self.write(table, merged, "replace", only_touched=True)
+        self.write(table, merged, "replace", only_touched=True, listed=index is not None)
         self._finish_removal(table)
 
     def _files(self, table: str, value: object) -> list[str]:
@@ -290,6 +325,12 @@ class Warehouse:
         if table in PARTITION_COLUMN and exists(self.spark, note):
             remove(self.spark, note)
 
+    @staticmethod
+    def _in_partitions(table: str, df: DataFrame, values: set) -> DataFrame:
+        column = F.col(PARTITION_COLUMN[table])
+        named = column.isin(*[v for v in values if v is not None])
+        return df.where(named | column.isNull() if None in values else named)
+
     @staticmethod
     def _partitions(df: DataFrame, column: str) -> set:
         return {row[0] for row in df.select(column).distinct().collect()}

@@ -20,6 +20,18 @@ def remove(spark: SparkSession, path: str) -> None:
     system.delete(target, True)
 
 
+def total_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of all files below a path; 0 for a missing one."""
+    system, target = _hadoop(spark, path)
+    return system.getContentSummary(target).getLength() if system.exists(target) else 0
+
+
+def total_files(spark: SparkSession, path: str) -> int:
+    """Number of all files below a path; 0 for a missing one."""
+    system, target = _hadoop(spark, path)
+    return system.getContentSummary(target).getFileCount() if system.exists(target) else 0
+
+
 def children(spark: SparkSession, path: str) -> list[str]:
     """Names of what a folder holds; nothing for a missing folder."""
     system, target = _hadoop(spark, path)

@@ -493,6 +493,15 @@ FROM raw_transactions""",
         f"""
 SELECT * FROM held WHERE event_id NOT IN (SELECT event_id FROM batch)
 UNION ALL BY NAME
+SELECT {", ".join("b." + c.strip() for c in _EVENT_COLUMNS.split(","))},
+  coalesce(h.ingested_at, b.ingested_at) AS ingested_at
+FROM batch b LEFT JOIN held h ON b.event_id = h.event_id""",
+    ),
+    "load_indexed": _with(
+        "held batch",
+        f"""
+SELECT * FROM held WHERE event_id NOT IN (SELECT event_id FROM batch)
+UNION ALL BY NAME
 SELECT {", ".join("b." + c.strip() for c in _EVENT_COLUMNS.split(","))},
   coalesce(h.ingested_at, b.ingested_at) AS ingested_at
 FROM batch b LEFT JOIN held h ON b.event_id = h.event_id""",

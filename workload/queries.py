@@ -32,6 +32,7 @@ from ledgerline.schemas import (
 )
 from ledgerline.session import shared_folder
 from ledgerline.sinks import Warehouse
+from ledgerline.sinks.warehouse import INDEX_ABOVE
 from ledgerline.sources import SOURCES, read_file, read_since
 from ledgerline.streaming import load_new_event_files
 
@@ -273,13 +274,13 @@ def _held_and_batch(t: Tables) -> tuple[DataFrame, DataFrame]:
     return held, batch
 
 
-def _warehouse(t: Tables) -> Warehouse:
-    return Warehouse(t.spark, shared_folder(t.spark, "warehouse"))
+def _warehouse(t: Tables, index_above: int = INDEX_ABOVE) -> Warehouse:
+    return Warehouse(t.spark, shared_folder(t.spark, "warehouse"), index_above)
 
 
-def _held_in_warehouse(t: Tables, held: DataFrame, table: str) -> Warehouse:
+def _held_in_warehouse(t: Tables, held: DataFrame, table: str, index_above: int = INDEX_ABOVE) -> Warehouse:
     """A warehouse that holds these rows, stamps included."""
-    warehouse = _warehouse(t)
+    warehouse = _warehouse(t, index_above)
     prepared = held
     if table in PARTITION_RULE:
         prepared = held.withColumn(PARTITION_COLUMN[table], F.expr(PARTITION_RULE[table]))
@@ -303,6 +304,17 @@ def load_upsert(t: Tables) -> DataFrame:
     return warehouse.read("user_events").drop("event_date")
 
 
+@query
+def load_indexed(t: Tables) -> DataFrame:
+    """The batch inserted, then upserted, twice, each time with stored keys found through the index."""
+    held, batch = _held_and_batch(t)
+    warehouse = _held_in_warehouse(t, held, "user_events", index_above=0)
+    for _ in range(2):
+        warehouse.insert_new("user_events", batch, ["event_id"], b.QUALITY_NOW)
+        warehouse.upsert("user_events", batch, ["event_id"], EVENT_UPDATES, b.QUALITY_NOW)
+    return warehouse.read("user_events").drop("event_date")
+
+
 @query
 def load_replace(t: Tables) -> DataFrame:
     """Profiles replaced where other profiles were held."""
