@@ -3,9 +3,15 @@
 Every node of the page's tree gets a density: its characters per tag, reduced by the share that
 links have in it, compared with the share they have in the page. The node whose children have the
 largest sum of densities is the root of the text. The least density on the path from the body to
-that root is the threshold by which nodes beside the path still belong to the text. Parts that the
-markup itself names as navigation, advert, form, comment and the like are taken out before; within
-an article only if they are mostly links. The rest of an article stays, whatever its share of links.
+that root is the threshold by which nodes beside the path still belong to the text.
+
+Parts that the markup itself names as navigation, advert, form, comment and the like are taken out
+before. Names are not trusted alone: what holds the article, or most of the plain text of a page
+without one, is not beside it, whatever it is called. Within an article names that are also those
+of its sections take a part out only if it is mostly links. The rest of an article stays.
+
+Every step is linear in the page, whatever its markup: tags are read forwards once, and open
+elements are found by name.
 """
 
 from __future__ import annotations
@@ -13,7 +19,7 @@ from __future__ import annotations
 import html
 import math
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -57,130 +63,241 @@ ASIDE = frozenset(
 )
 #: Those of them that may stand inside an article, around its title.
 HEADS = frozenset("header masthead".split())
+#: Those that may as well name a section of the article.
+WEAK = HEADS | frozenset(
+    "discussion related recommended recommendations notice notices alert search skip subscription side menu navigation promotion form".split()
+)
+#: Those that name what readers wrote, however long it is.
+READERS = frozenset("comment comments commentlist disqus respond reply replies".split())
 #: Words in class, id or role that name the article.
 MAIN = frozenset("article main content post entry story body text".split())
 
-TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(?P<cdata>.*?)(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attributes>(?:[^>\"']|\"[^\"]*\"|'[^']*')*?)(?P<self>/?)(?:>|\Z)",
-    re.S,
-)
-ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden|style)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I | re.S)
+#: What a "<" begins: a tag up to its attributes, or markup without a name.
+TAG = re.compile(r"<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)")
+#: What ends a tag or begins a quoted value in it.
+QUOTE_OR_END = re.compile(r">|=\s*[\"']")
+ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
+HIDES = re.compile(r"display\s*:\s*none", re.I)
 WORD = re.compile(r"[a-z]+")
 
 
 class Node:
-    __slots__ = ("name", "parent", "children", "aside", "chars", "tags", "link_chars", "link_tags", "density", "main", "named")
+    """`beside`: not of the article by its kind or because hidden (HARD), or by its name (NAMED)."""
 
-    def __init__(self, name: str, parent: Node | None, aside: bool = False, main: bool = False, named: bool = False):
-        self.name, self.parent, self.aside, self.main, self.named = name, parent, aside, main, named
+    __slots__ = ("name", "parent", "children", "beside", "chars", "tags", "link_chars", "link_tags", "density", "main", "hint", "readers")
+
+    def __init__(self, name: str, parent: Node | None):
+        self.name, self.parent = name, parent
+        self.beside, self.main, self.hint, self.readers = 0, False, False, False
         self.children: list[Node | str] = []
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = 0.0
 
+    @property
+    def aside(self) -> bool:
+        return self.beside > 0
+
+
+HARD, NAMED = 2, 1
+
 
-def _kind(name: str, attributes: str, inside_article: bool) -> tuple[bool, bool, bool]:
-    """Whether an element is beside the article, says it is the article, is named beside it within it.
+def _judge(node: Node, attributes: str, inside: bool) -> bool:
+    """Marks a node by its kind and attributes; says whether it is the page's article.
 
-    Names inside an article are no more than a hint, as they are also those of its sections; headings
-    and paragraphs there and generated ids of headings anywhere are not even that.
+    Names within an article are no more than a hint if they are also those of sections; on headings
+    and paragraphs there and as generated ids of headings anywhere they are not even that.
     """
-    aside, main = name in DROPPED and not (inside_article and (name == "header" or name in FALLBACK)), name in ("article", "main")
-    hint = False
-    if attributes and not aside:
-        for m in ATTRIBUTE.finditer(attributes):
-            key, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
-            if key == "hidden" or (key == "aria-hidden" and value == "true") or (key == "style" and re.search(r"display\s*:\s*none", value)):
-                return True, False, False
-            if key in ("class", "id", "role"):
-                words = set(WORD.findall(value))
-                main = main or bool(words & MAIN)
-                named = words & ASIDE - (HEADS if inside_article else frozenset())
-                if not named or name in ("article", "main") or (name in HEADING and key == "id"):
-                    continue
-                if not inside_article or (key == "class" and "hidden" in named):
-                    aside = True
-                elif name not in HEADING and name != "p":
-                    hint = True
-    return aside, main and not aside and not hint, hint and not aside
+    name = node.name
+    article = name in ("article", "main")
+    if name == "form":
+        node.beside = NAMED
+    elif name in DROPPED and not (inside and (name == "header" or name in FALLBACK)):
+        node.beside = HARD
+        return False
+    main = article
+    for m in ATTRIBUTE.finditer(attributes):
+        key, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
+        if key == "hidden" or (key == "aria-hidden" and value == "true") or (key == "style" and HIDES.search(value)):
+            node.beside = HARD
+            return False
+        if (key == "role" and value.strip() in ("main", "article")) or (key == "itemprop" and value.strip() == "articlebody"):
+            article = main = True
+        if key not in ("class", "id", "role"):
+            continue
+        words = set(WORD.findall(value))
+        main = main or bool(words & MAIN)
+        named = words & ASIDE - (HEADS if inside else frozenset())
+        if not named or name in ("article", "main") or (name in HEADING and key == "id"):
+            continue
+        if key == "class" and "hidden" in named:
+            node.beside = HARD
+            return False
+        if inside and (name in HEADING or name == "p"):
+            continue
+        node.readers = node.readers or bool(named & READERS)
+        if not inside or (named - WEAK and not (name == "section" and key == "id" and not named & READERS)):
+            node.beside = NAMED
+        else:
+            node.hint = True
+    if article:
+        node.beside = 0
+    node.hint = node.hint and not node.beside
+    node.main = main and not node.beside and not node.hint
+    return article
+
+
+class _Open:
+    """The open elements, with where each name and kind stands among them."""
+
+    def __init__(self, root: Node) -> None:
+        self.nodes, self.at = [root], {}
+        self.blocks: list[int] = []
+        self.articles: list[int] = []
+        self.cleared = 1
+
+    def push(self, node: Node, article: bool) -> None:
+        i = len(self.nodes)
+        self.nodes.append(node)
+        self.at.setdefault(node.name, []).append(i)
+        if node.name in BLOCK:
+            self.blocks.append(i)
+        if article:
+            self.articles.append(i)
+
+    def cut(self, i: int) -> None:
+        """Ends the elements from the i-th on."""
+        while len(self.nodes) > i:
+            self.at[self.nodes.pop().name].pop()
+        for places in (self.blocks, self.articles):
+            while places and places[-1] >= i:
+                places.pop()
+        self.cleared = min(self.cleared, i)
+
+    def last(self, names: Iterable[str]) -> int:
+        """Where the innermost open element of these names stands, or 0."""
+        return max((self.at[n][-1] for n in names if self.at.get(n)), default=0)
+
+    def clear(self) -> None:
+        """What holds the article is not beside it, whatever its name."""
+        for x in self.nodes[self.cleared :]:
+            x.beside = 0 if x.beside == NAMED else x.beside
+        self.cleared = len(self.nodes)
+
+
+def _tag_end(page: str, at: int) -> int:
+    """Where the tag ends whose attributes begin at `at`: a quote that is never closed ends it at the next ">"."""
+    while True:
+        m = QUOTE_OR_END.search(page, at)
+        if m is None:
+            return len(page)
+        if m[0] == ">":
+            return m.end()
+        close = page.find(m[0][-1], m.end())
+        if close < 0:
+            end = page.find(">", m.end())
+            return len(page) if end < 0 else end + 1
+        at = close + 1
+
+
+def _past(page: str, mark: str, at: int) -> int:
+    end = page.find(mark, at)
+    return len(page) if end < 0 else end + len(mark)
 
 
 def parse(page: str) -> Node:
     """The tree of a page; missing end tags are supplied, markup that breaks off ends there."""
-    root = body = Node("body", None)
-    node, at, n = root, 0, len(page)
-    open_: list[Node] = [root]
+    root = Node("body", None)
+    open_, at, n = _Open(root), 0, len(page)
 
     def text(s: str) -> None:
         if s:
-            node.children.append(html.unescape(s))
+            open_.nodes[-1].children.append(html.unescape(s))
 
     while at < n:
         lt = page.find("<", at)
-        m = TOKEN.match(page, lt) if lt >= 0 else None
         if lt < 0:
             text(page[at:])
             break
-        if m is None:
-            text(page[at : lt + 1])
-            at = lt + 1
-            continue
         text(page[at:lt])
-        at = m.end()
-        name = m["name"]
-        if name is None:
+        m = TAG.match(page, lt)
+        if m is None:
+            if page.startswith("<!--", lt):
+                at = _past(page, "-->", lt + 4)
+            elif page.startswith("<![CDATA[", lt):
+                at = _past(page, "]]>", lt + 9)
+            elif page.startswith(("<!", "<?"), lt):
+                at = _past(page, ">", lt + 2)
+            else:
+                text("<")
+                at = lt + 1
             continue
-        name = name.lower()
+        at = _tag_end(page, m.end())
+        attributes, name = page[m.end() : at].removesuffix(">"), m["name"].lower()
         if m["end"]:
-            for i in range(len(open_) - 1, 0, -1):
-                if open_[i].name == name:
-                    del open_[i:]
-                    break
-                if open_[i].name in ("table", "td", "th", "li") and name not in BLOCK:
-                    break
-            node = open_[-1]
+            i = open_.last((name,))
+            if i and (name in BLOCK or i >= open_.last(("table", "td", "th", "li"))):
+                open_.cut(i)
             continue
         if name in ("html", "body"):
-            aside, main = False, False
             continue
-        if name in ENDS_P:
-            for i in range(len(open_) - 1, 0, -1):
-                if open_[i].name == "p":
-                    del open_[i:]
-                    break
-                if open_[i].name in BLOCK:
-                    break
+        if name in ENDS_P and open_.blocks and open_.nodes[open_.blocks[-1]].name == "p":
+            open_.cut(open_.blocks[-1])
         if name in ENDS:
             same, beyond = ENDS[name]
-            for i in range(len(open_) - 1, 0, -1):
-                if open_[i].name in same:
-                    del open_[i:]
-                    break
-                if open_[i].name in beyond:
-                    break
-        node = open_[-1]
+            i = open_.last(same)
+            if i > open_.last(beyond):
+                open_.cut(i)
+        node = open_.nodes[-1]
         if name == "br":
             node.children.append(" ")
             continue
-        inside = any(x.name == "article" for x in open_)
-        made = Node(name, node, *_kind(name, m["attributes"], inside))
+        inside = bool(open_.articles)
+        made = Node(name, node)
+        article = _judge(made, attributes, inside)
         node.children.append(made)
-        if name in ("article", "main"):  # what holds the article is not beside it ("has-sidebar")
-            for x in open_:
-                x.aside = x.aside and x.name in DROPPED
+        if article:
+            open_.clear()
         if name in RAW and not (inside and name in FALLBACK):
             end = re.compile(rf"</{re.escape(name)}(?=[\s/>])", re.I).search(page, at)
             if name == "xmp":
                 made.children.append(page[at : end.start() if end else n])
-            at = end.start() if end else n
-            if end:
-                close = page.find(">", at)
-                at = close + 1 if close >= 0 else n
+            at = _past(page, ">", end.start()) if end else n
             continue
-        if name not in VOID and not m["self"]:
-            open_.append(made)
-            node = made
-    return body
+        if name not in VOID and not attributes.endswith("/"):
+            open_.push(made, article)
+    return root
+
+
+def restore(root: Node) -> None:
+    """A name takes out no more than half of the plain text of a page that marks no article.
+
+    What readers wrote stays out all the same.
+    """
+    order, stack, found = [], [root], False
+    while stack:
+        x = stack.pop()
+        order.append(x)
+        stack.extend(c for c in x.children if isinstance(c, Node) and c.beside != HARD)
+    plain: dict[Node, int] = {}  # of a node without the parts beside it
+    total = 0
+    for x in reversed(order):
+        own = sum(len("".join(c.split())) for c in x.children if isinstance(c, str)) if x.name != "a" else 0
+        own += sum(plain[c] for c in x.children if isinstance(c, Node) and c in plain and not c.beside) if x.name != "a" else 0
+        plain[x] = own
+        if x.beside:
+            total += own
+        elif own and x.name in ("article", "main"):
+            found = True
+    total += plain[root]
+    if found:
+        return
+    for x in order:
+        if x.beside and not x.readers and 2 * plain[x] > total:
+            up: Node | None = x
+            while up is not None:
+                up.beside = 0
+                up = up.parent
+            return  # no two parts hold more than half
 
 
 def _visible(node: Node) -> Iterator[Node]:
@@ -214,8 +331,8 @@ def measure(root: Node) -> list[Node]:
                 x.link_tags += c.link_tags + (c.name == "a")
         if x.name == "a":
             x.link_chars = x.chars
-        if x.named and _link_heavy(x):
-            x.aside = hints = True
+        if x.hint and _link_heavy(x):
+            x.beside, hints = NAMED, True
     if hints:
         order = _order(root)
     share = root.link_chars / root.chars if root.chars else 0.0
@@ -234,6 +351,7 @@ def _link_heavy(x: Node) -> bool:
 
 def content(root: Node) -> list[Node | str]:
     """The nodes that make up the text, in page order."""
+    restore(root)
     order = measure(root)
     if not root.chars:
         return []
@@ -246,32 +364,25 @@ def content(root: Node) -> list[Node | str]:
     while path[-1].parent is not None:
         path.append(path[-1].parent)
     threshold = min(x.density for x in path)
-    article = next((x for x in reversed(path) if x.name == "article"), None)
-    marked = set(map(id, path))
     out: list[Node | str] = []
-
-    def beside(x: Node) -> None:
-        if x is best:
+    after: list[list[Node | str]] = []
+    article = False
+    for x, below in zip(reversed(path), reversed([None, *path[:-1]])):
+        if below is None:
             out.append(x)
-            return
-        within = x is article or x.main or (article is not None and _inside(x, article))
-        for c in x.children:
-            if isinstance(c, str):
-                if within:
-                    out.append(c)
-            elif id(c) in marked:
-                beside(c)
-            elif not c.aside and (within or not _link_heavy(c) and (c.main or c.name in HEADING or c.density >= threshold)):
-                out.append(c)
-
-    beside(root)
-    return out
-
-
-def _inside(x: Node | None, ancestor: Node) -> bool:
-    while x is not None and x is not ancestor:
-        x = x.parent
-    return x is ancestor
+            break
+        article = article or x.name == "article"
+        spot = next(i for i, c in enumerate(x.children) if c is below)
+        kept = [(i, c) for i, c in enumerate(x.children) if i != spot and _belongs(c, article or x.main, threshold)]
+        out += [c for i, c in kept if i < spot]
+        after.append([c for i, c in kept if i > spot])
+    return out + [c for level in reversed(after) for c in level]
+
+
+def _belongs(c: Node | str, within: bool, threshold: float) -> bool:
+    if isinstance(c, str):
+        return within
+    return not c.aside and (within or not _link_heavy(c) and (c.main or c.name in HEADING or c.density >= threshold))
 
 
 def main_text(page: str | None) -> str:

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import html
 import re
+import time
+
+import pytest
 
 from ledgerline.llm.html import extract, main_text
 
@@ -74,3 +77,68 @@ def test_formulas_and_literal_text_stay() -> None:
     formula = "<math><mi>x</mi><mo>=</mo><mn>1</mn><annotation>x=1</annotation></math>"
     assert main_text(f"<article><p>Let {formula} hold.</p><xmp><b>&amp;</xmp></article>") == "Let x=1 hold.\n\n<b>&amp;"
     assert main_text(f"<article><p>{P1}</p><noscript><p>Shown.</p></noscript></article>") == f"{P1}\n\nShown."
+
+
+Q = f"<p>{P1}</p>" * 4
+WHOLE = "\n\n".join([P1] * 4)
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        f"<div class='has-sidebar'><div id=content>{Q}</div><div class=sidebar><p>{P1}</p></div></div>",
+        f"<div class='side-by-side'>{Q}</div>",
+        f"<form id=aspnetForm><article>{Q}</article></form>",
+        f"<form><div>{Q}</div><input></form>",
+        f"<main>{Q[: len(Q) // 2]}<section id=discussion>{Q[len(Q) // 2 :]}</section></main>",
+        f"<div role=main>{Q}<div class=sidebar><p>{P1}</p></div></div>",
+        f"<div title='hidden gems' data-role=sidebar>{Q}</div><p style='display: none'>{P1}</p>",
+        f"<article>{Q}<section class=comments><p>I like it, said one.</p><p>{P1}</p></section></article>",
+        f"<article>{Q}<div class=advert>Buy now, cheap and good.</div><div class=newsletter>Join our letter, please.</div></article>",
+        f"<article>{Q}</article><div id=comments>{Q}{Q}{Q}</div>",
+    ],
+)
+def test_names_alone_neither_lose_nor_keep_text(page) -> None:
+    assert main_text(f"<html><body>{page}</body></html>") == WHOLE
+
+
+def test_a_page_of_comments_only_is_empty() -> None:
+    assert main_text(f"<div class=comments>{Q}</div>") == ""
+
+
+def test_generated_pages(rng) -> None:
+    """Pages put together from an article that is known and parts beside it, with and without marks."""
+    words = "stone river light under over morning paper seven quiet garden wind window table north".split()
+
+    def prose(n: int) -> str:
+        return " ".join(rng.choices(words, k=n)).capitalize() + "."
+
+    def beside() -> str:
+        links = "".join(f"<li><a href=/{i}>{prose(2)}</a></li>" for i in range(6))
+        return rng.choice(
+            [
+                f"<nav><ul>{links}</ul></nav>", f"<div class='top-menu'><ul>{links}</ul></div>", f"<aside><p>{prose(9)}</p></aside>",
+                f"<div class='sidebar'><h3>{prose(2)}</h3><p>{prose(12)}</p></div>", f"<div class=cookie-consent><p>{prose(15)}</p></div>",
+                f"<footer><p>{prose(8)}</p></footer>", f"<form action=/s><label>{prose(1)}</label><input name=q></form>", f"<div class='advert'>{prose(9)}</div>",
+                f"<section class=comments><div class=comment-body><p>{prose(20)}</p></div></section>", f"<script>if (a<b) {{ '<p>{prose(5)}</p>' }}</script>",
+            ]
+        )
+
+    for _ in range(300):
+        parts = [("p", prose(rng.randint(25, 60))) for _ in range(rng.randint(3, 8))]
+        parts.insert(0, ("h1", prose(4)))
+        body = "".join(f"<{tag}>{t}</{tag}>" if rng.random() < 0.9 or tag != "p" else f"<p>{t}" for tag, t in parts)
+        begin, end = rng.choice([("<article>", "</article>"), ("<main><article class=post>", "</article></main>"), ("<div id=content>", "</div>"), ("<div>", "</div>")])
+        around = ["".join(beside() for _ in range(rng.randint(0, 3))) for _ in range(2)]
+        page = f"<html><head><title>{prose(3)}</title></head><body class='has-sidebar'>{around[0]}{begin}{body}{end}{around[1]}</body></html>"
+        assert main_text(page) == "\n\n".join(t for _, t in parts), page
+
+
+@pytest.mark.parametrize(
+    "unit, last",
+    [("<a ", "'"), ("<b x='1' ", '"'), ("<span>", ""), ("<article>", "x"), ("<div>", Q), ("<td><i>", "</b>" * 100_000), ("<p><b>", ""), ("<div class=menu>", Q)],
+)
+def test_broken_markup_takes_linear_time(unit, last) -> None:
+    begun = time.perf_counter()
+    main_text(unit * (1_000_000 // len(unit)) + last)
+    assert time.perf_counter() - begun < 20  # some 2 s; minutes to hours if it grew with the square
