@@ -11,7 +11,7 @@ RULES = f"""
 WITH docs AS (
     SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS text, {WORDS.format("text")} AS w FROM documents
 ), lines AS (
-    SELECT r, count(*) - count(DISTINCT line) AS n_dup_lines
+    SELECT r, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup_lines
     FROM (SELECT r, unnest(string_split(text, chr(10))) AS line FROM docs) WHERE regexp_matches(line, '{BREAK}') GROUP BY r
 ), windows AS (
     SELECT r, i, array_to_string(w[i : i + 4], ' ') AS g FROM (SELECT r, w, unnest(range(1, len(w) - 3)) AS i FROM docs)
@@ -19,24 +19,31 @@ WITH docs AS (
     SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, g) AS n FROM windows) WHERE n > 1
 ), repeated AS (
     SELECT r, count(DISTINCT i + k) AS n_repeat_words FROM twice, range(5) t(k) GROUP BY r
-), judged AS (
+), measured AS (
     SELECT doc_id, source, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
         CAST(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
-        coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words,
+        coalesce(n_lines, 0) AS n_lines, coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words,
         len(w) < 10 OR 100 * coalesce(n_repeat_words, 0) > 20 * len(w) AS base_failed
     FROM docs LEFT JOIN lines USING (r) LEFT JOIN repeated USING (r)
+), judged AS (
+    SELECT *, base_failed OR 10 * n_symbols > n_words OR 10 * n_dup_lines > 3 * n_lines OR word_chars < 2 * n_words AS rule_failed FROM measured
 ), hosts AS (
-    SELECT source, CAST(count(*) AS DOUBLE) AS n, CAST(count(*) FILTER (base_failed) AS DOUBLE) AS f
+    SELECT source, CAST(count(*) AS DOUBLE) AS n, CAST(count(*) FILTER (rule_failed) AS DOUBLE) AS f
     FROM judged WHERE source IS NOT NULL GROUP BY source
-), overall AS (
-    SELECT sum(n) AS n, count(*) AS h, sum(f) / sum(n) AS m, sum(f * f / n) / sum(n) AS q FROM hosts
+), others AS (  -- what each host is held against
+    SELECT source, n, f, sum(n) OVER () - n AS o, sum(f) OVER () - f AS of, sum(f * f / n) OVER () - f * f / n AS oq, count(*) OVER () - 1 AS oh FROM hosts
+), means AS (
+    SELECT *, (of + 0.5) / (o + 1) AS m FROM others WHERE o > 0
+), spread AS (
+    SELECT *, m * (1 - m) AS c, oq / o - m * m - m * (1 - m) * oh / o AS between_ FROM means
 ), prior AS (
-    SELECT m, CASE WHEN m * (1 - m) > 0 AND q - m * m - m * (1 - m) * h / n > 0
-        THEN least(greatest(m * (1 - m) / (q - m * m - m * (1 - m) * h / n) - 1, 1.0), 1e6) ELSE 1e6 END AS k FROM overall
+    SELECT *, CASE WHEN between_ > 0 THEN least(greatest(c / between_ - 1, 1.0), 100.0) ELSE 100.0 END AS k FROM spread
+), verdicts AS (
+    SELECT source, (f + m * k) / (n + k) > greatest(m + 3 * sqrt(c / (k + 1)), 0.2) AS host_failed FROM prior
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-    NOT base_failed AND NOT coalesce((hosts.f + m * k) / (hosts.n + k) > 0.5, false) AS kept
-FROM judged LEFT JOIN hosts USING (source) CROSS JOIN prior
+    NOT base_failed AND NOT coalesce(host_failed, false) AS kept, n_lines, rule_failed
+FROM judged LEFT JOIN verdicts USING (source)
 """
 
 MIXING = f"""

@@ -56,7 +56,7 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op5_host_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return judge(table(spark, sf_dir, "documents"), max_rate=0.5).drop("host_rate")
+    return judge(table(spark, sf_dir, "documents")).drop("host_rate")
 
 
 @query

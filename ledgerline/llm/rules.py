@@ -16,6 +16,8 @@ WORD_BREAK = r"[\x20\x09-\x0D]+"
 SYMBOLS = r"[#*$%&|<>]"
 #: Words of a repeated window.
 WINDOW = 5
+#: A host below this rate never fails; a prior is worth at most so many documents; what is far above it.
+MIN_RATE, MAX_WEIGHT, DEVIATIONS = 0.2, 100.0, 3.0
 #: Host tables of at most so many rows are broadcast; others meet documents in a salted join.
 BROADCAST_HOSTS, SALTS = 100_000, 64
 
@@ -25,7 +27,7 @@ def words(text: Column) -> Column:
 
 
 def measured(docs: DataFrame, text_column: str = "text") -> DataFrame:
-    """`docs` with n_words, word_chars, n_symbols, n_dup_lines and n_repeat_words of each whole text.
+    """`docs` with n_words, word_chars, n_symbols, n_lines, n_dup_lines and n_repeat_words of each whole text.
 
     A null text counts as an empty one. Windows are compared by 64-bit hashes within one text.
     """
@@ -56,51 +58,61 @@ def measured(docs: DataFrame, text_column: str = "text") -> DataFrame:
             "n_words": F.col("_n"),
             "word_chars": F.length(F.array_join("_words", "")).cast("long"),
             "n_symbols": F.regexp_count("_text", F.lit(SYMBOLS)).cast("long"),
+            "n_lines": F.size("_lines").cast("long"),
             "n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"),
             "n_repeat_words": F.coalesce(covered, F.lit(0)).cast("long"),
         }
     ).drop("_words", "_lines", "_text", "_n", "_windows", "_sorted", "_at")
 
 
-def host_verdicts(judged: DataFrame, max_rate: float) -> DataFrame:
-    """(host, n, failures, rate, host_failed) of each host of `judged` (host, base_failed).
+def host_verdicts(judged: DataFrame, min_rate: float = MIN_RATE) -> DataFrame:
+    """(host, n, failures, rate, rate_limit, host_failed) of each host of `judged` (host, rule_failed).
 
-    `rate` is the mean of the beta distribution that a host's failures give together with a prior.
-    The prior is fitted to the hosts by moments: its mean is the overall rate, its weight follows
-    from how much more the hosts' rates vary than chance alone would make them.
+    Each host is held against a beta prior fitted by moments to all other hosts, so that one bad host
+    does not widen the prior it is judged by. The prior's mean is the others' rate (half a failure in
+    one more document added, as none seen is not none possible). Its weight, in documents, follows from
+    how much more the others' rates vary than chance alone would make them, given each one's size, and
+    lies between 1 and `MAX_WEIGHT`: few or even hosts do not make it certain. `rate` is the
+    host's rate shrunk towards the mean by that weight. The host fails if it lies `DEVIATIONS` standard
+    deviations of the prior above its mean, and above `min_rate`. A single host has nothing to be held
+    against: its rate is null and it does not fail.
     """
     hosts = judged.where("host IS NOT NULL").groupBy("host").agg(
-        F.count(F.lit(1)).alias("n"), F.sum(F.col("base_failed").cast("long")).alias("failures")
+        F.count(F.lit(1)).cast("double").alias("n"), F.sum(F.col("rule_failed").cast("long")).cast("double").alias("failures")
     )
     hosts = staged(hosts, "hosts")
-    overall = hosts.agg(
-        F.sum("n").alias("_all"), F.count(F.lit(1)).alias("_hosts"), (F.sum("failures") / F.sum("n")).alias("_mean"),
-        (F.sum(F.col("failures") * F.col("failures") / F.col("n")) / F.sum("n")).alias("_square"),
-    )
-    chance = F.col("_mean") * (1 - F.col("_mean"))
-    between = F.col("_square") - F.col("_mean") * F.col("_mean") - chance * F.col("_hosts") / F.col("_all")
-    weight = F.when((chance > 0) & (between > 0), F.least(F.greatest(chance / between - 1, F.lit(1.0)), F.lit(1e6))).otherwise(1e6)
-    mean, weight = overall.select("_mean", weight).first()
-    rate = (F.col("failures") + F.lit(mean) * F.lit(weight)) / (F.col("n") + F.lit(weight))
-    return hosts.select("host", "n", "failures", rate.cast("double").alias("rate"), (rate > max_rate).alias("host_failed"))
+    square = F.col("failures") * F.col("failures") / F.col("n")
+    all_, failed, squares, count = hosts.agg(F.sum("n"), F.sum("failures"), F.sum(square), F.count(F.lit(1))).first()
+    others = F.nullif(F.lit(all_) - F.col("n"), F.lit(0.0))
+    mean = (F.lit(failed) - F.col("failures") + 0.5) / (others + 1)
+    hosts = hosts.withColumns({"_others": others, "_mean": mean, "_chance": mean * (1 - mean)})
+    between = (F.lit(squares) - square) / F.col("_others") - F.col("_mean") * F.col("_mean") - F.col("_chance") * (count - 1) / F.col("_others")
+    weight = F.when(between > 0, F.least(F.greatest(F.col("_chance") / between - 1, F.lit(1.0)), F.lit(MAX_WEIGHT))).otherwise(MAX_WEIGHT)
+    hosts = hosts.withColumn("_weight", weight)
+    rate = (F.col("failures") + F.col("_mean") * F.col("_weight")) / (F.col("n") + F.col("_weight"))
+    limit = F.greatest(F.col("_mean") + DEVIATIONS * F.sqrt(F.col("_chance") / (F.col("_weight") + 1)), F.when(F.col("_mean").isNotNull(), min_rate))
+    return hosts.select("host", "n", "failures", rate.alias("rate"), limit.alias("rate_limit"), (rate > limit).alias("host_failed"))
 
 
 def judge(
-    docs: DataFrame, max_rate: float = 0.5, id_column: str = "doc_id", text_column: str = "text", host_column: str = "source"
+    docs: DataFrame, min_rate: float = MIN_RATE, id_column: str = "doc_id", text_column: str = "text", host_column: str = "source"
 ) -> DataFrame:
-    """(doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, host_rate, kept).
-
-    A document fails with under 10 words, or if over a fifth of them stand in windows of five words
-    that the text repeats. A document that does not fail is kept unless failures of its host, shrunk
-    towards the rate of all hosts, exceed `max_rate`. Documents without a host have no host verdict
-    and a null `host_rate`. Null texts are empty, repeated rows count each, other columns are ignored.
+    """(doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, n_lines, rule_failed, host_rate).
+
+    A document fails the base with under 10 words, or if over a fifth of them stand in windows of five
+    words that the text repeats. Failures of hosts count these documents and those with more than one
+    symbol in ten words, with over 30 % of lines that repeat earlier ones, or with words of fewer than
+    two characters on average. A document that passes the base is kept unless its host fails (see
+    `host_verdicts`). Documents without a host have no host verdict and a null `host_rate`. Null texts
+    are empty, repeated rows count each, other columns are ignored.
     """
     given = docs.select(
         F.col(f"`{id_column}`").alias("doc_id"), F.col(f"`{host_column}`").alias("host"), F.col(f"`{text_column}`").alias("text")
     )
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
-    judged = staged(measured(given).drop("text").withColumn("base_failed", failed), "judged")
-    verdicts = host_verdicts(judged, max_rate).select("host", F.col("rate").alias("host_rate"), "host_failed")
+    more = (10 * F.col("n_symbols") > F.col("n_words")) | (10 * F.col("n_dup_lines") > 3 * F.col("n_lines")) | (F.col("word_chars") < 2 * F.col("n_words"))
+    judged = staged(measured(given).drop("text").withColumns({"base_failed": failed, "rule_failed": failed | more}), "judged")
+    verdicts = host_verdicts(judged, min_rate).select("host", F.col("rate").alias("host_rate"), "host_failed")
     if count_up_to(verdicts, BROADCAST_HOSTS) <= BROADCAST_HOSTS:
         joined = judged.join(F.broadcast(verdicts), "host", "left")
     else:
@@ -108,6 +120,7 @@ def judge(
         salt = F.pmod(F.xxhash64("doc_id", "n_words", "word_chars"), F.lit(SALTS)).cast("int")
         joined = judged.withColumn("_salt", salt).join(salted, ["host", "_salt"], "left")
     return joined.select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "host_rate",
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
         (~F.col("base_failed") & ~F.coalesce("host_failed", F.lit(False))).alias("kept"),
+        "n_lines", "rule_failed", "host_rate",
     )

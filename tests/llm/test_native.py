@@ -48,6 +48,22 @@ def test_hosts_lose_their_documents_only_on_many_failures(spark, monkeypatch) ->
     assert judge(df.limit(0)).collect() == []
 
 
+def test_a_host_far_above_the_others_loses_its_documents(spark) -> None:
+    """40 % against 8 %: lost, whatever its size beside the others. 8 %, 12 % and few documents: kept."""
+    fine, bad = " ".join(f"w{i}" for i in range(20)), "too short"
+    symbols = " ".join(["word # *"] + [f"w{i}" for i in range(10)])
+    hosts = {"a": (1000, 80, bad), "b": (500, 40, bad), "c": (200, 24, bad), "far": (1000, 400, bad), "few": (5, 2, bad)}
+    for changed, lost in ({}, {"far"}), ({"far": (100, 40, bad)}, {"far"}), ({"far": (1000, 400, symbols)}, {"far"}), ({"far": (1000, 90, bad)}, set()):
+        given = hosts | changed
+        rows = [(text if i < failed else fine, host) for host, (n, failed, text) in given.items() for i in range(n)]
+        df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "doc_id long, text string, source string")
+        got = judge(df).collect()
+        assert {rows[r.doc_id][1] for r in got if not r.base_failed and not r.kept} == lost
+        assert all(r.rule_failed == (rows[r.doc_id][0] != fine) for r in got)
+    one = spark.createDataFrame([(1, fine, "x"), (2, bad, "x"), (3, bad, "x")], "doc_id long, text string, source string")
+    assert {(r.doc_id, r.kept, r.host_rate) for r in judge(one).collect()} == {(1, True, None), (2, False, None), (3, False, None)}
+
+
 def test_mix_equals_its_definition(spark, rng, monkeypatch) -> None:
     rows = [(i, "w " * rng.randint(0, 30), rng.choice(["a", "a", "a", "b", "c", "Z", "é", None])) for i in range(400)]
     rows += [(5, "x y", "tiny"), (None, "x y z", "tiny"), (7, None, "none"), (8, "v " * 3000, "long"), (9, "v", "long")]
