@@ -191,7 +191,70 @@ SELECT node AS conv_id, depth, parent.node AS parent_conv_id, n_convs, n_childre
 FROM nodes JOIN sums USING (node, depth) LEFT JOIN (SELECT conv_id AS c, depth + 1 AS d, node FROM spots) parent ON parent.c = nodes.node AND parent.d = nodes.depth
 """
 
+JACCARD = f"""
+WITH RECURSIVE docs AS (
+    SELECT row_number() OVER () AS r, doc_id, {WORDS.format("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} AS w FROM documents
+), shingles AS (
+    SELECT DISTINCT r, array_to_string(w[i : i + 3], ' ') AS g
+    FROM (SELECT r, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS i FROM docs WHERE len(w) > 0)
+), sets AS (
+    SELECT r, count(*) AS n, string_agg(g, chr(10) ORDER BY g) AS s FROM shingles GROUP BY r
+), classes AS (  -- rows of one set, by the first of them
+    SELECT r, n, min(r) OVER (PARTITION BY s) AS c FROM sets
+), members AS (
+    SELECT c, any_value(n) AS n, count(*) AS copies FROM classes GROUP BY c
+), meets AS (
+    SELECT a.r AS a, b.r AS b, count(*) AS common FROM shingles a JOIN shingles b ON a.g = b.g AND a.r < b.r
+    WHERE a.r IN (SELECT c FROM members) AND b.r IN (SELECT c FROM members) GROUP BY a.r, b.r
+), links AS (
+    SELECT a, b FROM meets JOIN members x ON x.c = a JOIN members y ON y.c = b WHERE 100 * common >= 85 * (x.n + y.n - common)
+), both_ways AS (
+    SELECT a, b FROM links UNION ALL SELECT b, a FROM links
+), reach AS (
+    SELECT c AS a, c AS b FROM members UNION SELECT reach.a, both_ways.b FROM reach JOIN both_ways ON both_ways.a = reach.b
+), least_id AS (
+    SELECT reach.a AS c, min(doc_id) AS component_id FROM reach JOIN classes ON classes.c = reach.b JOIN docs USING (r) GROUP BY reach.a
+), degrees AS (
+    SELECT a AS c, sum(copies) AS others FROM both_ways JOIN members ON c = b GROUP BY a
+)
+SELECT doc_id, coalesce(classes.n, 0) AS n_shingles, coalesce(component_id, doc_id) AS component_id,
+    CAST(coalesce(copies - 1 + coalesce(others, 0), 0) AS BIGINT) AS n_links
+FROM docs LEFT JOIN classes USING (r) LEFT JOIN members USING (c) LEFT JOIN least_id USING (c) LEFT JOIN degrees USING (c)
+"""
+
+TOP = """
+WITH vectors AS (
+    SELECT row_number() OVER () AS r, vec_id, [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS c
+    FROM embeddings WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+    SELECT q.r, q.vec_id AS query_id, v.vec_id, CAST(list_inner_product(q.c, v.c) AS BIGINT) AS score
+    FROM vectors q JOIN vectors v ON q.r <> v.r AND len(q.c) = len(v.c) WHERE q.vec_id % 50 = 0
+)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM scored QUALIFY rank <= 5
+"""
+
+REPEATS = f"""
+WITH docs AS (
+    SELECT row_number() OVER () AS r, doc_id, {WORDS.format("text")} AS w FROM documents
+), windows AS (
+    SELECT r, doc_id, i, array_to_string(w[i : i + 12], ' ') AS g FROM (SELECT r, doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM docs)
+), earlier AS (
+    SELECT r, i FROM windows JOIN (SELECT g, min(doc_id) AS least FROM windows GROUP BY g) USING (g) WHERE doc_id > least OR doc_id IS NULL AND least IS NOT NULL
+), gone AS (
+    SELECT DISTINCT r, i + k AS i FROM earlier, range(13) t(k)
+), kept AS (
+    SELECT r, string_agg(word, ' ' ORDER BY i) AS text, count(*) AS n
+    FROM (SELECT r, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM docs) ANTI JOIN gone USING (r, i) GROUP BY r
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM docs LEFT JOIN kept USING (r)
+"""
+
 ORACLE: dict[str, str] = {
+    "op1_ngram_jaccard": JACCARD,
+    "op4_exact_top_k": TOP,
+    "op9_substring_dedup": REPEATS,
     "op12_merkle_manifest": MANIFEST,
     "op13_prefix_trie": TRIE,
     "op5_host_quality_rules": RULES,
