@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import parse_moment
 from ..operators.clean import (
+    CleaningCounts,
     clean_subscriptions,
     clean_transactions,
     clean_user_events,
@@ -48,10 +49,10 @@ USAGE_UPDATES = ["active_users", "total_events"]
 
 def load_user_events(
     warehouse: Warehouse, raw: DataFrame, profiles: DataFrame | None, run_ts: datetime,
-    order_by: Sequence[str] = ROW_ORDER,
+    order_by: Sequence[str] = ROW_ORDER, counts: CleaningCounts | None = None,
 ) -> int:
     """Cleans, enriches and upserts one batch of raw events."""
-    events = clean_user_events(raw, order_by)
+    events = clean_user_events(raw, order_by, counts)
     enriched = enrich_user_events(events, profiles, hot_from=raw)
     return warehouse.upsert("user_events", enriched, ["event_id"], EVENT_UPDATES, run_ts)
 
@@ -71,6 +72,7 @@ def run_etl(
     run_ts: datetime,
     since: datetime | None = None,
     upsert_subscriptions: bool = False,
+    report: dict[str, dict[str, int]] | None = None,
 ) -> dict[str, int]:
     """Loads the four sources of a folder; returns rows loaded per table.
 
@@ -80,32 +82,38 @@ def run_etl(
     sources that have a time column are read. Subscriptions already held stay as they are, even
     if the source has a later version of them; `upsert_subscriptions` updates them instead, and
     "since" then goes by when they changed.
+
+    `report`, if given, receives for each of the four sources how many rows its cleaning left after
+    each step and how many it rejected in all. The load's own jobs count them.
     """
     configure(spark)
+    counts = {} if report is None else {t: CleaningCounts() for t in ("user_profiles", "subscriptions", "transactions", "user_events")}
 
     def source(name: str, changed: bool = False) -> DataFrame:
         return read_source(spark, raw_dir, name, since, changed)
 
     def profiles() -> int:
-        cleaned = clean_user_profiles(source("user_profiles"), ROW_ORDER)
+        cleaned = clean_user_profiles(source("user_profiles"), ROW_ORDER, counts.get("user_profiles"))
         return warehouse.replace("user_profiles", cleaned, run_ts)
 
     def subscriptions() -> int:
-        cleaned = clean_subscriptions(source("subscriptions", upsert_subscriptions), ROW_ORDER, run_ts)
+        raw = source("subscriptions", upsert_subscriptions)
+        cleaned = clean_subscriptions(raw, ROW_ORDER, run_ts, counts.get("subscriptions"))
         key = ["subscription_id"]
         if upsert_subscriptions:
             return warehouse.upsert("subscriptions", cleaned, key, SUBSCRIPTION_UPDATES, run_ts)
         return warehouse.insert_new("subscriptions", cleaned, key, run_ts)
 
     def transactions() -> int:
-        cleaned = clean_transactions(source("transactions"), ROW_ORDER)
+        cleaned = clean_transactions(source("transactions"), ROW_ORDER, counts.get("transactions"))
         return warehouse.insert_new("transactions", cleaned, ["transaction_id"], run_ts)
 
     def profiles_then_events() -> tuple[int, int]:
         people = profiles()
         # The profiles just written: clean, one per user, of a size Spark knows from the files.
         known = warehouse.read("user_profiles") if people else None
-        return people, load_user_events(warehouse, source("user_events"), known, run_ts)
+        seen = counts.get("user_events")
+        return people, load_user_events(warehouse, source("user_events"), known, run_ts, counts=seen)
 
     def accounts() -> int | None:
         """Accounts are optional: a folder without them leaves the table as it is."""
@@ -127,6 +135,10 @@ def run_etl(
     }
     if companies is not None:
         loaded["accounts"] = companies
+    for table, watched in counts.items():
+        steps = watched.counts
+        report[table] = {**steps, "rejected": steps["read"] - steps["kept"]}
+        log.info("Cleaned %s: %s", table, report[table])
     for table, rows in loaded.items():
         log.info("Loaded %s rows to %s", f"{rows:,}", table)
     return loaded

@@ -155,3 +155,14 @@ def test_star_fills_plan_runs_from_the_day_before(spark, raw, warehouse):
     assert (runs[20240706], runs[20240805]) == (32, 62)
     signup = {r["date_key"]: r["days_since_signup"] for r in warehouse.read("fact_subscription_daily").collect()}
     assert signup[20240601] == 152
+
+
+def test_a_run_reports_what_its_cleaning_rejected(spark, raw, warehouse):
+    report: dict = {}
+    run_etl(spark, str(raw), warehouse, FIRST, report=report)
+    assert report["subscriptions"] == {"read": 2, "valid": 1, "kept": 1, "rejected": 1}
+    assert report["user_events"] == {"read": 2, "unique": 2, "kept": 2, "rejected": 0}
+    assert [report[t]["rejected"] for t in ("user_profiles", "transactions")] == [0, 0]
+    (raw / "transactions.json").unlink()
+    run_etl(spark, str(raw), warehouse, SECOND, report=report)
+    assert report["transactions"] == {"read": 0, "valid": 0, "kept": 0, "rejected": 0}

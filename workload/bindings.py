@@ -152,3 +152,19 @@ def raw(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
         for word in ("FROM", "JOIN"):
             text = text.replace(f"{word} {table}", f"{word} {{{table}}}")
     return spark.sql(text, **views)
+
+#: What the stored tables are compared by, as expressions that Spark and SQL share.
+CONTENTS = {
+    "user_profiles": ["user_id", "account_id", "email", "signup_source", "country", "role", "company_size", "industry"],
+    "subscriptions": ["subscription_id", "user_id", "plan_name", "status", "CAST(start_date AS DATE)", "CAST(monthly_revenue * 100 AS BIGINT)"],
+    "transactions": [
+        "transaction_id", "user_id", "subscription_id", "CAST(CAST(amount AS DECIMAL(10,2)) * 100 AS BIGINT)", "currency",
+        "transaction_type", "status", "CAST(transaction_date AS DATE)", "payment_method",
+    ],
+    "user_events": ["event_id", "user_id", "event_type", "session_id", "country", "signup_source", "company_size", "CAST(event_ts AS DATE)"],
+    "dim_date": ["date_key", "month_name", "quarter_name", "fiscal_year", "fiscal_quarter", "is_weekend"],
+    "dim_plan": ["plan_key", "plan_id", "plan_tier", "max_users"],
+    "dim_account": ["account_id", "country", "company_size", "industry"],
+    "fact_user_events": ["event_id", "user_id", "event_type", "session_id", "country", "date_key"],
+    "fact_subscription_daily": ["date_key", "plan_key", "subscription_status", "CAST(mrr * 100 AS BIGINT)"],
+}

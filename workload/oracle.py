@@ -6,7 +6,7 @@ expressions. Amounts come out as doubles and dates as text, like the queries the
 
 from __future__ import annotations
 
-from .bindings import BINDINGS
+from .bindings import BINDINGS, CONTENTS
 
 _RUN_TS = "TIMESTAMP '2024-02-01 00:00:00'"
 _NOW = "TIMESTAMP '2024-02-02 12:00:00'"
@@ -402,11 +402,21 @@ def _sum(column: str, name: str) -> str:
     return f"CAST(sum({column}) AS DOUBLE) AS {name}"
 
 
-_STORED_COUNTS = _all(
-    _counts("user_profiles", "subscriptions", "transactions", "user_events", "dim_date",
-            "dim_plan", "dim_account", "fact_user_events"),
-    "SELECT 'fact_subscription_daily', count(*) FROM snapshots",
-)
+def _told(table: str, columns: list[str]) -> str:
+    text = " || '|' || ".join(f"coalesce(CAST({c} AS VARCHAR), '~')" for c in columns)
+    source = "snapshots" if table == "fact_subscription_daily" else table
+    return (
+        f"SELECT '{table}' AS table_name, count(*) AS record_count, "
+        f"CAST(sum(CAST('0x' || md5({text})[1:8] AS BIGINT)) AS BIGINT) AS digest FROM {source}"
+    )
+
+
+def _rejects(table: str) -> str:
+    return (
+        f"SELECT '{table}' AS table_name, r.n AS read, k.n AS kept, r.n - k.n AS rejected "
+        f"FROM (SELECT count(*) AS n FROM raw_{table}) r, (SELECT count(*) AS n FROM {table}) k"
+    )
+
 
 _FROM_DAYS = ", ".join(
     f"CAST({c} AS VARCHAR) AS {c}"
@@ -538,8 +548,9 @@ SELECT * EXCLUDE (ingested_at) FROM user_events WHERE event_ts > {_SINCE}""",
     ),
     "etl_load": _with(
         f"{_WAREHOUSE_TABLES} dim_date dim_plan dim_account fact_user_events snapshots",
-        _STORED_COUNTS,
+        _all(*[_told(table, columns) for table, columns in CONTENTS.items()]),
     ),
+    "etl_rejects": _with(_WAREHOUSE_TABLES, _all(*[_rejects(t) for t in _WAREHOUSE_TABLES.split()])),
     "etl_incremental": _with(
         "user_events", "SELECT * EXCLUDE (ingested_at) FROM user_events"
     ),
