@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tables import staged
+from .tables import forget, staged
 
 
 def _jump(parent: DataFrame) -> DataFrame:
@@ -27,14 +27,21 @@ def components(links: DataFrame) -> DataFrame:
     links = staged(links.select("a", "b").where("a != b").distinct(), "links")
     names = links.select(F.col("a").alias("node")).unionByName(links.select(F.col("b").alias("node")))
     label = names.distinct().select("node", F.col("node").alias("comp"))
+    first, parents = links, []
     while not links.isEmpty():
         both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
         near = both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("_b"))
-        parent = staged(near.select("node", F.least("node", "_b").alias("parent")), "parents")
-        parent = staged(_jump(_jump(parent)), "parents")
+        nearest = staged(near.select("node", F.least("node", "_b").alias("parent")), "parents")
+        parent = staged(_jump(_jump(nearest)), "parents")
+        forget(nearest)
+        parents.append(parent)
         pa, pb = (parent.select(F.col("node").alias(k), F.col("parent").alias(f"p{k}")) for k in "ab")
         drawn = links.join(pa, "a").join(pb, "b").select(F.col("pa").alias("a"), F.col("pb").alias("b"))
-        links = staged(drawn.where("a != b").distinct(), "links")
+        before, links = links, staged(drawn.where("a != b").distinct(), "links")
+        if before is not first:
+            forget(before)
         moved = parent.select(F.col("node").alias("comp"), "parent")
         label = label.join(moved, "comp", "left").select("node", F.coalesce("parent", "comp").alias("comp"))
-    return staged(label, "components")
+    out = staged(label, "components")
+    forget(first, links, *parents)
+    return out

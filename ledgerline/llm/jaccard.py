@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import components
-from .tables import maybe_in, staged
+from .tables import forget, maybe_in, staged
 from .words import U, blocks, mix, powers, signed, words_of
 
 
@@ -386,14 +386,18 @@ def near_duplicates(
     stays = alike.groupBy("_x", "_s", "_n").agg(F.min("sig").alias("sig")).select("sig")
     bucket = member.join(stays, "sig", "left_semi").join(classes.select("fp1", "node"), "fp1").select("sig", "node")
     bucket = staged(bucket, "buckets")
+    forget(member)
     texts = _texts(docs, bucket, classes, id_column, text_column, like)
     comps = _linked(bucket, texts, like)
     joined = classes.join(comps, "node", "left").select("fp1", "fp2", "rep", "copies", F.coalesce("comp", "node").alias("comp"), F.col("comp").isNotNull().alias("_linked"))
     joined = staged(joined.where("_linked OR copies > 1"), "joined")
+    if not count_links:
+        forget(texts, comps)
     least = joined.groupBy("comp").agg(F.min("rep").alias("component_id"))
     found = joined.join(least, "comp").select("fp1", "fp2", "component_id", "copies")
     if count_links:
         linked = staged(link_counts(comps, classes, texts, like), "linked")
+        forget(texts, comps)
         linked = classes.select("fp1", "fp2", "node").join(linked, "node").drop("node")
         found = found.join(linked, ["fp1", "fp2"], "left").withColumn("n_links", F.col("copies") - 1 + F.coalesce("linked", F.lit(0)))
     component = F.when(F.col("copies").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")
@@ -424,7 +428,9 @@ def _texts(docs: DataFrame, bucket: DataFrame, classes: DataFrame, id_column: st
     own = some.select("text").mapInArrow(run, f"{kinds}text binary")
     keyed = own.join(nodes.select("fp1", "fp2", "node"), ["fp1", "fp2"])
     one = keyed.groupBy("node").agg(F.min(F.struct("text", "n", *SKETCHES)).alias("_t"))
-    return staged(one.select("node", "_t.*"), "texts")
+    out = staged(one.select("node", "_t.*"), "texts")
+    forget(nodes)
+    return out
 
 
 #: The rest of all buckets is compared at once when it takes no more pairs than this for each member.
@@ -436,34 +442,27 @@ def _linked(bucket: DataFrame, texts: DataFrame, like: Similarity) -> DataFrame:
 
     In each round some members of every bucket, first those that stand in most buckets, are held
     against all members of other components. They are then done: whatever they link with is known.
+    Members have a place in their bucket from the start, so that what is done is a range of places.
     A bucket ends when the members that are not done are of one component. When few pairs are left
     all are compared, else the number taken grows fourfold; no pair that may link is left out.
     """
-    often = bucket.groupBy("node").agg(F.count(F.lit(1)).alias("often"))
-    carried = ["node", "often", "n", *SKETCHES]
-    sketched = bucket.join(often, "node").join(texts.drop("text"), "node")
+    often = bucket.groupBy("node").agg(F.count(F.lit(1)).alias("_often"))
+    order = Window.partitionBy("sig").orderBy(F.desc("_often"), "node")
+    placed = bucket.join(often, "node").select("sig", "node", F.row_number().over(order).alias("place"))
+    carried = ["node", "place", "n", *SKETCHES]
+    sketched = placed.join(texts.drop("text"), "node")
     rest = staged(sketched.select("sig", *carried, F.col("node").alias("comp")), "rest")
-    comps, take, final = None, 1, False
-
-    def reps(of: str) -> list[Column]:
-        named = {"rep": "node", **{f"rep_{c}": c for c in ("comp", "n", *SKETCHES)}}
-        return [F.col(of + column).alias(name) for name, column in named.items()]
+    comps, done, take, final = None, 0, 1, False
+    named = {"rep": "node", **{f"rep_{c}": c for c in ("comp", "n", *SKETCHES)}}
+    reps = [F.col(column).alias(name) for name, column in named.items()]
 
     while not rest.isEmpty():
         if final:
             sizes = rest.groupBy("sig", "comp").agg(F.count(F.lit(1)).alias("_n"))
             largest = sizes.groupBy("sig").agg(F.max(F.struct("_n", "comp")).alias("_l")).select("sig", F.col("_l.comp").alias("_largest"))
-            few = rest.join(largest, "sig").where("comp != _largest")
-            first = few.select("sig", *reps(""))
+            first = rest.join(largest, "sig").where("comp != _largest").select("sig", *reps)
         else:
-            if take == 1:
-                first = rest.groupBy("sig").agg(F.max(F.struct("often", "node", "comp", "n", *SKETCHES)).alias("_r"))
-                first = first.select("sig", *reps("_r."))
-            else:
-                order = Window.partitionBy("sig").orderBy(F.desc("often"), "node")
-                first = rest.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= take)
-                first = first.select("sig", *reps(""))
-            first = staged(first, "representatives")
+            first = rest.where(F.col("place") <= done + take).select("sig", *reps)
         # Pairs whose sketches differ too much are no rows of the join.
         apart = " + ".join(f"bit_count({c} ^ rep_{c})" for c in SKETCHES)
         may = F.expr(f"comp != rep_comp AND {apart} <= {like.den - like.num} * (n + rep_n) DIV {like.den + like.num}")
@@ -477,19 +476,30 @@ def _linked(bucket: DataFrame, texts: DataFrame, like: Similarity) -> DataFrame:
             drawn = found.join(ca, "a", "left").join(cb, "b", "left")
             added = components(drawn.select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")))
             known = comps.unionByName(added.select("node", F.col("node").alias("comp")).join(comps, "node", "left_anti"))
-            added = added.select(F.col("node").alias("comp"), F.col("comp").alias("_to"))
-            comps = staged(known.join(added, "comp", "left").select("node", F.coalesce("_to", "comp").alias("comp")), "components")
+            moved = added.select(F.col("node").alias("comp"), F.col("comp").alias("_to"))
+            before, comps = comps, staged(known.join(moved, "comp", "left").select("node", F.coalesce("_to", "comp").alias("comp")), "components")
+            forget(before, added)
+        forget(found)
         if final:
             break
-        left = rest.drop("comp").join(first.select("sig", F.col("rep").alias("node")), ["sig", "node"], "left_anti")
-        left = left.join(comps, "node", "left").select("sig", *carried, F.coalesce("comp", "node").alias("comp"))
-        left = staged(left, "rest")
-        sizes = left.groupBy("sig", "comp").agg(F.count(F.lit(1)).alias("_n")).groupBy("sig")
-        several = sizes.agg(F.sum("_n").alias("_all"), F.sum(F.col("_n") * F.col("_n")).alias("_same"), F.count(F.lit(1)).alias("_c")).where("_c > 1")
-        several = staged(several, "several")
+        done, take = done + take, take * 4
+        left = rest.where(F.col("place") > done).drop("comp").join(comps, "node", "left")
+        left = staged(left.select("sig", *carried, F.coalesce("comp", "node").alias("comp")), "left")
+        forget(rest)
+        members = F.bit_xor(F.xxhash64("node")).alias("_x"), F.sum(F.xxhash64("node", F.lit(1)).bitwiseAND(F.lit(2**40 - 1))).alias("_s")
+        sizes = left.groupBy("sig", "comp").agg(F.count(F.lit(1)).alias("_n"), *members).groupBy("sig")
+        several = sizes.agg(
+            F.sum("_n").alias("_all"), F.sum(F.col("_n") * F.col("_n")).alias("_same"), F.count(F.lit(1)).alias("_c"), F.bit_xor("_x").alias("_x"), F.sum("_s").alias("_s")
+        ).where("_c > 1")
+        # Buckets that have come to hold the same members say the same: one of them stays.
+        several = several.groupBy("_x", "_s", "_all", "_same").agg(F.min("sig").alias("sig"))
+        several = staged(several.select("sig", "_all", "_same"), "several")
         open_ = several.agg(F.sum("_all"), F.sum(F.col("_all") * F.col("_all") - F.col("_same"))).first()
-        rest = left.join(several.select("sig"), "sig", "left_semi")
+        rest = staged(left.join(several.select("sig"), "sig", "left_semi"), "rest")
+        forget(left, several)
         final = (open_[1] or 0) <= 2 * PAIRS_PER_MEMBER * (open_[0] or 0)
-        rest = staged(rest, "rest")
-        take *= 4
-    return bucket.select("node", F.col("node").alias("comp")).limit(0) if comps is None else comps
+    forget(rest)
+    if comps is None:
+        return bucket.select("node", F.col("node").alias("comp")).limit(0)
+    forget(bucket)
+    return comps

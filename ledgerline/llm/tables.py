@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import shared_folder
+from ..sources.paths import remove
 
 #: White space between words: space and the characters 9 to 13.
 SPACES = " \t\n\x0b\f\r"
@@ -19,7 +20,17 @@ def staged(df: DataFrame, purpose: str) -> DataFrame:
     """`df` written once to the shared folder and read back: later steps recompute nothing of it."""
     path = shared_folder(df.sparkSession, purpose)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    back = df.sparkSession.read.schema(df.schema).parquet(path)
+    back._staged_at = path
+    return back
+
+
+def forget(*tables: DataFrame) -> None:
+    """Removes staged tables whose consumers have all been written; other DataFrames are passed over."""
+    for df in tables:
+        path = getattr(df, "_staged_at", None)
+        if path:
+            remove(df.sparkSession, path)
 
 
 def count_up_to(df: DataFrame, most: int) -> int:
