@@ -78,14 +78,14 @@ class KeyIndex:
         for old in range(n + 1):
             remove(self.spark, f"{self.folder}/g{old}")
 
-    def find(self, batch: DataFrame) -> DataFrame:
+    def find(self, batch: DataFrame, rows: int | None = None) -> DataFrame:
         """Entries of the keys of `batch`, from the folders these keys fall into."""
         path, buckets = self._current()
         entries = self._read(path, batch)
         if buckets > 1:
             asked = batch.select(self._bucket(buckets).alias("b")).distinct().collect()
             entries = entries.where(F.col(_BUCKET).isin(*[row["b"] for row in asked]))
-        return rows_in(entries.drop(_BUCKET), batch, self.keys)
+        return rows_in(entries.drop(_BUCKET), batch, self.keys, rows)
 
     def add(self, rows: DataFrame, found: DataFrame) -> None:
         """Lists `rows`, but for entries that `found` has."""

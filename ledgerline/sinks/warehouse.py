@@ -227,16 +227,17 @@ class Warehouse:
         if self._is_empty(table):
             return self.write(table, prepared, sequence=sequence)
         with self._staged(table, prepared) as staged:
-            if staged.isEmpty():
+            size = staged.count()
+            if size == 0:
                 log.warning("No data to load to %s", table)
                 return 0
             held, index = self.read(table), self._index(table, keys)
             if index is None:
-                return self.write(table, rows_not_in(held, staged, keys), sequence=sequence)
-            found = index.find(staged)
+                return self.write(table, rows_not_in(held, staged, keys, size), sequence=sequence)
+            found = index.find(staged, size)
             held = self._in_partitions(table, held, self._partitions(found, PARTITION_COLUMN[table]))
             index.add(staged, found)
-            return self.write(table, rows_not_in(held, staged, keys), sequence=sequence, listed=True)
+            return self.write(table, rows_not_in(held, staged, keys, size), sequence=sequence, listed=True)
 
     def upsert(
         self,
@@ -260,13 +261,14 @@ class Warehouse:
             if size == 0:
                 log.warning("No data to load to %s", table)
             elif table in PARTITION_COLUMN:
-                self._upsert_partitions(table, staged, keys, update_columns)
+                self._upsert_partitions(table, staged, keys, update_columns, size)
             else:
-                self.write(table, upserted(self.read(table), staged, keys, update_columns), "replace")
+                merged = upserted(self.read(table), staged, keys, update_columns, size)
+                self.write(table, merged, "replace")
             return size
 
     def _upsert_partitions(
-        self, table: str, batch: DataFrame, keys: Sequence[str], update_columns: Sequence[str]
+        self, table: str, batch: DataFrame, keys: Sequence[str], update_columns: Sequence[str], size: int
     ) -> None:
         column = PARTITION_COLUMN[table]
         target = self.read(table)
@@ -277,14 +279,14 @@ class Warehouse:
         if column not in keys:
             held = target
             if index is not None:
-                found = index.find(batch)
+                found = index.find(batch, size)
                 held = self._in_partitions(table, target, self._partitions(found, column) - coming)
                 index.add(batch, found)
-            moved_from = rows_in(held.select(*keys, column), batch, keys)
+            moved_from = rows_in(held.select(*keys, column), batch, keys, size)
             leaving = self._partitions(moved_from, column) - coming
         touched = target.where(F.col(column).isin(*coming, *leaving))
         updates = [*update_columns, *([] if column in keys else [column])]
-        merged = upserted(touched, batch, keys, updates)
+        merged = upserted(touched, batch, keys, updates, size)
         # A partition all of whose rows moved elsewhere gets no new files, hence no overwrite.
         # Files that stand now in the days that change tell later whether the swap took place.
         before = {str(v): self._files(table, v) for v in (coming | leaving)}

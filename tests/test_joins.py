@@ -13,6 +13,7 @@ from ledgerline.operators import (
     with_dense_keys,
 )
 from ledgerline.operators.lookup import HOT_KEYS, hot_keys
+from ledgerline.operators import merge
 from plans import plan_of
 
 
@@ -178,3 +179,20 @@ def test_rows_not_in_gives_the_same_rows_on_either_path(spark, no_broadcast):
     got = sorted(tuple(r) for r in rows_not_in(target, batch, ["k"]).collect())
     assert got == [("b", 5), ("b", 6)]
     assert plan_of(rows_not_in(target, batch, ["k"])).count("SortMergeJoin") == 1
+
+
+def test_many_rows_upserted_at_once_give_the_rows_of_few(spark, monkeypatch):
+    columns = "a string, b int, v int, w string, ingested_at int"
+    target = spark.createDataFrame(
+        [("x", 1, 1, "late", 2), ("x", 1, 2, "early", 1), ("x", 1, 3, None, 1), (None, 1, 4, "n", 1),
+         (None, 1, 5, "n2", None), ("y", None, 6, "kept", 1), ("y", None, 6, "kept", 1), ("z", 2, 7, None, None)],
+        columns,
+    )
+    batch = spark.createDataFrame(
+        [("x", 1, 11, "new", 9), (None, 1, 12, "new", 9), ("z", 2, 13, "new", 9), ("z", None, 14, "new", 9)], columns
+    )
+    few = sorted(map(str, upserted(target, batch, ["a", "b"], ["v"], 4).collect()))
+    monkeypatch.setattr(merge, "BROADCAST_ROWS", 3)
+    many = upserted(target, batch, ["a", "b"], ["v"], 4)
+    assert plan_of(many).count("Exchange hashpartitioning") == 1
+    assert sorted(map(str, many.collect())) == few and len(few) == 6

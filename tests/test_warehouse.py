@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ledgerline.plans.pipeline import EVENT_UPDATES, SUBSCRIPTION_UPDATES
 from ledgerline.schemas import TABLES
 from ledgerline.sinks import Warehouse
+from plans import plan_of
 
 FIRST, SECOND = datetime(2024, 1, 1), datetime(2024, 1, 2)
 
@@ -297,3 +298,24 @@ def test_null_keys_are_idempotent(spark, warehouse):
     later = events(spark, (None, "b", "2024-01-09"))
     warehouse.upsert("user_events", later, ["event_id"], EVENT_UPDATES, SECOND)
     assert warehouse.read("user_events").count() == 2
+
+
+def test_upsert_of_many_dense_keys_is_not_broadcast(spark, warehouse, monkeypatch):
+    """Their files are tiny, so that Spark takes them for small; in memory they are not."""
+    rows = spark.range(200_000).select(
+        F.lit(20240101).alias("date_key"), F.col("id").alias("account_key"), F.lit("active").alias("subscription_status")
+    )
+    plans, write = [], Warehouse.write
+
+    def watched(self, table, df, *args, **kwargs):
+        plans.append(plan_of(df))
+        return write(self, table, df, *args, **kwargs)
+
+    monkeypatch.setattr(Warehouse, "write", watched)
+    keys = ["date_key", "account_key"]
+    warehouse.upsert("fact_subscription_daily", rows, keys, ["subscription_status"], FIRST)
+    later = rows.withColumn("subscription_status", F.lit("cancelled")).where("account_key >= 50000")
+    assert warehouse.upsert("fact_subscription_daily", later, keys, ["subscription_status"], SECOND) == 150_000
+    assert "BroadcastExchange" not in plans[-1]
+    counts = warehouse.read("fact_subscription_daily").groupBy("subscription_status").count().collect()
+    assert sorted(tuple(r) for r in counts) == [("active", 50_000), ("cancelled", 150_000)]
