@@ -165,12 +165,20 @@ def _suffix(path: str) -> str:
     return name.rsplit(".", 1)[-1].lower() if "." in name else ""
 
 
-def _with_row_order(df: DataFrame, suffix: str) -> DataFrame:
+def _file_below(path: str) -> Column:
+    """The file of a row without what all files of `path` begin with: it travels with every row."""
+    name = path.rstrip("/").rsplit("/", 1)[-1] + "/"
+    file = F.col("_metadata.file_path")
+    at = F.instr(file, name)  # the first place, hence the same one in all files of the folder
+    return F.when(at > 0, file.substr(at + F.lit(len(name)), F.length(file))).otherwise(file)
+
+
+def _with_row_order(df: DataFrame, suffix: str, path: str) -> DataFrame:
     inner = F.col("_metadata.row_index") if suffix == "parquet" else F.monotonically_increasing_id()
     kept = [F.col(f"`{c}`") for c in df.columns if c != "_metadata"]
     return df.select(
         *kept,
-        F.col("_metadata.file_path").alias("_src_file"),
+        _file_below(path).alias("_src_file"),
         F.col("_metadata.file_block_start").alias("_src_block"),
         inner.alias("_src_row"),
     )
@@ -204,7 +212,7 @@ def read_file(
     if since is not None and time_column is not None:
         df = _later_than(df, time_column, since, strict_time)
     if row_order:
-        return _with_row_order(df, suffix)
+        return _with_row_order(df, suffix, path)
     return df.drop("_metadata")
 
 

@@ -178,3 +178,21 @@ def test_shared_folder_needs_a_setting_on_a_cluster():
     assert shared_folder(Session(), "x").startswith("hdfs:///shared/x-")
     Session.conf = Conf({"spark.master": "local[2]"})
     assert "/x-" in shared_folder(Session(), "x")
+
+
+def test_row_order_names_files_below_the_folder_only(spark, tmp_path):
+    folder = str(tmp_path / "user_events.parquet")
+    spark.range(4).repartition(2).write.parquet(folder)
+    rows = read_file(spark, folder, row_order=True)
+    files = [r[0] for r in rows.select("_src_file").distinct().collect()]
+    assert len(files) == 2 and all(f.startswith("part-") for f in files)
+
+
+def test_raw_files_hold_all_copies_of_a_row_together_in_source_order(spark, sf):
+    from workload.queries import Tables, raw_folder
+
+    folder = raw_folder(Tables(spark, sf))
+    rows = read_file(spark, f"{folder}/transactions.parquet", row_order=True)
+    assert not {"ord1", "ord2"} & set(rows.columns)
+    spread = rows.groupBy("transaction_id").agg(F.count_distinct("_src_file").alias("files"), F.count("*").alias("n"))
+    assert spread.where("files > 1").isEmpty() and not spread.where("n > 1").isEmpty()
