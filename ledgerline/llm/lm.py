@@ -23,8 +23,9 @@ from .words import U, Words, blocks, mix, words_of
 END, BEGIN = U(0x656E64), U(0x626567)
 #: Bits of the filter for each entry, bits an entry sets, highest level (of counts from 2^47 on).
 BITS, SET, LEVELS = 10, 5, 48
-#: Bytes of text whose n-grams are counted before they are sent.
-BLOCK_BYTES = 16_000_000
+#: Bytes of text whose n-grams are counted before they are sent, and that are split into words at a time:
+#: while that goes on, each byte takes about 30.
+BLOCK_BYTES, WORD_BYTES = 4_000_000, 1_000_000
 
 
 def tokens_of(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -125,7 +126,7 @@ def ngram_slices(texts: DataFrame, parts: int) -> DataFrame:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for big in blocks(batches, "text", BLOCK_BYTES):
             found: tuple[list, list] = ([], [])
-            for b in blocks(iter([big]), "text"):
+            for b in blocks(iter([big]), "text", WORD_BYTES):
                 token, before, _ = tokens_of(words_of(b.column("text"), lower=True))
                 for keys, out in ((token, found[0]), (pair_of(before, token), found[1])):
                     out.append(np.unique(keys, return_counts=True))
@@ -216,7 +217,7 @@ def score_texts(
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             known = Filter(*filter_.value)
             vocabulary = Vocabulary(*words.value) if exact else None
-            for b in blocks(batches, "text"):
+            for b in blocks(batches, "text", WORD_BYTES):
                 token, before, counts = tokens_of(words_of(b.column("text"), lower=True))
                 once, back = np.unique(token, return_inverse=True)
                 single = known.levels(once)[back]
@@ -277,7 +278,7 @@ def _carrying_row(state: DataFrame, run, id_kind: str, exact: bool) -> DataFrame
         return state.mapInArrow(run, f"doc_id {id_kind}, held_out boolean, text string, levels binary")
 
     def with_row(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in blocks(batches, "text"):
+        for b in blocks(batches, "text", WORD_BYTES):
             for out in run(iter([b])):
                 yield out.append_column("row", b.column("row"))
 
@@ -288,7 +289,7 @@ def _base_by_join(given: DataFrame, slices: DataFrame, total: int, types: int) -
     """(row, n_known, base_score) with exact counts met by a shuffle on the token."""
 
     def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in blocks(batches, "text"):
+        for b in blocks(batches, "text", WORD_BYTES):
             token, _, counts = tokens_of(words_of(b.column("text"), lower=True))
             row = np.repeat(np.arange(b.num_rows), counts)
             order = np.lexsort((token, row))

@@ -105,3 +105,26 @@ def test_filter_reads_back_levels() -> None:
     assert (new > 0).mean() < 0.03
     assert count_of(np.array([0, 1, 2, 3])).tolist() == [0, 1, 2.5, 5.5]
     assert BEGIN
+
+
+def test_memory_of_counting_is_bounded(monkeypatch) -> None:
+    """A worker that counts 16 MB of texts, and the counts it sends, take a fraction of what they took at once."""
+    import tracemalloc
+    from types import SimpleNamespace
+
+    import pyarrow as pa
+
+    from ledgerline.llm.lm import ngram_slices
+
+    steps = []
+    frame = SimpleNamespace(select=lambda *a: frame, repartition=lambda *a: frame, sortWithinPartitions=lambda *a: frame)
+    frame.mapInArrow = lambda f, schema: (steps.append(f), frame)[1]
+    ngram_slices(frame, 50)
+    drawn = np.random.default_rng(5).integers(0, 10**6, (2000, 1000))
+    batch = pa.RecordBatch.from_pydict({"text": [" ".join(map(str, row)) for row in drawn.tolist()]})
+    tracemalloc.start()
+    entries = sum(sum(len(x) // 8 for x in out.column("keys").to_pylist()) for out in steps[0](iter([batch])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert entries > 3_000_000
+    assert peak < 100_000_000
