@@ -16,7 +16,7 @@ from ledgerline.llm.mixing import mixed
 from ledgerline.llm.packing import pack
 from ledgerline.llm.queries import GOOD, TOKENIZERS, quality_model
 from ledgerline.llm.substrings import remove_repeats
-from ledgerline.llm.tables import staged, table
+from ledgerline.llm.tables import OWN_COLUMNS, rows_without, staged, table
 
 
 def apart(docs: DataFrame, names: set[str]) -> dict[str, str]:
@@ -53,7 +53,7 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     except AnalysisException:
         docs = staged(docs, "near-copies")
         place = docs.metadataColumn("_metadata")
-    own = apart(docs, {"_file", "_row"})
+    own = apart(docs, {"_file", "_row", *OWN_COLUMNS})
     placed = docs.select(
         *[F.col(f"`{c}`").alias(new) for c, new in own.items()],
         F.xxhash64(place["file_path"]).alias("_file"),
@@ -61,8 +61,8 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     )
     name = F.struct(F.col("doc_id").isNull(), "doc_id", "_file", "_row")
     found = near_duplicates(placed.select(name.alias("name"), "text"), Similarity(5, 80, 100), "name", "text", count_links=False)
-    first = found.where("doc_id = component_id").select("doc_id._file", "doc_id._row")
-    kept = placed.join(first, ["_file", "_row"], "left_semi")
+    gone = staged(found.where("doc_id != component_id").select("doc_id._file", "doc_id._row"), "copies")
+    kept = rows_without(placed, gone, ["_file", "_row"])
     return kept.select(*[F.col(f"`{new}`").alias(c) for c, new in own.items()])
 
 

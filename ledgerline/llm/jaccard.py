@@ -14,7 +14,8 @@ verified on their texts.
 Exact copies collapse to one set before. Candidate buckets are resolved against representatives, in
 rounds: a bucket is finished when what is left of it is one component, so that thousands of mutual
 near copies cost thousands of comparisons rather than millions. Before texts are fetched, parity
-sketches bound from below in how many elements two sets differ, which is an exact filter too.
+sketches bound from below in how many elements two sets differ, which is an exact filter too: first
+short ones of one length, then ones that grow with the set, so that long texts are told apart as well.
 """
 
 from __future__ import annotations
@@ -218,6 +219,31 @@ def parities(hashes: np.ndarray, sizes: np.ndarray) -> list[np.ndarray]:
     return [np.ascontiguousarray(words[:, i]) for i in range(SKETCH)]
 
 
+def cells_of(hashes: np.ndarray, sizes: np.ndarray) -> list[bytes]:
+    """A parity sketch of each set with as many cells as the set has elements, rounded up to a power of 2."""
+    wide = np.maximum(64, 2 ** np.ceil(np.log2(np.maximum(sizes, 1))).astype(np.int64))
+    owner, ends = np.repeat(np.arange(len(sizes)), sizes), np.cumsum(wide)
+    cell = (mix(hashes, 82) & (wide - 1).astype(np.uint64)[owner]).astype(np.int64)
+    odd = np.bincount((ends - wide)[owner] + cell, minlength=int(wide.sum())) & 1
+    packed = np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+    return [packed[(e - w) // 8 : e // 8] for e, w in zip(ends.tolist(), wide.tolist(), strict=True)]
+
+
+def least_difference(x: bytes, y: bytes) -> int:
+    """In how many elements two sets differ at least, by the sketches of `cells_of`.
+
+    Cells are the last bits of a hash, so that the halves of a longer sketch laid over each other are
+    the sketch of half its length.
+    """
+    if len(x) < len(y):
+        x, y = y, x
+    a, b, width = int.from_bytes(x, "little"), int.from_bytes(y, "little"), 8 * len(x)
+    while width > 8 * len(y):
+        width //= 2
+        a = (a >> width) ^ (a & ((1 << width) - 1))
+    return (a ^ b).bit_count()
+
+
 def document_sets(docs: DataFrame, like: Similarity, id_column: str, text_column: str) -> DataFrame:
     """(doc_id, n_shingles, fp1, fp2) of every document; a document without words has no fingerprint."""
 
@@ -266,6 +292,20 @@ def _shingles(text: bytes, k: int) -> set:
     return set(zip(*[w[i:] for i in range(k)], strict=False))
 
 
+def _close(pairs: DataFrame, sketches: DataFrame, like: Similarity) -> DataFrame:
+    """Those of `pairs` (a, b) whose sketches do not rule out that they link."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            na, ca, nb, cb = (batch.column(c).to_pylist() for c in ("na", "ca", "nb", "cb"))
+            keep = [least_difference(x, y) <= like.differ(r, s) for r, x, s, y in zip(na, ca, nb, cb, strict=True)]
+            chosen = batch.filter(pa.array(keep, pa.bool_()))
+            yield pa.RecordBatch.from_arrays([chosen.column("a"), chosen.column("b")], names=["a", "b"])
+
+    sa, sb = (sketches.select(F.col("node").alias(k), F.col("n").alias(f"n{k}"), F.col("cells").alias(f"c{k}")) for k in "ab")
+    return pairs.join(sb, "b").join(sa, "a").select("a", "b", "na", "ca", "nb", "cb").mapInArrow(run, "a binary, b binary")
+
+
 def _verified(pairs: DataFrame, texts: DataFrame, like: Similarity) -> DataFrame:
     """Those of `pairs` (a, b) whose texts link. Texts carry the sizes and shingles that count."""
 
@@ -327,7 +367,7 @@ def link_counts(comps: DataFrame, classes: DataFrame, texts: DataFrame, like: Si
     every two blocks meet once, so that each pair is verified once. Pairs are no rows: a task holds
     two blocks at a time and gives one sum for each of their texts.
     """
-    members = comps.join(texts.select("node", "text"), "node").join(classes.select("node", "copies"), "node")
+    members = comps.join(texts, "node").join(classes.select("node", "copies"), "node")
     parts = members.groupBy("comp").agg(
         F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum(F.length("text")) / BLOCK_BYTES)).cast("int").alias("_parts")
     )
@@ -387,17 +427,22 @@ def near_duplicates(
     bucket = member.join(stays, "sig", "left_semi").join(classes.select("fp1", "node"), "fp1").select("sig", "node")
     bucket = staged(bucket, "buckets")
     forget(member)
-    texts = _texts(docs, bucket, classes, id_column, text_column, like)
-    comps = _linked(bucket, texts, like)
+    nodes = bucket.select("node").distinct().join(classes, "node").select("node", "fp1", "fp2", F.col("rep").alias("doc_id"))
+    nodes = staged(nodes, "nodes")
+    given = docs.select(F.col(f"`{id_column}`").alias("doc_id"), F.col(f"`{text_column}`").cast("string").alias("text"))
+    sketches = _sketches(given, nodes, like)
+    comps = _linked(bucket, given, nodes, sketches, like)
+    forget(sketches)
     joined = classes.join(comps, "node", "left").select("fp1", "fp2", "rep", "copies", F.coalesce("comp", "node").alias("comp"), F.col("comp").isNotNull().alias("_linked"))
     joined = staged(joined.where("_linked OR copies > 1"), "joined")
     if not count_links:
-        forget(texts, comps)
+        forget(nodes, comps)
     least = joined.groupBy("comp").agg(F.min("rep").alias("component_id"))
     found = joined.join(least, "comp").select("fp1", "fp2", "component_id", "copies")
     if count_links:
+        texts = _texts(given, nodes, comps, like)
         linked = staged(link_counts(comps, classes, texts, like), "linked")
-        forget(texts, comps)
+        forget(nodes, texts, comps)
         linked = classes.select("fp1", "fp2", "node").join(linked, "node").drop("node")
         found = found.join(linked, ["fp1", "fp2"], "left").withColumn("n_links", F.col("copies") - 1 + F.coalesce("linked", F.lit(0)))
     component = F.when(F.col("copies").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")
@@ -405,30 +450,42 @@ def near_duplicates(
     return sets.join(found, ["fp1", "fp2"], "left").select("doc_id", "n_shingles", component, *counts)
 
 
-def _texts(docs: DataFrame, bucket: DataFrame, classes: DataFrame, id_column: str, text_column: str, like: Similarity) -> DataFrame:
-    """(node, text, n, s0..) of every set that shares a signature: one document's text, size, sketch.
+def _rows_of(given: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The texts of documents that `nodes` name, and few others: a bounded filter keeps most out of the shuffle."""
+    name = F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
+    return maybe_in(given.withColumn("doc_id", name), "doc_id", nodes.select(name.alias("_key")), "_key").select("text")
 
-    A bounded filter keeps most other texts out of the shuffle.
-    """
-    nodes = bucket.select("node").distinct().join(classes, "node").select("node", "fp1", "fp2", F.col("rep").alias("doc_id"))
-    nodes = staged(nodes, "nodes")
-    given = docs.select(F.col(f"`{id_column}`").alias("doc_id"), F.col(f"`{text_column}`").cast("string").alias("text"))
+
+def _sketches(given: DataFrame, nodes: DataFrame, like: Similarity) -> DataFrame:
+    """(node, n, s0.., cells): size and sketches of every set that shares a signature."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in blocks(batches, "text"):
             hashes, sizes = shingle_sets(b.column("text"), like.k)
             columns = [*fingerprints(hashes, sizes), *parities(hashes, sizes)]
             yield pa.RecordBatch.from_arrays(
-                [*map(signed, columns), pa.array(sizes.astype(np.int64)), b.column("text").cast(pa.binary())],
-                names=["fp1", "fp2", *SKETCHES, "n", "text"],
+                [*map(signed, columns), pa.array(sizes.astype(np.int64)), pa.array(cells_of(hashes, sizes), pa.binary())],
+                names=["fp1", "fp2", *SKETCHES, "n", "cells"],
             )
 
-    some = maybe_in(given.withColumn("doc_id", F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))), "doc_id", nodes.select(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")).alias("_key")), "_key")
     kinds = "".join(f"{c} long, " for c in ("fp1", "fp2", *SKETCHES, "n"))
-    own = some.select("text").mapInArrow(run, f"{kinds}text binary")
-    keyed = own.join(nodes.select("fp1", "fp2", "node"), ["fp1", "fp2"])
-    one = keyed.groupBy("node").agg(F.min(F.struct("text", "n", *SKETCHES)).alias("_t"))
-    out = staged(one.select("node", "_t.*"), "texts")
+    own = _rows_of(given, nodes).mapInArrow(run, f"{kinds}cells binary")
+    one = own.groupBy("fp1", "fp2").agg(F.min(F.struct("n", *SKETCHES, "cells")).alias("_t"))
+    return staged(one.join(nodes.drop("doc_id"), ["fp1", "fp2"]).select("node", "_t.*"), "sketches")
+
+
+def _texts(given: DataFrame, nodes: DataFrame, asked: DataFrame, like: Similarity) -> DataFrame:
+    """(node, text) of the nodes in `asked`: one document's text each. The documents are read anew."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in blocks(batches, "text"):
+            hashes, sizes = shingle_sets(b.column("text"), like.k)
+            yield pa.RecordBatch.from_arrays([*map(signed, fingerprints(hashes, sizes)), b.column("text").cast(pa.binary())], names=["fp1", "fp2", "text"])
+
+    nodes = staged(nodes.join(asked.select("node").distinct(), "node", "left_semi"), "asked")
+    own = _rows_of(given, nodes).mapInArrow(run, "fp1 long, fp2 long, text binary")
+    one = own.groupBy("fp1", "fp2").agg(F.min("text").alias("text"))
+    out = staged(one.join(nodes.drop("doc_id"), ["fp1", "fp2"]).select("node", "text"), "texts")
     forget(nodes)
     return out
 
@@ -437,20 +494,22 @@ def _texts(docs: DataFrame, bucket: DataFrame, classes: DataFrame, id_column: st
 PAIRS_PER_MEMBER = 16
 
 
-def _linked(bucket: DataFrame, texts: DataFrame, like: Similarity) -> DataFrame:
+def _linked(bucket: DataFrame, given: DataFrame, nodes: DataFrame, sketches: DataFrame, like: Similarity) -> DataFrame:
     """(node, comp) of sets that link with others, by as many verified links as components need.
 
     In each round some members of every bucket, first those that stand in most buckets, are held
     against all members of other components. They are then done: whatever they link with is known.
     Members have a place in their bucket from the start, so that what is done is a range of places.
     A bucket ends when the members that are not done are of one component. When few pairs are left
-    all are compared, else the number taken grows fourfold; no pair that may link is left out.
+    all are compared, else the number taken grows by `PAIRS_PER_MEMBER` times; no pair that may link is
+    left out. Texts are fetched only for pairs that the sketches leave, which are few: what moves in a
+    round are places and sketches.
     """
     often = bucket.groupBy("node").agg(F.count(F.lit(1)).alias("_often"))
     order = Window.partitionBy("sig").orderBy(F.desc("_often"), "node")
     placed = bucket.join(often, "node").select("sig", "node", F.row_number().over(order).alias("place"))
     carried = ["node", "place", "n", *SKETCHES]
-    sketched = placed.join(texts.drop("text"), "node")
+    sketched = placed.join(sketches.drop("cells"), "node")
     rest = staged(sketched.select("sig", *carried, F.col("node").alias("comp")), "rest")
     comps, done, take, final = None, 0, 1, False
     named = {"rep": "node", **{f"rep_{c}": c for c in ("comp", "n", *SKETCHES)}}
@@ -465,10 +524,16 @@ def _linked(bucket: DataFrame, texts: DataFrame, like: Similarity) -> DataFrame:
             first = rest.where(F.col("place") <= done + take).select("sig", *reps)
         # Pairs whose sketches differ too much are no rows of the join.
         apart = " + ".join(f"bit_count({c} ^ rep_{c})" for c in SKETCHES)
-        may = F.expr(f"comp != rep_comp AND {apart} <= {like.den - like.num} * (n + rep_n) DIV {like.den + like.num}")
+        may = F.expr(f"comp != rep_comp AND greatest({apart}, abs(n - rep_n)) <= {like.den - like.num} * (n + rep_n) DIV {like.den + like.num}")
         pairs = first.alias("f").join(rest.alias("r"), (F.col("f.sig") == F.col("r.sig")) & may)
         pairs = pairs.select(F.least("rep", "node").alias("a"), F.greatest("rep", "node").alias("b")).distinct()
-        found = staged(_verified(pairs, texts, like), "verified")
+        close = staged(_close(pairs, sketches, like), "close")
+        if close.isEmpty():
+            found = close
+        else:
+            texts = _texts(given, nodes, close.select(F.explode(F.array("a", "b")).alias("node")), like)
+            found = staged(_verified(close, texts, like), "verified")
+            forget(close, texts)
         if comps is None:
             comps = components(found)
         else:  # what the new links add, between the components so far
@@ -482,7 +547,7 @@ def _linked(bucket: DataFrame, texts: DataFrame, like: Similarity) -> DataFrame:
         forget(found)
         if final:
             break
-        done, take = done + take, take * 4
+        done, take = done + take, take * PAIRS_PER_MEMBER
         left = rest.where(F.col("place") > done).drop("comp").join(comps, "node", "left")
         left = staged(left.select("sig", *carried, F.coalesce("comp", "node").alias("comp")), "left")
         forget(rest)

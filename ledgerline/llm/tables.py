@@ -49,13 +49,32 @@ def maybe_in(df: DataFrame, column: str, keys: DataFrame, key: str) -> DataFrame
     matter are dropped before a join moves them. With very many keys it lets more rows pass; the
     join that follows decides.
     """
-    def placed(of: DataFrame, name: str) -> DataFrame:
-        word, bit = f"shiftrightunsigned(_h, 6) & {FILTER_WORDS - 1}", "CAST(_h & 63 AS INT)"
-        return of.withColumn("_h", F.xxhash64(F.col(name).cast("string"))).withColumns(
-            {"_word": F.expr(word), "_at": F.expr(bit)}
-        )
-
-    bits = placed(keys.select(F.col(key).alias("_key")), "_key")
-    bits = bits.groupBy("_word").agg(F.bit_or(F.expr("shiftleft(1L, _at)")).alias("_mask"))
-    some = placed(df, column).join(F.broadcast(bits), "_word")
+    some = _placed(df, column).join(F.broadcast(_bits(keys, key)), "_word")
     return some.where("shiftrightunsigned(_mask, _at) & 1 = 1").drop("_word", "_at", "_mask", "_h")
+
+
+#: Columns that `rows_without` makes on the way; its rows may have none of these names.
+OWN_COLUMNS = {"_h", "_word", "_at", "_mask", "_maybe", "_name"}
+
+
+def rows_without(df: DataFrame, gone: DataFrame, names: list[str]) -> DataFrame:
+    """Rows of `df` whose values of `names` (none null) `gone` does not have.
+
+    Only rows that the filter of `maybe_in` takes for `gone` are moved for the join; all others stay
+    where they are read. `df` is read twice.
+    """
+    name = F.concat_ws(" ", *names)
+    marked = _placed(df.withColumn("_name", name), "_name").join(F.broadcast(_bits(gone.select(name.alias("_name")), "_name")), "_word", "left")
+    marked = marked.withColumn("_maybe", F.expr("coalesce(shiftrightunsigned(_mask, _at) & 1 = 1, false)"))
+    asked = marked.where("_maybe").join(gone.select(*names), names, "left_anti")
+    return marked.where("NOT _maybe").select(*df.columns).unionByName(asked.select(*df.columns))
+
+
+def _placed(of: DataFrame, name: str) -> DataFrame:
+    word, bit = f"shiftrightunsigned(_h, 6) & {FILTER_WORDS - 1}", "CAST(_h & 63 AS INT)"
+    return of.withColumn("_h", F.xxhash64(F.col(name).cast("string"))).withColumns({"_word": F.expr(word), "_at": F.expr(bit)})
+
+
+def _bits(keys: DataFrame, key: str) -> DataFrame:
+    bits = _placed(keys.select(F.col(key).alias("_key")), "_key")
+    return bits.groupBy("_word").agg(F.bit_or(F.expr("shiftleft(1L, _at)")).alias("_mask"))

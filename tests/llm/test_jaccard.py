@@ -6,6 +6,7 @@ import itertools
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from ledgerline.llm.jaccard import Similarity, near_duplicates, shingle_sets, signatures
@@ -191,3 +192,37 @@ def test_links_are_counted_whatever_the_rounds(spark, rng, monkeypatch) -> None:
         monkeypatch.setattr(jaccard, "COLUMNS", columns)
         got = near_duplicates(df, LIKE).collect()
         assert sorted(((r.doc_id, r.n_links) for r in got), key=str) == want
+
+
+def test_cells_never_differ_more_than_sets(rng) -> None:
+    from ledgerline.llm.jaccard import cells_of, least_difference
+
+    words = [f"w{i}" for i in range(5000)]
+    base = rng.choices(words, k=3000)
+    near = [*base[:1400], "x", *base[1401:]]
+    texts = [" ".join(w) for w in (base, near, base[:700], rng.choices(words, k=3000), rng.choices(words, k=40), ["one"])]
+    hashes, sizes = shingle_sets(pa.array(texts), 4)
+    sets = [set(x.tolist()) for x in np.split(hashes, np.cumsum(sizes)[:-1])]
+    cells = cells_of(hashes, sizes)
+    for i, j in itertools.product(range(len(texts)), repeat=2):
+        assert least_difference(cells[i], cells[j]) <= len(sets[i] ^ sets[j])
+    assert least_difference(cells[0], cells[1]) > 0
+    # Long texts that share nothing are told apart without their texts, which 512 cells cannot do.
+    assert least_difference(cells[0], cells[3]) > LIKE.differ(sizes[0], sizes[3])
+
+
+def test_texts_are_moved_for_likely_pairs_only(spark, monkeypatch) -> None:
+    """Long texts that share a line but little else meet in buckets; none of their texts is fetched."""
+    from ledgerline.llm import jaccard
+
+    fetched = []
+    kept = jaccard._texts
+    monkeypatch.setattr(jaccard, "_texts", lambda *a: fetched.append(out := kept(*a)) or out)
+    monkeypatch.setattr(jaccard, "forget", lambda *tables: None)
+    line = " ".join(f"shared{i}" for i in range(300))
+    rows = [(i, line + " " + " ".join(f"t{i}x{j}" for j in range(1500))) for i in range(20)]
+    rows += [(20, "a b c d e f g h " * 3 + "z"), (21, "a b c d e f g h " * 3 + "z y")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: r.component_id for r in near_duplicates(docs, LIKE, count_links=False).collect()}
+    assert found == {**{i: i for i in range(21)}, 21: 20}
+    assert sum(df.count() for df in fetched) == 2
