@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import bound_batches
 from .tables import maybe_in
 from .words import BYTE, SPACE, blocks, mix, powers, texts_of, words_of
 
@@ -227,6 +228,7 @@ def score(docs: DataFrame, model: Model | None, text_column: str = "text") -> Da
     Null and empty texts are one empty line. Without a model every score is 0.5. A column named
     `score` is replaced, all others pass through; repeated rows are scored each.
     """
+    bound_batches(docs.sparkSession)
     rest = [c for c in docs.columns if c != "score"]
     given = docs.select(F.struct(*[F.col(f"`{c}`") for c in rest]).alias("rest"), F.col(f"`{text_column}`").cast("string").alias("_text"))
 

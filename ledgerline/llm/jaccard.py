@@ -29,6 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import bound_batches
 from .components import components
 from .tables import forget, maybe_in, staged
 from .words import U, blocks, mix, powers, signed, words_of
@@ -415,6 +416,7 @@ def near_duplicates(
     row links with, all of them verified: exact copies of its set and rows whose sets reach the
     similarity. It takes a comparison of all texts of a component; without `count_links` it is left out.
     """
+    bound_batches(docs.sparkSession)
     sets = staged(document_sets(docs, like, id_column, text_column), "sets")
     classes = sets.where("fp1 IS NOT NULL").groupBy("fp1", "fp2").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"))
     classes = staged(classes.withColumn("node", _node()), "classes")

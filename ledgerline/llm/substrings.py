@@ -22,10 +22,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import bound_batches
 from .words import U, Words, blocks, mix, words_of
 
 #: Suffixes that a task holds, bytes of text in a block, bins of hashed prefixes at each length.
-GROUP, BLOCK_BYTES, BINS = 2_000_000, 16_000_000, 1 << 16
+GROUP, BLOCK_BYTES, BINS = 1_000_000, 4_000_000, 1 << 16
 #: Stands for a null id: larger than any other.
 LAST = 2**63 - 1
 
@@ -146,16 +147,13 @@ def repeats(docs: DataFrame, k: int, buckets: int, group_size: int = GROUP) -> D
         return _packed(sign * part[order] - (sign < 0), d[order], h[order])
 
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for big in blocks(batches, "text", BLOCK_BYTES):
-            found = []
-            for b in blocks(iter([big]), "text"):
-                words = words_of(b.column("text"), lower=False)
-                hashes, counts = words.windows(k)
-                ids = np.repeat(b.column("doc_id").to_numpy(), counts)
-                found.append((hashes, ids, _groups_of(words, _starts(words, k), levels)))
-            hashes, ids, group = (np.concatenate(x) for x in zip(*found, strict=True))
+        for b in blocks(batches, "text", BLOCK_BYTES):
+            words = words_of(b.column("text"), lower=False)
+            hashes, counts = words.windows(k)
             if not len(hashes):
                 continue
+            ids, group = np.repeat(b.column("doc_id").to_numpy(), counts), _groups_of(words, _starts(words, k), levels)
+            del words
             order, least = _later(ids, hashes)
             hashes, ids, group = hashes[order], ids[order], group[order]
             once = np.append(True, (hashes[1:] != hashes[:-1]) | (ids[1:] != ids[:-1]))
@@ -171,11 +169,12 @@ def repeats(docs: DataFrame, k: int, buckets: int, group_size: int = GROUP) -> D
         def nodes() -> Iterator[pa.RecordBatch]:
             if not held:
                 return
-            ids, hashes = (np.concatenate(x) for x in zip(*map(_unpacked, held), strict=True))
+            ids = np.concatenate([_unpacked(r)[0] for r in held])
+            hashes = np.concatenate([_unpacked(r)[1] for r in held])
+            held.clear()
             order, least = _later(ids, hashes)
             order = order[~least]
             rows = list(bucketed(ids[order], hashes[order], 1))
-            held.clear()
             for at in range(0, len(rows), 256):
                 yield pa.RecordBatch.from_pylist([dict(zip(SENT.names, r, strict=True)) for r in rows[at : at + 256]], schema=SENT)
 
@@ -211,6 +210,7 @@ def remove_repeats(
     rest = [c for c in docs.columns if c not in (text_column, *new)]
     key = F.coalesce(F.col(f"`{id_column}`").cast("long"), F.lit(LAST))
     spark = docs.sparkSession
+    bound_batches(spark)
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     given = docs.select(key.alias("doc_id"), F.col(f"`{text_column}`").cast("string").alias("text"))
     found = repeats(given, k, buckets, group_size)

@@ -26,6 +26,20 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+#: Bytes of rows that go to a Python worker at once. Both the JVM and the worker hold them several times over.
+BATCH_BYTES = 4 << 20
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Has Spark send rows to Python workers `BATCH_BYTES` at a time, unless the session sets a bound itself.
+
+    Spark's own bound is 64 MB, which rows of long texts and packed hashes reach.
+    """
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key, None) is None:
+        spark.conf.set(key, f"{BATCH_BYTES}b")
+
+
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder below the one the cluster names in `spark.checkpoint.dir`.
 
