@@ -16,14 +16,15 @@ folder, the entries are written anew as the next generation, in as many folders
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
-from functools import reduce
+import uuid
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType
 
-from ..operators.merge import rows_in
+from ..operators.merge import BROADCAST_ROWS, rows_in
 from ..sources.paths import children, exists, read_text, remove, total_files, write_text
 
 #: Entries that a folder is made for, and files a folder from which on all are written anew.
@@ -78,21 +79,43 @@ class KeyIndex:
         for old in range(n + 1):
             remove(self.spark, f"{self.folder}/g{old}")
 
-    def find(self, batch: DataFrame, rows: int | None = None) -> DataFrame:
-        """Entries of the keys of `batch`, from the folders these keys fall into."""
+    @contextmanager
+    def find(self, batch: DataFrame, rows: int | None = None) -> Iterator[DataFrame]:
+        """For each key of `batch` its partition values there and those listed, written once.
+
+        Read are the folders these keys fall into. Keys of a large batch meet the entries in one shuffle;
+        a small one is held against the entries where they are read. `rows` is the size of the batch.
+        """
         path, buckets = self._current()
         entries = self._read(path, batch)
         if buckets > 1:
             asked = batch.select(self._bucket(buckets).alias("b")).distinct().collect()
             entries = entries.where(F.col(_BUCKET).isin(*[row["b"] for row in asked]))
-        return rows_in(entries.drop(_BUCKET), batch, self.keys, rows)
-
-    def add(self, rows: DataFrame, found: DataFrame) -> None:
-        """Lists `rows`, but for entries that `found` has."""
+        if rows is None or rows <= BROADCAST_ROWS:
+            entries = rows_in(entries, batch, self.keys, rows)
+        keys, value = [F.col(f"`{k}`") for k in self.keys], F.struct(F.col(f"`{self.column}`").alias("v"))
+        both = batch.select(*keys, value.alias("_own")).unionByName(entries.select(*keys, value.alias("_known")), allowMissingColumns=True)
+        met = both.groupBy(*keys).agg(F.collect_set("_own").alias("_own"), F.collect_set("_known").alias("_known"))
+        for left in children(self.spark, self.folder):  # by a load that died
+            if left.startswith("found-"):
+                remove(self.spark, f"{self.folder}/{left}")
+        at, met = f"{self.folder}/found-{uuid.uuid4().hex}", met.where(F.size("_own") > 0)
+        met.write.parquet(at)
+        try:
+            yield self.spark.read.schema(met.schema).parquet(at)
+        finally:
+            remove(self.spark, at)
+
+    def partitions(self, found: DataFrame) -> set:
+        """Partition values listed for the keys in `found`: few, a row each here."""
+        return {row[0] for row in found.select(F.explode("_known").alias("_k")).select("_k.v").distinct().collect()}
+
+    def add(self, found: DataFrame) -> None:
+        """Lists the rows of the batch that `found` is of, but for entries that are there."""
         path, buckets = self._current()
-        columns = [*self.keys, self.column]
-        new, known = rows.select(*columns).distinct().alias("new"), found.alias("known")
-        met = reduce(lambda a, b: a & b, [F.col(f"new.`{c}`").eqNullSafe(F.col(f"known.`{c}`")) for c in columns])
-        self._write(new.join(known, met, "left_anti"), path, buckets)
+        new = F.filter("_own", lambda own: ~F.exists("_known", lambda known: known["v"].eqNullSafe(own["v"])))
+        rows = found.select(*[F.col(f"`{k}`") for k in self.keys], F.explode(new).alias("_n"))
+        rows = rows.withColumn(self.column, F.col("_n.v")).drop("_n")
+        self._write(rows, path, buckets)
         if total_files(self.spark, path) >= MERGE_AT * buckets:
             self.build(self._read(path, rows))

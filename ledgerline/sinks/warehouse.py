@@ -234,9 +234,9 @@ class Warehouse:
             held, index = self.read(table), self._index(table, keys)
             if index is None:
                 return self.write(table, rows_not_in(held, staged, keys, size), sequence=sequence)
-            found = index.find(staged, size)
-            held = self._in_partitions(table, held, self._partitions(found, PARTITION_COLUMN[table]))
-            index.add(staged, found)
+            with index.find(staged, size) as found:
+                held = self._in_partitions(table, held, index.partitions(found))
+                index.add(found)
             return self.write(table, rows_not_in(held, staged, keys, size), sequence=sequence, listed=True)
 
     def upsert(
@@ -279,9 +279,9 @@ class Warehouse:
         if column not in keys:
             held = target
             if index is not None:
-                found = index.find(batch, size)
-                held = self._in_partitions(table, target, self._partitions(found, column) - coming)
-                index.add(batch, found)
+                with index.find(batch, size) as found:
+                    held = self._in_partitions(table, target, index.partitions(found) - coming)
+                    index.add(found)
             moved_from = rows_in(held.select(*keys, column), batch, keys, size)
             leaving = self._partitions(moved_from, column) - coming
         touched = target.where(F.col(column).isin(*coming, *leaving))

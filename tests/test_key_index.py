@@ -102,3 +102,27 @@ def test_rows_written_past_the_index_are_found(spark, pair):
     warehouse.truncate(["user_events"])
     assert warehouse.insert_new("user_events", events(spark, [("a", "z", 2)]), KEY, RUN) == 1
     assert warehouse.insert_new("user_events", events(spark, [("a", "z", 3), ("b", "z", 3)]), KEY, RUN) == 1
+
+
+@pytest.mark.parametrize("small", [True, False])
+def test_a_load_looks_its_keys_up_once(spark, pair, monkeypatch, small):
+    """The entries meet the batch in one job, whose result both the days and the new entries come from."""
+    warehouse = pair[0]
+    warehouse.upsert("user_events", events(spark, [(f"e{d}", "a", d) for d in range(5)]), KEY, EVENT_UPDATES, RUN)
+    warehouse.upsert("user_events", events(spark, [("e0", "b", 1)]), KEY, EVENT_UPDATES, RUN)
+    if not small:
+        monkeypatch.setattr(key_index, "BROADCAST_ROWS", -1)
+    index, reads = warehouse._index("user_events", KEY), []
+    monkeypatch.setattr(index, "_read", lambda path, like, own=index._read: (reads.append(path), own(path, like))[1])
+    batch = events(spark, [("e0", "c", 1), ("e1", "c", 3), ("new", "c", 2), (None, "c", 2)])
+    batch = batch.selectExpr("event_id", "CASE WHEN event_id = 'e1' THEN NULL ELSE CAST(event_ts AS DATE) END AS event_date")
+    with index.find(batch, 4) as found:
+        days = {d.day for d in index.partitions(found)}
+        assert days == {1, 2}
+        index.add(found)
+        assert "Join" not in plan_of(found)
+    assert len(reads) == 1
+    with index.find(batch, 4) as found:
+        rows = {r.event_id: {k.v and k.v.day for k in r._known} for r in found.collect()}
+    assert rows == {"e0": {1, 2}, "e1": {2, None}, "new": {3}, None: {3}}
+    assert not [n for n in key_index.children(spark, index.folder) if n.startswith("found-")]

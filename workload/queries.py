@@ -261,9 +261,9 @@ def coerce_types(t: Tables) -> DataFrame:
 # Loads: what the tables hold after a load of overlapping batches of events
 
 
-def _held_and_batch(t: Tables) -> tuple[DataFrame, DataFrame]:
+def _held_and_batch(t: Tables, events: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """Events loaded before a point in time, and a batch from somewhat earlier with new types."""
-    events = conform(t.events, USER_EVENTS).drop("event_date")
+    events = conform(t.events if events is None else events, USER_EVENTS).drop("event_date")
     held = events.where(F.col("event_ts") <= F.lit(b.SINCE).cast("timestamp_ntz"))
     batch = events.where(F.col("event_ts") > F.lit(b.OVERLAP).cast("timestamp_ntz")).withColumns(
         {
@@ -307,7 +307,7 @@ def load_upsert(t: Tables) -> DataFrame:
 @query
 def load_indexed(t: Tables) -> DataFrame:
     """The batch inserted, then upserted, twice, each time with stored keys found through the index."""
-    held, batch = _held_and_batch(t)
+    held, batch = _held_and_batch(t, t.stored("user_events"))  # cleaned once for all loads
     warehouse = _held_in_warehouse(t, held, "user_events", index_above=0)
     for _ in range(2):
         warehouse.insert_new("user_events", batch, ["event_id"], b.QUALITY_NOW)
